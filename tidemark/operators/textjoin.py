@@ -24,25 +24,26 @@ from pyspark.sql import functions as F
 # Needle tables up to this many rows and characters are sent to every executor.
 MAX_NEEDLES = 200_000
 MAX_CHARS = 50_000_000
+# Up to this many, a text drops the pieces nobody asks for before any row is made of them.
+MAX_LISTED = 10_000
 # Shares a frequent anchor is split into when needles are too many to send.
 SALTS = 32
 
 _W = r"[\p{L}\p{N}]"
 _D = r"[^\p{L}\p{N}]"
-_RUN = rf"{_W}+{_D}+{_W}+{_D}+{_W}+"
-# Pieces of a text. The lookahead lets neighbouring pieces overlap.
+# Pieces of a text. The lookahead lets neighbouring pieces overlap; possessive repeats never back up.
 _TEXT_PIECES = {
-    "words": rf"(?<!{_W})(?=({_RUN}))",
+    "words": rf"(?=({_W}++{_D}++{_W}++{_D}++{_W}++)){_W}++",
     "gram": r"(?s)(?=(.{4}))",
-    "char": r"(?s)(?=(.))",
+    "char": r"(?s)(.)",
 }
 # Pieces of a needle. Words must be whole (something else on both sides), and nothing in or next to
 # the piece may be a wildcard (%, _) or an escape (\).
 _N = r"[^\p{L}\p{N}%_\\]"
 _NEEDLE_PIECES = {
-    "words": rf"(?<={_N})(?=({_W}+{_N}+{_W}+{_N}+{_W}+){_N})",
+    "words": rf"(?<={_N})(?=({_W}++{_N}++{_W}++{_N}++{_W}++){_N})",
     "gram": r"(?s)(?=([^%_\\]{4}))",
-    "char": r"(?s)(?=([^%_\\]))",
+    "char": r"([^%_\\])",
 }
 _KINDS = ["words", "gram", "char", "empty"]
 
@@ -57,35 +58,50 @@ def _longest(pieces: Column) -> Column:
 
 
 def with_anchor(needles: DataFrame, needle: str) -> DataFrame:
-    """Needles with columns ``__kind`` and ``__anchor``; NULL needles are left out."""
-    low = F.lower(F.col(needle))
-    found = needles.filter(F.col(needle).isNotNull())
-    for kind, pattern in _NEEDLE_PIECES.items():
-        found = found.withColumn(f"__{kind}", _longest(_pieces(low, pattern)))
-    kind = F.lit("empty")
-    anchor = F.lit("")
+    """Needles with their anchor; NULL needles are left out.
+
+    Adds ``__kind``, ``__anchor``, ``__plain`` (no wildcard or escape) and ``__low`` (lower case).
+    """
+    found = needles.filter(F.col(needle).isNotNull()).withColumn("__low", F.lower(needle))
+    found = found.withColumns({f"__{k}": _longest(_pieces(F.col("__low"), p)) for k, p in _NEEDLE_PIECES.items()})
+    kind, anchor = F.lit("empty"), F.lit("")
     for name in reversed(list(_NEEDLE_PIECES)):
         kind = F.when(F.col(f"__{name}").isNotNull(), F.lit(name)).otherwise(kind)
         anchor = F.coalesce(F.col(f"__{name}"), anchor)
-    return found.withColumns({"__kind": kind, "__anchor": anchor}).drop(*[f"__{k}" for k in _NEEDLE_PIECES])
+    plain = ~F.col("__low").rlike(r"[%_\\]")
+    return found.withColumns({"__kind": kind, "__anchor": anchor, "__plain": plain}).drop(
+        *[f"__{k}" for k in _NEEDLE_PIECES]
+    )
+
+
+def _lowered(texts: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Texts with each searched column also in lower case, computed once per text."""
+    names = {f"__low_{i}": F.lower(F.col(c)) for i, c in enumerate(columns)}
+    return texts.withColumns(names), list(names)
 
 
-def _text_anchors(columns: Sequence[str], kinds: Sequence[str]) -> Column:
+def _text_anchors(lows: Sequence[str], kinds: Sequence[str], asked: Column | None) -> Column:
+    """The distinct pieces of a text, of those ``asked`` for where that is given."""
     arrays = []
-    for column in columns:
-        low = F.lower(F.col(column))
-        found = F.col(column).isNotNull()
+    for low in lows:
         for kind in kinds:
-            pieces = F.array(F.lit("")) if kind == "empty" else _pieces(low, _TEXT_PIECES[kind])
-            arrays.append(F.when(found, pieces).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*arrays))
+            pieces = F.array(F.lit("")) if kind == "empty" else _pieces(F.col(low), _TEXT_PIECES[kind])
+            kept = F.array_distinct(pieces) if asked is None else F.array_intersect(pieces, asked)
+            arrays.append(F.when(F.col(low).isNotNull(), kept).otherwise(F.array().cast("array<string>")))
+    return arrays[0] if len(arrays) == 1 else F.array_distinct(F.concat(*arrays))
 
 
-def matches(columns: Sequence[str], needle: str) -> Column:
-    """The exact test: any of the columns ILIKE '%needle%'."""
-    pattern = F.concat(F.lit("%"), F.col(needle), F.lit("%"))
-    tests = [F.coalesce(F.ilike(F.col(c), pattern), F.lit(False)) for c in columns]
-    return reduce(lambda a, b: a | b, tests)
+def _matches(lows: Sequence[str]) -> Column:
+    """The exact test, column ILIKE '%needle%' for any column, on lower-cased text.
+
+    ILIKE is LIKE on both sides in lower case; without wildcards that is a plain substring test.
+    """
+    pattern = F.concat(F.lit("%"), F.col("__low"), F.lit("%"))
+    tests = [
+        F.when(F.col("__plain"), F.contains(F.col(low), F.col("__low"))).otherwise(F.like(F.col(low), pattern))
+        for low in lows
+    ]
+    return reduce(lambda a, b: a | b, [F.coalesce(test, F.lit(False)) for test in tests])
 
 
 def contains_join(
@@ -108,31 +124,32 @@ def contains_join(
         F.collect_set("__kind").alias("kinds"),
     ).first()
     kinds = [k for k in _KINDS if k in facts["kinds"]] or ["words"]
-    pieces = _text_anchors(columns, kinds)
     conf = texts.sparkSession.conf
     few = facts["n"] <= int(conf.get("tidemark.textjoin.maxNeedles", str(MAX_NEEDLES)))
+    lowered, lows = _lowered(texts, columns)
     if few and facts["chars"] <= MAX_CHARS:
         # Texts stay where they are: pieces, lookup and verification run in one stage.
-        found = texts.withColumn("__piece", F.explode(pieces))
+        listed = facts["n"] <= int(conf.get("tidemark.textjoin.maxListed", str(MAX_LISTED)))
+        asked = anchored.agg(F.collect_set("__anchor")).scalar() if listed else None
+        found = lowered.withColumn("__piece", F.explode(_text_anchors(lows, kinds, asked)))
         pairs = found.join(F.broadcast(anchored), F.col("__piece") == F.col("__anchor"))
-        return pairs.filter(matches(columns, needle)).select(*texts.columns, *needles.columns)
-    return _shuffled(texts, anchored, pieces, text_key, needle_key, columns, needle).select(
-        *texts.columns, *needles.columns
-    )
+    else:
+        pairs = _shuffled(lowered, lows, anchored, kinds, text_key, needle_key)
+    return pairs.filter(_matches(lows)).select(*texts.columns, *needles.columns)
 
 
-def _shuffled(texts, anchored, pieces, text_key, needle_key, columns, needle) -> DataFrame:
-    # Only keys and hashed pieces travel; a frequent piece is spread over SALTS shares.
+def _shuffled(lowered, lows, anchored, kinds, text_key, needle_key) -> DataFrame:
+    """Candidate pairs for needles too many to send: only keys and hashed pieces travel.
+
+    A frequent piece is spread over SALTS shares, and every needle is copied to each share.
+    """
     salt = F.pmod(F.xxhash64(text_key), F.lit(SALTS)).alias("__salt")
-    hashed = F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
-    left = texts.select(F.col(text_key).alias("__t"), salt, F.explode(hashed).alias("__h"))
-    # Every needle is copied to a fixed number of shares.
+    hashed = F.array_distinct(F.transform(_text_anchors(lows, kinds, None), lambda p: F.xxhash64(p)))
+    left = lowered.select(F.col(text_key).alias("__t"), salt, F.explode(hashed).alias("__h"))
     right = anchored.select(
         F.col(needle_key).alias("__n"),
         F.xxhash64("__anchor").alias("__h"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("__salt"),
     )
     pairs = left.join(right, ["__h", "__salt"]).select("__t", "__n")
-    bodies = anchored.drop("__kind", "__anchor")
-    found = pairs.join(bodies, F.col("__n") == F.col(needle_key)).join(texts, F.col("__t") == F.col(text_key))
-    return found.filter(matches(columns, needle))
+    return pairs.join(anchored, F.col("__n") == F.col(needle_key)).join(lowered, F.col("__t") == F.col(text_key))
