@@ -17,14 +17,8 @@ def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def with_next_ids(rows: DataFrame, target: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Give ``rows`` the keys after the largest key of ``target``, in ``order``."""
-    top = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
-    numbered = number_rows(rows, [F.col(c).asc_nulls_last() for c in order], "__n")
-    # The right side is an aggregate without keys: always exactly one row.
-    return (
-        numbered.crossJoin(F.broadcast(top))
-        .withColumn(key, F.col("__top") + F.col("__n"))
-        .drop("__top", "__n")
-    )
+    top = target.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+    return number_rows(rows, [F.col(c).asc_nulls_last() for c in order], key, start=top + 1)
 
 
 def update_rows(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:

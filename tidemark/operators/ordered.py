@@ -51,9 +51,14 @@ def hot_keys(
     return written(sizes.filter(F.col("__size") > limit).select(*keys), "hot-keys")
 
 
+def few(hot: DataFrame) -> bool:
+    """May the hot keys be sent to every executor? They are a written table, so this is cheap."""
+    return hot.count() <= MAX_BROADCAST_KEYS
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
-    side = F.broadcast(hot) if hot.count() <= MAX_BROADCAST_KEYS else hot
+    side = F.broadcast(hot) if few(hot) else hot
     condition = _same(df, hot, keys)
     return df.join(side, condition, "left_anti"), df.join(side, condition, "left_semi")
 
@@ -86,7 +91,7 @@ def lay_out(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     return written(laid, label).withColumn(_PIECE, F.shiftright(_POS, _PIECE_SHIFT))
 
 
-def _pieces(df, keys, order, out, step: _Step) -> DataFrame:
+def _pieces(df, keys, order, out, step: _Step, broadcast: bool) -> DataFrame:
     laid = lay_out(df, [F.col(k).asc_nulls_last() for k in keys] + list(order), "ordered")
     window = Window.partitionBy(_PIECE, *keys).orderBy(_POS)
     summary = laid.groupBy(_PIECE, *keys).agg(step.summary.alias("__summary"))
@@ -103,7 +108,8 @@ def _pieces(df, keys, order, out, step: _Step) -> DataFrame:
     for i, key in enumerate(keys):
         condition = condition & F.col(key).eqNullSafe(F.col(f"__k{i}"))
     value = step.merge(F.col("__local"), F.col("__carry"), F.col("__last"))
-    return local.join(F.broadcast(carried), condition, "left").select(
+    side = F.broadcast(carried) if broadcast else carried
+    return local.join(side, condition, "left").select(
         *[F.col(c) for c in df.columns], value.alias(out)
     )
 
@@ -115,7 +121,7 @@ def _ordered(df, keys, order, out, step: _Step) -> DataFrame:
         return df.withColumn(out, step.whole(plain))
     ordinary, large = split_hot(df, keys, hot)
     done = ordinary.withColumn(out, step.whole(plain))
-    return done.unionByName(_pieces(large, keys, order, out, step))
+    return done.unionByName(_pieces(large, keys, order, out, step, few(hot)))
 
 
 def running_total(
@@ -193,7 +199,7 @@ def running_max(
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], out: str, start: int | Column = 1) -> DataFrame:
-    """Number all rows 1..n in ``order`` without bringing them into one partition."""
+    """Number all rows from ``start`` in ``order`` without bringing them into one partition."""
     laid = lay_out(df, order, "numbered")
     counts = laid.groupBy(_PIECE).agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition of the sorted table.

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import contains_point, open_end
+from tidemark.operators.changes import with_next_ids
 from tidemark.operators.checks import ConstraintError
 from tidemark.operators.distinct import first_per_key
-from tidemark.operators.ordered import next_value, number_rows, row_number
+from tidemark.operators.ordered import next_value, row_number
 
 _META = ("id", "valid_from", "valid_to", "deleted")
 
@@ -127,10 +128,10 @@ def insert_versions(
     tell the caller which id a row received.
     """
     at = _stamp(ts)
-    # One row: the largest id in use.
-    top = keys.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__top"))
-    numbered = number_rows(rows, [F.col(c).asc_nulls_last() for c in order], "__n")
-    placed = numbered.crossJoin(F.broadcast(top)).withColumn("id", (F.col("__top") + F.col("__n")).cast("long"))
+    # The rows may have an ``id`` of their own, which can order them but is not kept.
+    by = {f"__by{i}": F.col(c) for i, c in enumerate(order)}
+    given = rows.select(*[c.alias(name) for name, c in by.items()], *payload_columns(state))
+    placed = with_next_ids(given, keys, "id", list(by))
     new_keys = placed.select("id", at.alias("created"))
     payload = payload_columns(state)
     versions = placed.select(
@@ -172,7 +173,7 @@ def apply_changes(
     if check:
         check_changes(state, changes, at)
     replaced = _replace_open(state, changes.filter(F.col("op") != "insert"), at, tombstones=True)
-    fresh = changes.filter(F.col("op") == "insert").select(*payload_columns(state))
+    fresh = changes.filter(F.col("op") == "insert")
     new_keys, versions = insert_versions(keys, state, fresh, at, order)
     return keys.unionByName(new_keys), replaced.unionByName(versions)
 

@@ -308,8 +308,8 @@ def json_to_recordset(t):
 )
 def scalar_subquery_source(t):
     # One customer is picked first; only that customer's orders are made into a document.
-    one = t.customer.agg(F.max_by("c_custkey", F.struct("c_acctbal", "c_custkey")).alias("chosen"))
-    orders = t.orders.join(F.broadcast(one), F.col("o_custkey") == F.col("chosen")).drop("chosen")
+    chosen = t.customer.agg(F.max_by("c_custkey", F.struct("c_acctbal", "c_custkey"))).scalar()
+    orders = t.orders.filter(F.col("o_custkey") == chosen)
     docs = as_variant(
         two_levels(
             Level(t.customer, "c_custkey", _ARTIST_FIELDS),

@@ -262,9 +262,11 @@ def join_text_contains_or(t):
          (SELECT count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders) m""",
 )
 def cross_join_scalar(t):
-    # An aggregate without keys has exactly one row.
-    totals = t.orders.agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_price"))
-    return t.orders.select("o_orderkey", "o_totalprice").crossJoin(F.broadcast(totals))
+    # An aggregate without keys has exactly one row, so it is used as a value.
+    totals = t.orders.agg(F.struct(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_price")))
+    return t.orders.select("o_orderkey", "o_totalprice", totals.scalar().alias("m")).select(
+        "o_orderkey", "o_totalprice", "m.*"
+    )
 
 
 # --- aggregates ------------------------------------------------------------------------------
@@ -638,9 +640,10 @@ def array_length(t):
     "SELECT count(*) AS draws, true AS in_range, true AS spread FROM orders",
 )
 def random_floor(t):
-    ids = t.customer.agg(F.count(F.lit(1)).alias("ids"))
-    draws = t.orders.select("o_orderkey").crossJoin(F.broadcast(ids))
-    drawn = draws.select("ids", drawn_id(F.col("o_orderkey"), F.col("ids")).alias("id"))
+    ids = t.customer.agg(F.count(F.lit(1))).scalar()
+    drawn = t.orders.select(ids.alias("ids"), "o_orderkey").select(
+        "ids", drawn_id(F.col("o_orderkey"), F.col("ids")).alias("id")
+    )
     return drawn.agg(
         F.count(F.lit(1)).alias("draws"),
         ((F.min("id") >= 1) & (F.max("id") <= F.max("ids"))).alias("in_range"),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import variants
 from tidemark.functions.containment import contains
+from tidemark.plans.collections import HotPath, find, read_collection, store_collection
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
 
 
 def collection(t):
@@ -29,10 +31,13 @@ _FLAT = """(SELECT event_id, event_type AS category, 'title-' || user_id AS titl
 CLICKS = {"product": {"category": "click"}}
 
 
-def average_per_title(reviews, wanted):
+HOT = [HotPath("category", "string", ("product", "category"))]
+
+
+def average_per_title(reviews, wanted, hot=()):
     """Average rating per title of the documents that contain ``wanted``, best first."""
     # Paths are read in one projection, so that a stored collection is read path by path.
-    read = reviews.filter(contains(F.col("doc"), wanted)).select(
+    read = find(reviews, "doc", wanted, hot).select(
         variants.get_text(F.col("doc"), "product", "title").alias("title"),
         variants.get_as(F.col("doc"), "int", "review", "rating").alias("rating"),
     )
@@ -52,6 +57,17 @@ def agg_avg_json(t):
     return average_per_title(collection(t), CLICKS)
 
 
+@query(
+    "stored_collection",
+    f"""SELECT title, round(avg(rating), 6) AS average_rating FROM {_FLAT} WHERE category = 'click'
+        GROUP BY title ORDER BY average_rating DESC""",
+)
+def stored_collection(t):
+    path = scratch_path(t.spark, "reviews")
+    store_collection(collection(t), path, "doc", HOT, spread="event_id")
+    return average_per_title(read_collection(t.spark, path), CLICKS, HOT)
+
+
 @query(
     "agg_group_json_path",
     f"""SELECT category, round(avg(rating), 6) AS average_rating, count(rating) AS count_rating
