@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.ordered import hot_keys, running_total, split_hot
+from tidemark.operators.ordered import hot_keys, number_rows, running_total, split_hot
 
 PART_ROWS = 100_000
 
@@ -22,7 +23,12 @@ def part_rows(df: DataFrame) -> int:
 
 
 def _collected(df: DataFrame, keys: Sequence[str], order: Sequence[str], element: Column, out: str):
-    """Group and collect, sorted by ``order`` and then by the element itself."""
+    """Group and collect, sorted by ``order`` and then by the element itself.
+
+    Elements travel inside a row, as a collected NULL would be dropped; a struct is a row already.
+    """
+    if not order and isinstance(df.select(element.alias("e")).schema["e"].dataType, T.StructType):
+        return df.groupBy(*keys).agg(F.sort_array(F.collect_list(element)).alias(out))
     row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], element.alias("e"))
     rows = F.sort_array(F.collect_list(row))
     return df.groupBy(*keys).agg(F.transform(rows, lambda r: r["e"]).alias(out))
@@ -32,20 +38,23 @@ def nest(
     df: DataFrame,
     keys: Sequence[str],
     element: Column,
-    order: Sequence[str],
     out: str,
+    order: Sequence[str] = (),
     weight: str | None = None,
     sizing: DataFrame | None = None,
+    fits: bool = False,
 ) -> DataFrame:
     """One row per (key, part_no) with the elements of that part in array ``out``.
 
+    Elements are sorted by ``order``, and by themselves where that leaves ties. ``part_no`` is 0
+    unless a group is too large for one array.
+
     ``weight`` names a column with the size of an element (default 1 each), so that nesting
     already nested arrays stays bounded too. ``sizing`` may give a cheaper table with the same keys
-    and weights to measure the groups on.
+    and weights to measure the groups on; ``fits`` says that they were measured and are all small.
     """
     limit = part_rows(df)
-    measured = df if sizing is None else sizing
-    hot = hot_keys(measured, keys, limit, weight)
+    hot = None if fits else hot_keys(df if sizing is None else sizing, keys, limit, weight)
     if hot is None:
         return _with_part(_collected(df, keys, order, element, out), keys, out, F.lit(0).cast("long"))
     ordinary, large = split_hot(df, keys, hot)
@@ -66,8 +75,6 @@ def _with_part(df: DataFrame, keys: Sequence[str], out: str, part: Column) -> Da
 
 def table_as_json(df: DataFrame, order: Sequence[str], out: str = "json") -> DataFrame:
     """The whole table as JSON arrays of at most ``part_rows`` rows: (part_no, json)."""
-    from tidemark.operators.ordered import number_rows
-
     limit = part_rows(df)
     columns = df.columns
     numbered = number_rows(df, [F.col(c).asc_nulls_last() for c in order], "__rn", start=0)

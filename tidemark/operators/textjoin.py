@@ -143,13 +143,13 @@ def _shuffled(lowered, lows, anchored, kinds, text_key, needle_key) -> DataFrame
 
     A frequent piece is spread over SALTS shares, and every needle is copied to each share.
     """
-    salt = F.pmod(F.xxhash64(text_key), F.lit(SALTS)).alias("__salt")
+    salt = F.pmod(F.xxhash64(text_key), F.lit(SALTS)).cast("int").alias("__salt")
     hashed = F.array_distinct(F.transform(_text_anchors(lows, kinds, None), lambda p: F.xxhash64(p)))
     left = lowered.select(F.col(text_key).alias("__t"), salt, F.explode(hashed).alias("__h"))
     right = anchored.select(
         F.col(needle_key).alias("__n"),
         F.xxhash64("__anchor").alias("__h"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("__salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"),
     )
     pairs = left.join(right, ["__h", "__salt"]).select("__t", "__n")
     return pairs.join(anchored, F.col("__n") == F.col(needle_key)).join(lowered, F.col("__t") == F.col(text_key))

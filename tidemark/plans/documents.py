@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.variants import get_as, get_text
 from tidemark.operators.changes import update_from
-from tidemark.operators.nesting import nest
+from tidemark.operators.nesting import nest, part_rows
+from tidemark.operators.ordered import hot_keys
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ def two_levels(top: Level, middle: Level, inner: str) -> DataFrame:
 
     Rows of ``top`` without partners are left out.
     """
-    nested = nest(middle.table, [middle.parent], middle.struct(), list(middle.fields.values()), inner)
+    nested = nest(middle.table, [middle.parent], middle.struct(), inner)
     return _on_top(nested, middle.parent, top, inner)
 
 
@@ -43,24 +44,24 @@ def three_levels(top: Level, middle: Level, leaf: Level, inner: str, leaves: str
     beyond the size limit of ``nest`` comes in several parts (``part_no``); a ``middle`` row cut in
     such a way appears once in each of its parts.
     """
-    by_middle = nest(leaf.table, [leaf.parent], leaf.struct(), list(leaf.fields.values()), leaves)
-    joined = middle.table.join(by_middle, F.col(middle.key) == F.col(leaf.parent)).withColumnRenamed(
-        "part_no", "__part"
-    )
-    weighed = joined.withColumn("__weight", F.size(leaves))
-    # How many leaves end up under a key of ``top``, measured on key columns alone.
+    # How many leaves end up under a key of ``top``, measured on key columns alone. Where all of
+    # these fit, so do the leaves of every middle row. Leaves without a middle row count as one group.
     counts = leaf.table.groupBy(leaf.parent).agg(F.count(F.lit(1)).alias("__weight"))
-    sizing = middle.table.select(middle.key, middle.parent).join(
-        counts, F.col(middle.key) == F.col(leaf.parent)
+    sizing = counts.join(
+        middle.table.select(middle.key, middle.parent), F.col(middle.key) == F.col(leaf.parent), "left"
     )
+    fits = hot_keys(sizing, [middle.parent], part_rows(leaf.table), "__weight") is None
+    by_middle = nest(leaf.table, [leaf.parent], leaf.struct(), leaves, fits=fits)
+    joined = middle.table.join(by_middle, F.col(middle.key) == F.col(leaf.parent)).drop("part_no")
+    weighed = joined.withColumn("__weight", F.size(leaves))
     nested = nest(
         weighed,
         [middle.parent],
         middle.struct(F.col(leaves)),
-        [*middle.fields.values(), "__part"],
         inner,
         weight="__weight",
         sizing=sizing,
+        fits=fits,
     )
     return _on_top(nested, middle.parent, top, inner)
 

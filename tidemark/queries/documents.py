@@ -107,7 +107,7 @@ def to_jsonb_scalar(t):
               ORDER BY o_orderkey)}) AS doc FROM orders GROUP BY o_custkey""",
 )
 def agg_rows_in_object(t):
-    nested = nest(t.orders, ["o_custkey"], F.struct("o_orderkey", "o_orderpriority"), ["o_orderkey"], "albums")
+    nested = nest(t.orders, ["o_custkey"], F.struct("o_orderkey", "o_orderpriority"), "albums")
     return nested.select("o_custkey", variants.row_json("albums").alias("doc"))
 
 
@@ -128,7 +128,7 @@ def nested_documents(t):
        JOIN customer ON o_custkey = c_custkey""",
 )
 def albums_with_track_names(t):
-    tracks = nest(t.lineitem, ["l_orderkey"], F.col("l_partkey"), ["l_partkey"], "names")
+    tracks = nest(t.lineitem, ["l_orderkey"], F.col("l_partkey"), "names")
     return (
         tracks.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -464,7 +464,7 @@ def documents_per_actor(t):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     element = F.struct("p_partkey", "title", "released", "years_ago")
-    nested = nest(films, ["l_suppkey"], element, ["p_partkey", "released"], "films")
+    nested = nest(films, ["l_suppkey"], element, "films", order=["p_partkey", "released"])
     return nested.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "s_suppkey", variants.row_json(F.col("s_name").alias("actor"), "films").alias("doc")
     )

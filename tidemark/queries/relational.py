@@ -185,7 +185,7 @@ def join_inner_4way(t):
 def _large_order_keys(t):
     """Order keys per customer, for large finished orders; some customers have none."""
     large = t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
-    return nest(large, ["o_custkey"], F.col("o_orderkey"), ["o_orderkey"], "keys")
+    return nest(large, ["o_custkey"], F.col("o_orderkey"), "keys")
 
 
 _LARGE_SQL = """WITH large AS (
@@ -303,7 +303,7 @@ def agg_count_nonnull(t):
        FROM orders GROUP BY o_custkey""",
 )
 def agg_array_scalar(t):
-    nested = nest(t.orders, ["o_custkey"], F.col("o_orderkey"), ["o_orderkey"], "keys")
+    nested = nest(t.orders, ["o_custkey"], F.col("o_orderkey"), "keys")
     return nested.select("o_custkey", F.array_join(F.col("keys").cast("array<string>"), ",").alias("order_keys"))
 
 
@@ -314,7 +314,7 @@ def agg_array_scalar(t):
 )
 def agg_array_rows(t):
     row = F.struct("o_orderkey", "o_orderstatus")
-    nested = nest(t.orders, ["o_custkey"], row, ["o_orderkey"], "rows")
+    nested = nest(t.orders, ["o_custkey"], row, "rows")
     return nested.select(
         "o_custkey", F.to_json("rows", {"ignoreNullFields": "false"}).alias("order_rows")
     )
