@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import local_session, release_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,6 +14,7 @@ def spark():
     session = local_session("8", partitions=4, memory="6g")
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release_scratch(session)
     session.stop()
 
 

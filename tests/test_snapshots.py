@@ -123,3 +123,22 @@ def test_stored_collection(spark):
     assert ids({}) == [0, 1, 2, 3]
     plan = find(stored, "doc", {"p": {"c": "x"}}, HOT)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(category,x)" in plan
+
+
+def test_version_table_changes_only_touched_years(spark):
+    table = versions_store.VersionTable(spark, scratch_path(spark, "history"))
+    rows = versions(
+        spark, (1, "1998-01-05", "1999-02-01", "a"), (1, "1999-02-01", END, "b"), (2, "1997-03-03", END, "c")
+    ).withColumn("deleted", F.lit(False))
+    keys = rows.groupBy("id").agg(F.min("valid_from").alias("created"))
+    table.create(rows, keys)
+    batch = spark.createDataFrame([(1, "update", "B"), (None, "insert", "n")], "id long, op string, v string")
+    assert table.apply(batch, "2001-05-05 00:00:00", ["v"]) == 2
+    first, second = (versions_store._manifest(spark, table.path, n)["years"] for n in (1, 2))
+    assert first["1997"] == second["1997"] and first["1998"] == second["1998"]
+    assert first["1999"] != second["1999"] and set(second) == {"1997", "1998", "1999", "2001"}
+    view = table.current().select("id", "rec_version", "v")
+    assert sorted(map(tuple, view.collect())) == [(1, 3, "B"), (2, 1, "c"), (3, 1, "n")]
+    assert table.keys().count() == 3
+    with pytest.raises(ConstraintError):
+        table.apply(spark.createDataFrame([(1, "update", "C")], "id long, op string, v string"), "2000-01-01 00:00:00", ["v"])

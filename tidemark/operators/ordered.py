@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.session import written
 
 HOT_ROWS = 2_000_000
-MAX_BROADCAST_KEYS = 500_000
+MAX_BROADCAST_KEYS = 100_000
 
 _POS = "__pos"
 _PIECE = "__piece"

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Needle tables up to this many rows and characters are sent to every executor.
+# Needle tables up to this many rows and characters (all columns) are sent to every executor.
 MAX_NEEDLES = 200_000
 MAX_CHARS = 50_000_000
 # Up to this many, a text drops the pieces nobody asks for before any row is made of them.
@@ -120,7 +120,7 @@ def contains_join(
     # One small job: which kinds occur, and may the needles be sent to every executor?
     facts = anchored.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.length(needle)), F.lit(0)).alias("chars"),
+        F.coalesce(F.sum(F.length(F.to_json(F.struct(*needles.columns)))), F.lit(0)).alias("chars"),
         F.collect_set("__kind").alias("kinds"),
     ).first()
     kinds = [k for k in _KINDS if k in facts["kinds"]] or ["words"]

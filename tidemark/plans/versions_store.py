@@ -1,80 +1,80 @@
 """A version table on disk, one folder per year of the lower bound.
 
-``data/part_year=Y/snap=<id>/`` holds the rows of one year as one writer left them, and a published
-marker lists which ``snap`` is valid for which year. A change writes the years it touches; the other
-years are taken over by name.
+``data/snap=<id>/part_year=Y/`` holds the rows of one year as one writer left them, ``keys/<id>/`` the
+keys one writer added. A published marker lists which ``snap`` is valid for which year, and the key
+folders. A change writes the years it touches; the other years are taken over by name.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import next_year_start, year_start
-from tidemark.plans.snapshots import create_marker, published_versions, read_marker
+from tidemark.functions.times import next_year_start, open_end, year_start
+from tidemark.plans import temporal
+from tidemark.plans.snapshots import create_marker, list_names, published_versions, read_marker
 
 YEAR = "part_year"
 
 
-def _manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, str]:
+def _manifest(spark: SparkSession, path: str, version: int | None = None) -> dict:
     versions = published_versions(spark, path)
     if not versions:
-        return {}
+        return {"years": {}, "keys": []}
     number = versions[-1] if version is None else version
     return json.loads(read_marker(spark, f"{path}/published/{number:010d}"))
 
 
 def write_versions(
-    df: DataFrame, path: str, start: str = "valid_from", years: Iterable[int] | None = None
+    df: DataFrame,
+    path: str,
+    start: str = "valid_from",
+    key: str = "id",
+    years: Iterable[int] | None = None,
+    new_keys: DataFrame | None = None,
 ) -> int:
-    """Publish ``df`` as the content of ``years`` (default: every year, replacing the whole table).
+    """Publish ``df`` as the content of ``years`` (default: every year, replacing all versions).
 
-    Folders for new years appear as they are needed.
+    Folders for new years appear as they are needed. Files hold neighbouring keys, so that the
+    history of a key is found by file statistics; neither a year nor a key has to fit one task.
+    ``new_keys`` are added to the key table in the same step.
     """
     spark = df.sparkSession
     snap = uuid.uuid4().hex
-    dated = df.withColumn(YEAR, F.year(start)).withColumn("snap", F.lit(snap))
+    versions = published_versions(spark, path)
+    number = versions[-1] + 1 if versions else 1
+    held = _manifest(spark, path)
+    dated = df.withColumn(YEAR, F.year(start))
     touched = None if years is None else sorted(set(years))
     if touched is not None:
         dated = dated.filter(F.col(YEAR).isin(touched))
-    # Rows are spread over several files per year, so that one year is not one task.
-    dated.repartition(F.col(YEAR), F.pmod(F.xxhash64(start), F.lit(_files_per_year(spark)))).write.mode(
-        "append"
-    ).partitionBy(YEAR, "snap").parquet(f"{path}/data")
-    versions = published_versions(spark, path)
-    number = versions[-1] + 1 if versions else 1
-    manifest = {} if touched is None else _manifest(spark, path)
-    for year in touched or []:
-        manifest.pop(str(year), None)
-    manifest.update(_written_years(spark, path, snap))
-    create_marker(spark, f"{path}/published/{number:010d}", json.dumps(manifest))
+    order = [F.col(YEAR).asc(), F.col(key).asc(), F.col(start).asc()]
+    dated.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(YEAR).parquet(
+        f"{path}/data/snap={snap}"
+    )
+    kept = {} if touched is None else {y: s for y, s in held["years"].items() if int(y) not in touched}
+    for name in list_names(spark, f"{path}/data/snap={snap}"):
+        if name.startswith(f"{YEAR}="):
+            kept[name.split("=", 1)[1]] = snap
+    keys = list(held["keys"])
+    if new_keys is not None:
+        new_keys.write.parquet(f"{path}/keys/{snap}")
+        keys.append(snap)
+    create_marker(spark, f"{path}/published/{number:010d}", json.dumps({"years": kept, "keys": keys}))
     return number
 
 
-def _files_per_year(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-
-
-def _written_years(spark: SparkSession, path: str, snap: str) -> dict[str, str]:
-    from tidemark.plans.snapshots import list_names
-
-    found = {}
-    for name in list_names(spark, f"{path}/data"):
-        if name.startswith(f"{YEAR}=") and f"snap={snap}" in list_names(spark, f"{path}/data/{name}"):
-            found[name.split("=", 1)[1]] = snap
-    return found
-
-
 def read_versions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The published rows with ``part_year``, which prunes folders when filtered on."""
-    manifest = _manifest(spark, path, version)
-    if not manifest:
+    years = _manifest(spark, path, version)["years"]
+    if not years:
         raise LookupError(f"nothing published in {path}")
-    folders = [f"{path}/data/{YEAR}={year}/snap={snap}" for year, snap in sorted(manifest.items())]
+    folders = [f"{path}/data/snap={snap}/{YEAR}={year}" for year, snap in sorted(years.items())]
     return spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("snap")
 
 
@@ -86,7 +86,7 @@ def read_as_of(spark: SparkSession, path: str, ts: str, start: str = "valid_from
 
 
 def touched_years(changed: DataFrame, start: str = "valid_from") -> list[int]:
-    """Years a change writes to. There are only as many as the table has years."""
+    """Years of the given rows. There are only as many as the table has years."""
     return [r[0] for r in changed.select(F.year(start)).distinct().collect()]
 
 
@@ -96,3 +96,40 @@ def partition_registry(df: DataFrame, start: str = "valid_from") -> DataFrame:
     return first.select(
         YEAR, year_start(F.col("__any")).alias("start_value"), next_year_start(F.col("__any")).alias("end_value")
     )
+
+
+@dataclass(frozen=True)
+class VersionTable:
+    """Stored versions and their keys, changed in batches."""
+
+    spark: SparkSession
+    path: str
+
+    def create(self, versions: DataFrame, keys: DataFrame) -> int:
+        return write_versions(versions, self.path, new_keys=keys)
+
+    def versions(self) -> DataFrame:
+        return read_versions(self.spark, self.path).drop(YEAR)
+
+    def keys(self) -> DataFrame:
+        folders = _manifest(self.spark, self.path)["keys"]
+        return self.spark.read.parquet(*[f"{self.path}/keys/{name}" for name in folders])
+
+    def current(self) -> DataFrame:
+        return temporal.current(self.versions(), self.keys())
+
+    def apply(self, changes: DataFrame, ts: str, order: Sequence[str]) -> int:
+        """Check a batch, then publish the years it touches: those of the versions it closes, and
+        the year of ``ts``, where the new versions go."""
+        at = F.lit(ts).cast("timestamp_ntz")
+        temporal.check_changes(self.versions(), changes, at)
+        stored = read_versions(self.spark, self.path)
+        hit = stored.filter(F.col("valid_to") == open_end()).join(
+            changes.filter(F.col("op") != "insert").select("id"), "id", "left_semi"
+        )
+        years = {*(r[0] for r in hit.select(YEAR).distinct().collect()), int(ts[:4])}
+        affected = stored.filter(F.col(YEAR).isin(sorted(years))).drop(YEAR)
+        old_keys = self.keys()
+        all_keys, after = temporal.apply_changes(old_keys, affected, changes, at, order, check=False)
+        added = all_keys.filter(F.col("created") == at).join(old_keys, "id", "left_anti")
+        return write_versions(after, self.path, years=years, new_keys=added)

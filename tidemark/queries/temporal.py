@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.distinct import first_per_key
 from tidemark.plans import temporal
+from tidemark.plans.versions_store import VersionTable
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
 
 NOW = "2024-02-01 00:00:00"
 PAST = "2024-01-15 12:00:00"
@@ -145,9 +147,7 @@ def join_versions_on_id(t):
     return temporal.version_pairs(state(t))
 
 
-@query(
-    "tt_view_dml",
-    f"""WITH {_V}, cur AS (SELECT v.*, c_mktsegment, c_acctbal,
+_DML_SQL = f"""WITH {_V}, cur AS (SELECT v.*, c_mktsegment, c_acctbal,
               CASE c_mktsegment WHEN 'BUILDING' THEN 'update' WHEN 'MACHINERY' THEN 'delete' END AS op
               FROM v JOIN customer ON id = c_custkey WHERE valid_to = {_END} AND NOT deleted)
         SELECT {_SHOWN} FROM v
@@ -159,24 +159,39 @@ def join_versions_on_id(t):
           CASE op WHEN 'update' THEN c_acctbal ELSE value END, op = 'delete' FROM cur WHERE op IS NOT NULL
         UNION ALL SELECT (SELECT max(id) FROM k) + row_number() OVER (ORDER BY c_acctbal, c_mktsegment, c_custkey),
           TIMESTAMP '{NOW}', {_TEXT.format(_END)}, c_mktsegment, c_acctbal, false
-          FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""",
-)
-def tt_view_dml(t):
-    held, known = state(t), keys(t)
+          FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"""
+
+
+def _view_changes(t, visible):
+    """A change per customer. Updates and deletes go through the current view, so that ids it does
+    not show are out of reach."""
     op = (
         F.when(F.col("event_type") == "BUILDING", "update")
         .when(F.col("event_type") == "MACHINERY", "delete")
         .otherwise("insert")
     )
     wanted = _customer_changes(t).withColumn("op", op)
-    # Updates and deletes go through the current view: ids that it does not show are out of reach.
-    visible = temporal.current(held, known).select("id")
     reached = wanted.filter(F.col("op") != "insert").join(visible, "id", "left_semi")
-    batch = reached.unionByName(wanted.filter(F.col("op") == "insert"))
+    return reached.unionByName(wanted.filter(F.col("op") == "insert"))
+
+
+@query("tt_view_dml", _DML_SQL)
+def tt_view_dml(t):
+    held, known = state(t), keys(t)
+    batch = _view_changes(t, temporal.current(held, known).select("id"))
     _, versions = temporal.apply_changes(known, held, batch, NOW, ["value", "event_type", "id"])
     return _shown(versions)
 
 
+@query("tt_stored_batch", _DML_SQL)
+def tt_stored_batch(t):
+    table = VersionTable(t.spark, scratch_path(t.spark, "history"))
+    table.create(state(t), keys(t))
+    batch = _view_changes(t, table.current().select("id"))
+    table.apply(batch, NOW, ["value", "event_type", "id"])
+    return _shown(table.versions())
+
+
 @query(
     "distinct_change_batch",
     """SELECT user_id AS id, max_by(event_type, ts) AS event_type, max_by(value, ts) AS value

@@ -56,9 +56,19 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder; results read from it are gone."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df, label: str):
