@@ -26,7 +26,9 @@ def _collected(df: DataFrame, keys: Sequence[str], order: Sequence[str], element
     """Group and collect, sorted by ``order`` and then by the element itself.
 
     Elements travel inside a row, as a collected NULL would be dropped; a struct is a row already.
+    Rows are shuffled first, as lists collected before the shuffle would not make it any smaller.
     """
+    df = df.repartition(*keys)
     if not order and isinstance(df.select(element.alias("e")).schema["e"].dataType, T.StructType):
         return df.groupBy(*keys).agg(F.sort_array(F.collect_list(element)).alias(out))
     row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], element.alias("e"))

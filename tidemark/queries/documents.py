@@ -66,11 +66,11 @@ def order_documents(t):
 
 @query(
     "json_build_object",
-    """SELECT n_nationkey, json_object('nation_id', n_nationkey, 'nation_name', n_name) AS doc FROM nation""",
+    """SELECT c_custkey, json_object('customer_id', c_custkey, 'customer_name', c_name) AS doc FROM customer""",
 )
 def json_build_object(t):
-    doc = variants.row_json(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"))
-    return t.nation.select("n_nationkey", doc.alias("doc"))
+    doc = variants.row_json(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
+    return t.customer.select("c_custkey", doc.alias("doc"))
 
 
 @query(
@@ -138,17 +138,17 @@ def albums_with_track_names(t):
 
 @query(
     "to_jsonb_row",
-    """SELECT n_nationkey, n_name AS name, n_regionkey AS region, n_name AS reparsed_name FROM nation""",
+    """SELECT c_custkey, c_name AS name, c_nationkey AS nation, c_name AS reparsed_name FROM customer""",
 )
 def to_jsonb_row(t):
-    made = t.nation.select("n_nationkey", variants.from_row("n_nationkey", "n_name", "n_regionkey").alias("v"))
+    made = t.customer.select("c_custkey", variants.from_row("c_custkey", "c_name", "c_nationkey").alias("v"))
     # A document rendered to text and read back is the same document.
     both = made.withColumn("again", F.parse_json(F.to_json("v")))
     return both.select(
-        "n_nationkey",
-        variants.get_text(F.col("v"), "n_name").alias("name"),
-        variants.get_as(F.col("v"), "int", "n_regionkey").alias("region"),
-        variants.get_text(F.col("again"), "n_name").alias("reparsed_name"),
+        "c_custkey",
+        variants.get_text(F.col("v"), "c_name").alias("name"),
+        variants.get_as(F.col("v"), "int", "c_nationkey").alias("nation"),
+        variants.get_text(F.col("again"), "c_name").alias("reparsed_name"),
     )
 
 
