@@ -1,6 +1,7 @@
 """Variants: navigation, containment, editing."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,41 @@ def test_containment(spark):
     assert null.select(contains(F.col("doc"), {"a": 1})).first()[0] is None
 
 
+def model(doc, wanted, top=True):
+    """Containment of JSON values, written down directly."""
+    if isinstance(wanted, dict):
+        return isinstance(doc, dict) and all(k in doc and model(doc[k], v, False) for k, v in wanted.items())
+    if isinstance(wanted, list):
+        return isinstance(doc, list) and all(any(model(d, w, False) for d in doc) for w in wanted)
+    if top and isinstance(doc, list):
+        return any(model(d, wanted, False) for d in doc)
+    if isinstance(doc, (dict, list)) or isinstance(doc, bool) != isinstance(wanted, bool):
+        return False
+    return type(doc) is type(wanted) and doc == wanted or (
+        isinstance(doc, (int, float)) and isinstance(wanted, (int, float)) and doc == wanted
+    )
+
+
+def random_value(draw, depth):
+    kind = draw.choice(["scalar", "scalar", "object", "array"] if depth else ["scalar"])
+    if kind == "object":
+        return {draw.choice("abc"): random_value(draw, depth - 1) for _ in range(draw.randint(0, 3))}
+    if kind == "array":
+        return [random_value(draw, depth - 1) for _ in range(draw.randint(0, 3))]
+    return draw.choice([1, 2, 1.5, "1", "x", True, False, None])
+
+
+def test_containment_of_random_documents(spark):
+    draw = random.Random(11)
+    values_ = [random_value(draw, 3) for _ in range(300)]
+    df = docs(spark, *[json.dumps(v) for v in values_])
+    wanted = [random_value(draw, 2) for _ in range(25)]
+    tests = [contains(F.col("doc"), w).alias(f"w{i}") for i, w in enumerate(wanted)]
+    for row in df.select("i", *tests).collect():
+        for i, w in enumerate(wanted):
+            assert row[f"w{i}"] is model(values_[row.i], w), (values_[row.i], w)
+
+
 def test_edits(spark):
     df = docs(spark, '{"a": {"b": 1, "c": 2}, "d": "x"}', "[1]", '{"a": 5}')
     doc = F.col("doc")

@@ -49,13 +49,15 @@ class RefreshJob:
 
     def _run(self, items: DataFrame, batch: int) -> None:
         begin = dt.datetime.now(dt.timezone.utc)
-        known = published_versions(self.spark, self.snapshot.path)
-        old = self.snapshot.read() if known else None
-        self.snapshot.refresh(merge_items(old, items), key=["guid"])
+        # A batch runs in a session of its own.
+        spark = items.sparkSession
+        snapshot = Snapshot(spark, self.snapshot.path)
+        old = snapshot.read() if published_versions(spark, snapshot.path) else None
+        snapshot.refresh(merge_items(old, items), key=["guid"])
         end = dt.datetime.now(dt.timezone.utc)
         row = [(batch, begin, end, "refresh feed snapshot")]
         # A batch that is run again after a failure replaces its own log row.
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             f"{self.log}/batch={batch}"
         )
 
