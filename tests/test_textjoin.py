@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.textjoin import contains_join, with_anchor
+from tidemark.operators.textjoin import contains_join, needle_forms, with_longest_anchor, with_rarest_anchor
 
 NEEDLES = [
     "", "%", "_", "%%", "a", "B", "AC/DC", "u2", "red hot chili peppers", "RED HOT chili", "the the the the the",
@@ -49,7 +49,7 @@ def route(request, setting):
 
 def test_edge_cases(spark, route):
     t, n = both(spark, TEXTS, NEEDLES)
-    assert pairs(contains_join(t, n, "t", "n", ["text"], "needle")) == pairs(loop(t, n))
+    assert pairs(contains_join(t, n, "t", ["text"], "needle")) == pairs(loop(t, n))
 
 
 def test_random_strings(spark, route):
@@ -61,29 +61,42 @@ def test_random_strings(spark, route):
     needles = ["".join(draw.choices(alphabet, k=draw.randint(0, 5))) for _ in range(60)]
     needles += [" ".join(draw.choices(words, k=draw.randint(1, 7))) for _ in range(60)]
     t, n = both(spark, texts, needles)
-    assert pairs(contains_join(t, n, "t", "n", ["text"], "needle")) == pairs(loop(t, n))
+    assert pairs(contains_join(t, n, "t", ["text"], "needle")) == pairs(loop(t, n))
 
 
 def test_two_columns(spark, route):
     t, n = both(spark, TEXTS, NEEDLES)
     t = t.withColumn("other", F.reverse("text"))
     expected = pairs(loop(t, n, ["text", "other"]))
-    assert pairs(contains_join(t, n, "t", "n", ["text", "other"], "needle")) == expected
+    assert pairs(contains_join(t, n, "t", ["text", "other"], "needle")) == expected
 
 
 def test_no_needles(spark, route):
     t, n = both(spark, TEXTS, NEEDLES)
-    assert contains_join(t, n.filter("n < 0"), "t", "n", ["text"], "needle").count() == 0
+    assert contains_join(t, n.filter("n < 0"), "t", ["text"], "needle").count() == 0
+
+
+def test_copies_of_a_needle(spark, route):
+    t, n = both(spark, TEXTS, ["AC/DC", "ac/dc", "AC/DC", "red hot chili peppers", "RED hot chili peppers"])
+    assert pairs(contains_join(t, n, "t", ["text"], "needle")) == pairs(loop(t, n))
 
 
 def test_anchor_kinds(spark):
-    _, n = both(spark, [], ["one two three four five", "AC/DC", "u2", "%", "a_b_c d"])
-    kinds = {r.n: (r["__kind"], r["__anchor"]) for r in with_anchor(n, "needle").collect()}
-    assert kinds[0] == ("words", "two three four")
-    assert kinds[1][0] == "gram" and kinds[2][0] == "char" and kinds[3] == ("empty", "") and kinds[4][0] == "char"
+    _, n = both(spark, [], ["one two Three four five", "AC/DC", "u2", "%", "a_b_c d", "u2"])
+    forms = needle_forms(n, "needle")
+    kinds = {r["__low"]: (r["__kind"], r["__anchor"]) for r in with_longest_anchor(forms).collect()}
+    assert kinds["one two three four five"] == ("words", "two three four") and len(kinds) == 5
+    assert kinds["ac/dc"][0] == "gram" and kinds["u2"][0] == "char" and kinds["a_b_c d"][0] == "char"
+    assert kinds["%"] == ("empty", "")
+
+
+def test_rarest_anchor(spark):
+    _, n = both(spark, [], ["x common words here one y", "x common words here two y", "x common words here six y"])
+    anchors = {r["__anchor"] for r in with_rarest_anchor(needle_forms(n, "needle")).collect()}
+    assert anchors == {"words here one", "words here two", "words here six"}
 
 
 def test_plan_has_no_loop_join(spark, route):
     t, n = both(spark, TEXTS, NEEDLES)
-    plan = contains_join(t, n, "t", "n", ["text"], "needle")._jdf.queryExecution().executedPlan().toString()
+    plan = contains_join(t, n, "t", ["text"], "needle")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan

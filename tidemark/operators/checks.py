@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import running_max
@@ -19,10 +19,15 @@ def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def first_violation(bad: DataFrame) -> Row | None:
+    """The smallest row of ``bad``, in one job however many partitions have to be looked at."""
+    return bad.agg(F.min(F.struct(*bad.columns))).first()[0]
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    bad = unique_violations(df, keys).take(1)
-    if bad:
-        raise ConstraintError(f"key {list(keys)} is not unique, for example {bad[0].asDict()}")
+    bad = first_violation(unique_violations(df, keys))
+    if bad is not None:
+        raise ConstraintError(f"key {list(keys)} is not unique, for example {bad.asDict()}")
 
 
 def foreign_key_violations(child: DataFrame, parent: DataFrame, child_keys, parent_keys) -> DataFrame:

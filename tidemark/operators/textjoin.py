@@ -52,28 +52,46 @@ def _pieces(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
-def _longest(pieces: Column) -> Column:
-    sized = F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p")))
-    return F.array_max(sized)["p"]
+def needle_forms(needles: DataFrame, needle: str) -> DataFrame:
+    """One row per different needle, compared in lower case; NULL needles are left out.
 
-
-def with_anchor(needles: DataFrame, needle: str) -> DataFrame:
-    """Needles with their anchor; NULL needles are left out.
-
-    Adds ``__kind``, ``__anchor``, ``__plain`` (no wildcard or escape) and ``__low`` (lower case).
+    ``__low`` is the needle, ``__form`` a digest of it, ``__plain`` says that it has no wildcard or
+    escape, ``__kind`` is its most selective kind, and ``__pieces`` holds its pieces of that kind.
     """
-    found = needles.filter(F.col(needle).isNotNull()).withColumn("__low", F.lower(needle))
-    found = found.withColumns({f"__{k}": _longest(_pieces(F.col("__low"), p)) for k, p in _NEEDLE_PIECES.items()})
-    kind, anchor = F.lit("empty"), F.lit("")
-    for name in reversed(list(_NEEDLE_PIECES)):
-        kind = F.when(F.col(f"__{name}").isNotNull(), F.lit(name)).otherwise(kind)
-        anchor = F.coalesce(F.col(f"__{name}"), anchor)
-    plain = ~F.col("__low").rlike(r"[%_\\]")
-    return found.withColumns({"__kind": kind, "__anchor": anchor, "__plain": plain}).drop(
-        *[f"__{k}" for k in _NEEDLE_PIECES]
+    low = F.col("__low")
+    forms = needles.filter(F.col(needle).isNotNull()).select(F.lower(needle).alias("__low")).distinct()
+    kind, pieces = F.lit("empty"), F.array(F.lit(""))
+    for name, pattern in reversed(_NEEDLE_PIECES.items()):
+        found = F.array_distinct(_pieces(low, pattern))
+        kind = F.when(F.size(found) > 0, F.lit(name)).otherwise(kind)
+        pieces = F.when(F.size(found) > 0, found).otherwise(pieces)
+    return forms.select(
+        "__low",
+        _form(low).alias("__form"),
+        (~low.rlike(r"[%_\\]")).alias("__plain"),
+        kind.alias("__kind"),
+        pieces.alias("__pieces"),
     )
 
 
+def _form(low: Column) -> Column:
+    return F.sha2(low, 256)
+
+
+def with_longest_anchor(forms: DataFrame) -> DataFrame:
+    sized = F.transform("__pieces", lambda p: F.struct(F.length(p).alias("n"), p.alias("p")))
+    return forms.withColumn("__anchor", F.array_max(sized)["p"]).drop("__pieces")
+
+
+def with_rarest_anchor(forms: DataFrame) -> DataFrame:
+    """The piece that fewest other needles have: many needles sharing an anchor make many candidates."""
+    rows = forms.select("__form", F.explode("__pieces").alias("__piece"))
+    shared = rows.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+    rank = F.struct(F.col("__n"), -F.length("__piece"), F.col("__piece"))
+    best = rows.join(shared, "__piece").groupBy("__form").agg(F.min_by("__piece", rank).alias("__anchor"))
+    return forms.drop("__pieces").join(best, "__form")
+
+
 def _lowered(texts: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Texts with each searched column also in lower case, computed once per text."""
     names = {f"__low_{i}": F.lower(F.col(c)) for i, c in enumerate(columns)}
@@ -108,37 +126,41 @@ def contains_join(
     texts: DataFrame,
     needles: DataFrame,
     text_key: str,
-    needle_key: str,
     columns: Sequence[str],
     needle: str,
 ) -> DataFrame:
     """All pairs where one of ``columns`` contains ``needle``, with the columns of both sides.
 
-    ``text_key`` and ``needle_key`` identify the rows of the two sides; column names must differ.
+    ``text_key`` identifies a text; the column names of the two sides must differ. Needles may repeat.
     """
-    anchored = with_anchor(needles, needle)
-    # One small job: which kinds occur, and may the needles be sent to every executor?
-    facts = anchored.agg(
+    lowered, lows = _lowered(texts, columns)
+    forms = needle_forms(needles, needle)
+    # Two small jobs: which kinds occur, and may the needles be sent to every executor?
+    kinds_found = {r[0] for r in forms.select("__kind").distinct().collect()}
+    size = needles.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.length(F.to_json(F.struct(*needles.columns)))), F.lit(0)).alias("chars"),
-        F.collect_set("__kind").alias("kinds"),
     ).first()
-    kinds = [k for k in _KINDS if k in facts["kinds"]] or ["words"]
+    kinds = [k for k in _KINDS if k in kinds_found] or ["words"]
     conf = texts.sparkSession.conf
-    few = facts["n"] <= int(conf.get("tidemark.textjoin.maxNeedles", str(MAX_NEEDLES)))
-    lowered, lows = _lowered(texts, columns)
-    if few and facts["chars"] <= MAX_CHARS:
+    few = size["n"] <= int(conf.get("tidemark.textjoin.maxNeedles", str(MAX_NEEDLES))) and size["chars"] <= MAX_CHARS
+    # Copies of a needle are matched once, and found texts are given to each copy afterwards.
+    copies = needles.withColumn("__copy", _form(F.lower(needle)))
+    if few:
         # Texts stay where they are: pieces, lookup and verification run in one stage.
-        listed = facts["n"] <= int(conf.get("tidemark.textjoin.maxListed", str(MAX_LISTED)))
+        anchored = with_longest_anchor(forms)
+        listed = size["n"] <= int(conf.get("tidemark.textjoin.maxListed", str(MAX_LISTED)))
         asked = anchored.agg(F.collect_set("__anchor")).scalar() if listed else None
         found = lowered.withColumn("__piece", F.explode(_text_anchors(lows, kinds, asked)))
         pairs = found.join(F.broadcast(anchored), F.col("__piece") == F.col("__anchor"))
+        copies = F.broadcast(copies)
     else:
-        pairs = _shuffled(lowered, lows, anchored, kinds, text_key, needle_key)
-    return pairs.filter(_matches(lows)).select(*texts.columns, *needles.columns)
+        pairs = _shuffled(lowered, lows, with_rarest_anchor(forms), kinds, text_key)
+    matched = pairs.filter(_matches(lows)).select(*texts.columns, "__form")
+    return matched.join(copies, F.col("__form") == F.col("__copy")).select(*texts.columns, *needles.columns)
 
 
-def _shuffled(lowered, lows, anchored, kinds, text_key, needle_key) -> DataFrame:
+def _shuffled(lowered, lows, anchored, kinds, text_key) -> DataFrame:
     """Candidate pairs for needles too many to send: only keys and hashed pieces travel.
 
     A frequent piece is spread over SALTS shares, and every needle is copied to each share.
@@ -147,9 +169,9 @@ def _shuffled(lowered, lows, anchored, kinds, text_key, needle_key) -> DataFrame
     hashed = F.array_distinct(F.transform(_text_anchors(lows, kinds, None), lambda p: F.xxhash64(p)))
     left = lowered.select(F.col(text_key).alias("__t"), salt, F.explode(hashed).alias("__h"))
     right = anchored.select(
-        F.col(needle_key).alias("__n"),
+        F.col("__form").alias("__f"),
         F.xxhash64("__anchor").alias("__h"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"),
     )
-    pairs = left.join(right, ["__h", "__salt"]).select("__t", "__n")
-    return pairs.join(anchored, F.col("__n") == F.col(needle_key)).join(lowered, F.col("__t") == F.col(text_key))
+    pairs = left.join(right, ["__h", "__salt"]).select("__t", "__f")
+    return pairs.join(anchored, F.col("__f") == F.col("__form")).join(lowered, F.col("__t") == F.col(text_key))

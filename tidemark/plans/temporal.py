@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import contains_point, open_end
 from tidemark.operators.changes import with_next_ids
-from tidemark.operators.checks import ConstraintError
+from tidemark.operators.checks import ConstraintError, first_violation, unique_violations
 from tidemark.operators.distinct import first_per_key
 from tidemark.operators.ordered import next_value, row_number
 
@@ -77,9 +77,9 @@ def _new_id(changes: DataFrame) -> list[str]:
 
 
 def check_changes(state: DataFrame, changes: DataFrame, ts: Column) -> None:
-    bad = change_violations(state, changes, ts).take(1)
-    if bad:
-        raise ConstraintError(f"id {bad[0]['id']}: {bad[0]['reason']}")
+    bad = first_violation(change_violations(state, changes, ts))
+    if bad is not None:
+        raise ConstraintError(f"id {bad['id']}: {bad['reason']}")
 
 
 def _stamp(ts) -> Column:
@@ -280,10 +280,11 @@ def range_delete(state: DataFrame, ids: DataFrame, now, check: bool = True) -> D
 def range_insert(state: DataFrame, rows: DataFrame, now) -> DataFrame:
     """Open a range ``[now, end)`` per row; an id that already has a later end is an error."""
     fresh = rows.select("id", _stamp(now).alias("valid_from"), open_end().alias("valid_to"), *payload_columns(state))
-    twice = fresh.groupBy("id").count().filter(F.col("count") > 1).take(1)
-    busy = state.filter(F.col("valid_to") > _stamp(now)).join(fresh.select("id"), "id", "left_semi").take(1)
-    if twice or busy:
-        raise ConstraintError(f"id {(twice or busy)[0]['id']}: ranges would overlap")
+    twice = unique_violations(fresh, ["id"]).select("id")
+    busy = state.filter(F.col("valid_to") > _stamp(now)).join(fresh.select("id"), "id", "left_semi").select("id")
+    bad = first_violation(twice.unionByName(busy))
+    if bad is not None:
+        raise ConstraintError(f"id {bad['id']}: ranges would overlap")
     return state.unionByName(fresh.select(*state.columns))
 
 

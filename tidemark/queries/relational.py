@@ -237,7 +237,7 @@ def _needles(t):
 )
 def join_text_contains(t):
     texts = t.documents.select("doc_id", "text")
-    found = contains_join(texts, _needles(t), "doc_id", "item_id", ["text"], "needle")
+    found = contains_join(texts, _needles(t), "doc_id", ["text"], "needle")
     return found.select("doc_id", "item_id")
 
 
@@ -251,8 +251,7 @@ def join_text_contains_or(t):
     texts = t.documents.select("doc_id", "text", "source")
     sources = t.documents.select(F.col("source").alias("needle"))
     needles = t.benchmark.select(F.col("text").alias("needle")).union(sources).distinct()
-    keyed = needles.withColumn("needle_key", F.col("needle"))
-    found = contains_join(texts, keyed, "doc_id", "needle_key", ["text", "source"], "needle")
+    found = contains_join(texts, needles, "doc_id", ["text", "source"], "needle")
     return found.select("doc_id", "needle")
 
 
