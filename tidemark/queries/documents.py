@@ -396,7 +396,11 @@ def json_text_compare(t):
     return _events(t).select("event_id", editing.same_text(F.col("doc"), other).alias("is_different"))
 
 
-@query("json_pretty")
+@query(
+    "json_pretty",
+    """SELECT c_custkey, '{' || chr(10) || '  "c_custkey" : ' || c_custkey || ',' || chr(10) || '  "c_name" : "' || c_name
+              || '",' || chr(10) || '  "c_mktsegment" : "' || c_mktsegment || '"' || chr(10) || '}' AS doc FROM customer""",
+)
 def json_pretty(t):
     doc = variants.from_row("c_custkey", "c_name", "c_mktsegment")
     text = variants.pretty(doc, "c_custkey bigint, c_name string, c_mktsegment string")
