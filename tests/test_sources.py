@@ -166,3 +166,20 @@ def test_shared_dir_must_be_named_on_a_cluster():
         shared_dir(fake)
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda n, d: "hdfs://x/y/"), sparkContext=None)
     assert shared_dir(named) == "hdfs://x/y"
+
+
+def test_a_running_job_picks_up_files_until_it_is_stopped(spark, tmp_path):
+    landing = str(tmp_path / "feed")
+    job = RefreshJob(
+        spark, landing, Snapshot(spark, str(tmp_path / "snap")), str(tmp_path / "log"), str(tmp_path / "check")
+    )
+    put(landing, "a.xml", feed(item(title="one", guid="g1")))
+    running = job.start(interval="1 second")
+    try:
+        running.processAllAvailable()
+        put(landing, "b.xml", feed(item(title="two", guid="g2")))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert sorted(r.guid for r in job.snapshot.read().collect()) == ["g1", "g2"]
+    assert not running.isActive and job.log_rows().count() == 2
