@@ -164,6 +164,8 @@ def test_shared_dir_must_be_named_on_a_cluster():
     fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError):
         shared_dir(fake)
+    local = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]", applicationId="local-1"))
+    assert shared_dir(local) == shared_dir(local) and os.path.isdir(shared_dir(local))
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda n, d: "hdfs://x/y/"), sparkContext=None)
     assert shared_dir(named) == "hdfs://x/y"
 

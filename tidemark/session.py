@@ -20,6 +20,10 @@ SETTINGS = {
 }
 
 
+# Temporary folders of local sessions without a named one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library relies on to an existing session."""
     for name, value in SETTINGS.items():
@@ -51,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_DIRS[application]
 
 
 def _own_scratch(spark: SparkSession) -> str:
