@@ -41,6 +41,14 @@ def test_only_one_writer_publishes_a_version(spark):
     assert view.version() == 2
 
 
+def test_a_change_made_from_an_old_version_is_refused(spark):
+    view = materialize(spark.range(3), scratch_path(spark, "t"), key=["id"])
+    view.refresh(spark.range(4), key=["id"], base=1)
+    with pytest.raises(PublishConflict):
+        view.refresh(spark.range(5), key=["id"], base=1)
+    assert view.read().count() == 4
+
+
 def test_nothing_published(spark):
     with pytest.raises(LookupError):
         Snapshot(spark, scratch_path(spark, "none")).read()

@@ -63,16 +63,21 @@ def published_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n) for n in list_names(spark, f"{path}/published") if n.isdigit())
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The newest published version, 0 when there is none."""
+    return max(published_versions(spark, path), default=0)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     spark: SparkSession
     path: str
 
     def version(self) -> int:
-        versions = published_versions(self.spark, self.path)
-        if not versions:
+        number = latest_version(self.spark, self.path)
+        if number == 0:
             raise LookupError(f"nothing published in {self.path}")
-        return versions[-1]
+        return number
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or a given one. The version is fixed when this is called."""
@@ -80,16 +85,18 @@ class Snapshot:
         name = read_marker(self.spark, f"{self.path}/published/{number:010d}")
         return self.spark.read.parquet(f"{self.path}/data/{name}")
 
-    def refresh(self, df: DataFrame, key: Sequence[str] | None = None, concurrent: bool = True) -> int:
+    def refresh(
+        self, df: DataFrame, key: Sequence[str] | None = None, concurrent: bool = True, base: int | None = None
+    ) -> int:
         """Store ``df`` as the next version and return its number.
 
         A concurrent refresh leaves the old version readable while it runs and needs a unique key,
-        which is checked on the written rows before they are published.
+        which is checked on the written rows before they are published. Give the version that ``df``
+        was made from as ``base`` to fail where another writer has published since.
         """
         if concurrent and not key:
             raise ValueError("a concurrent refresh needs a unique key")
-        versions = published_versions(self.spark, self.path)
-        number = versions[-1] + 1 if versions else 1
+        number = (latest_version(self.spark, self.path) if base is None else base) + 1
         name = uuid.uuid4().hex
         df.write.parquet(f"{self.path}/data/{name}")
         if key:

@@ -17,16 +17,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import next_year_start, open_end, year_start
 from tidemark.plans import temporal
-from tidemark.plans.snapshots import create_marker, list_names, published_versions, read_marker
+from tidemark.plans.snapshots import create_marker, latest_version, list_names, read_marker
 
 YEAR = "part_year"
 
 
 def _manifest(spark: SparkSession, path: str, version: int | None = None) -> dict:
-    versions = published_versions(spark, path)
-    if not versions:
+    number = latest_version(spark, path) if version is None else version
+    if number == 0:
         return {"years": {}, "keys": []}
-    number = versions[-1] if version is None else version
     return json.loads(read_marker(spark, f"{path}/published/{number:010d}"))
 
 
@@ -37,18 +36,20 @@ def write_versions(
     key: str = "id",
     years: Iterable[int] | None = None,
     new_keys: DataFrame | None = None,
+    base: int | None = None,
 ) -> int:
     """Publish ``df`` as the content of ``years`` (default: every year, replacing all versions).
 
     Folders for new years appear as they are needed. Files hold neighbouring keys, so that the
     history of a key is found by file statistics; neither a year nor a key has to fit one task.
-    ``new_keys`` are added to the key table in the same step.
+    ``new_keys`` are added to the key table in the same step. ``base`` is the version the change was
+    made from; publishing fails where another writer has published since.
     """
     spark = df.sparkSession
     snap = uuid.uuid4().hex
-    versions = published_versions(spark, path)
-    number = versions[-1] + 1 if versions else 1
-    held = _manifest(spark, path)
+    before = latest_version(spark, path) if base is None else base
+    number = before + 1
+    held = _manifest(spark, path, before)
     dated = df.withColumn(YEAR, F.year(start))
     touched = None if years is None else sorted(set(years))
     if touched is not None:
@@ -108,11 +109,11 @@ class VersionTable:
     def create(self, versions: DataFrame, keys: DataFrame) -> int:
         return write_versions(versions, self.path, new_keys=keys)
 
-    def versions(self) -> DataFrame:
-        return read_versions(self.spark, self.path).drop(YEAR)
+    def versions(self, version: int | None = None) -> DataFrame:
+        return read_versions(self.spark, self.path, version).drop(YEAR)
 
-    def keys(self) -> DataFrame:
-        folders = _manifest(self.spark, self.path)["keys"]
+    def keys(self, version: int | None = None) -> DataFrame:
+        folders = _manifest(self.spark, self.path, version)["keys"]
         return self.spark.read.parquet(*[f"{self.path}/keys/{name}" for name in folders])
 
     def current(self) -> DataFrame:
@@ -122,14 +123,15 @@ class VersionTable:
         """Check a batch, then publish the years it touches: those of the versions it closes, and
         the year of ``ts``, where the new versions go."""
         at = F.lit(ts).cast("timestamp_ntz")
-        temporal.check_changes(self.versions(), changes, at)
-        stored = read_versions(self.spark, self.path)
+        base = latest_version(self.spark, self.path)
+        temporal.check_changes(self.versions(base), changes, at)
+        stored = read_versions(self.spark, self.path, base)
         hit = stored.filter(F.col("valid_to") == open_end()).join(
             changes.filter(F.col("op") != "insert").select("id"), "id", "left_semi"
         )
         years = {*(r[0] for r in hit.select(YEAR).distinct().collect()), int(ts[:4])}
         affected = stored.filter(F.col(YEAR).isin(sorted(years))).drop(YEAR)
-        old_keys = self.keys()
+        old_keys = self.keys(base)
         all_keys, after = temporal.apply_changes(old_keys, affected, changes, at, order, check=False)
         added = all_keys.filter(F.col("created") == at).join(old_keys, "id", "left_anti")
-        return write_versions(after, self.path, years=years, new_keys=added)
+        return write_versions(after, self.path, years=years, new_keys=added, base=base)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.distinct import first_per_key
-from tidemark.plans.snapshots import Snapshot, published_versions
+from tidemark.plans.snapshots import Snapshot, latest_version
 from tidemark.sources.feeds import stream_feed
 
 LOG_SCHEMA = T.StructType(
@@ -52,8 +52,9 @@ class RefreshJob:
         # A batch runs in a session of its own.
         spark = items.sparkSession
         snapshot = Snapshot(spark, self.snapshot.path)
-        old = snapshot.read() if published_versions(spark, snapshot.path) else None
-        snapshot.refresh(merge_items(old, items), key=["guid"])
+        base = latest_version(spark, snapshot.path)
+        old = snapshot.read(base) if base else None
+        snapshot.refresh(merge_items(old, items), key=["guid"], base=base)
         end = dt.datetime.now(dt.timezone.utc)
         row = [(batch, begin, end, "refresh feed snapshot")]
         # A batch that is run again after a failure replaces its own log row.
