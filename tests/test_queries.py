@@ -6,9 +6,10 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_points
+from tidemark.queries import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TIDEMARK_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+# The queries of the text subpackage have tests of their own in tests/llm.
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
