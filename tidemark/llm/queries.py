@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate as decon
+from tidemark.llm import mixing
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
+from tidemark.session import written
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -55,3 +60,77 @@ def op1_quality_rules(t):
     return quality_rules(t.documents.select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents
+), i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark
+), iw AS (
+  SELECT DISTINCT item, n, array_to_string(words[s:s+n-1], ' ') AS g
+  FROM (SELECT item, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS s
+        FROM i WHERE len(words) > 0)
+), dw AS (
+  SELECT k, n, s, array_to_string(words[s:s+n-1], ' ') AS g
+  FROM (SELECT k, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(words) >= n)
+), hit AS (
+  SELECT k, n, s, item FROM dw JOIN iw USING (g, n)
+), hw AS (
+  SELECT k, count(DISTINCT w) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS w FROM (SELECT DISTINCT k, n, s FROM hit)) GROUP BY k
+), hi AS (
+  SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY k
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (k) LEFT JOIN hi USING (k)
+"""
+
+
+@query("op5_decontamination", DECONTAMINATION_SQL)
+def op5_decontamination(t):
+    """Hits of the benchmark in every document."""
+    return decon.contamination(t.documents.select("doc_id", "text"), t.benchmark)
+
+
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, xxh AS k,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size
+  FROM (SELECT *, row_number() OVER () AS xxh FROM documents)
+), s AS (
+  SELECT source, count(*) AS rows, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i, sum(source_size) OVER () * 1.5::DOUBLE AS budget,
+         2.0::DOUBLE * source_size AS most FROM s
+), w AS (
+  SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(i % 3 + 1)::INT] AS weight FROM o
+), l AS (
+  SELECT *, (budget - coalesce(sum(most) OVER (ORDER BY most / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY most / weight, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+), v AS (
+  SELECT min_by(level, (most / weight, i)) AS level FROM l WHERE level * weight <= most
+), t AS (
+  SELECT source, source_size, least(most, coalesce((SELECT level FROM v) * weight, most)) AS target,
+         ('0x' || substr(md5('mix-1:' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM w
+), r AS (
+  SELECT d.doc_id, size, source_size, target, u, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS LAST) - 1 AS p
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, ((floor(rate * (p + 1) + u) - floor(rate * p + u)) * size)::BIGINT AS taken FROM r
+"""
+
+
+@query("op6_source_mixing", MIXING_SQL)
+def op6_source_mixing(t):
+    """Words that the mix takes of every document."""
+    docs = t.documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.copies(written(docs, "sizes"), order=[F.col("doc_id").asc_nulls_last()])
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
