@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import mixing
+from tidemark.llm import mixing, near_dedup, token_files
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -134,3 +134,17 @@ def op6_source_mixing(t):
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+@query("op4_token_files")
+def op4_token_files(t):
+    """Token files of all documents, read back."""
+    import public_tokenizers
+
+    return token_files.token_files(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(t):
+    """Components of near duplicates among all documents."""
+    return near_dedup.near_duplicates(t.documents)
