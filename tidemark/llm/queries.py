@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import mixing, near_dedup, token_files
+from tidemark.llm import line_quality, mixing, near_dedup, token_files
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -148,3 +148,9 @@ def op4_token_files(t):
 def op10_near_duplicates(t):
     """Components of near duplicates among all documents."""
     return near_dedup.near_duplicates(t.documents)
+
+
+@query("op9_line_quality")
+def op9_line_quality(t):
+    """Quality of every document."""
+    return line_quality.line_quality(t.documents, t.labels)
