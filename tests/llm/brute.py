@@ -69,3 +69,17 @@ def removed(rows, n=200):
         spans = sum(1 for i in range(len(b)) if cut[i] and (i == 0 or not cut[i - 1]))
         out[d] = (len(b), sum(cut), spans, bytes(x for x, c in zip(b, cut, strict=True) if not c))
     return out
+
+
+def base_scores(rows):
+    """rows: (doc_id, text); id -> (held out, tokens, known, training tokens, score)."""
+    import math
+
+    words = {d: [*WORD.findall(lower(t or "")), None] for d, t in rows}
+    out = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in words}
+    counts = Counter(w for d, ws in words.items() if not out[d] for w in ws)
+    n = sum(counts.values())
+    return {
+        d: (out[d], len(ws), sum(counts[w] > 0 for w in ws), n, sum(math.log10((counts[w] + 1) / (n + len(counts) + 1)) for w in ws))
+        for d, ws in words.items()
+    }

@@ -31,3 +31,12 @@ def test_token_files(spark):
 
     expected = brute.token_files(texts(spark), public_tokenizers.path("byte_bpe_50k.json"))
     assert sorted(tuple(r) for r in QUERIES["op4_token_files"](spark, FOLDER).collect()) == expected
+
+
+def test_language_model(spark):
+    expected = brute.base_scores(texts(spark))
+    rows = QUERIES["op3_language_model"](spark, FOLDER).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in rows} == {d: x[:4] for d, x in expected.items()}
+    assert all(r.base_score == pytest.approx(expected[r.doc_id][4], rel=1e-9) for r in rows)
+    new = [r for r in rows if r.held_out]
+    assert sum(r.score for r in new) > sum(r.base_score for r in new)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import line_quality, mixing, near_dedup, token_files
+from tidemark.llm import language_model, line_quality, mixing, near_dedup, token_files
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -154,3 +154,9 @@ def op10_near_duplicates(t):
 def op9_line_quality(t):
     """Quality of every document."""
     return line_quality.line_quality(t.documents, t.labels)
+
+
+@query("op3_language_model")
+def op3_language_model(t):
+    """Log probabilities of every document."""
+    return language_model.language_model_scores(t.documents)
