@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import language_model, line_quality, mixing, near_dedup, token_files
+from tidemark.llm import language_model, line_quality, mixing, near_dedup, token_files, toxicity
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -160,3 +160,9 @@ def op9_line_quality(t):
 def op3_language_model(t):
     """Log probabilities of every document."""
     return language_model.language_model_scores(t.documents)
+
+
+@query("op2_toxicity")
+def op2_toxicity(t):
+    """Toxicity of every document."""
+    return toxicity.toxicity(t.documents, t.labels)
