@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import language_model, line_quality, mixing, near_dedup, token_files, toxicity
+from tidemark.llm import html_extract, language_model, line_quality, mixing, near_dedup, token_files, toxicity
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -166,3 +166,9 @@ def op3_language_model(t):
 def op2_toxicity(t):
     """Toxicity of every document."""
     return toxicity.toxicity(t.documents, t.labels)
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(t):
+    """Main text of every page."""
+    return html_extract.main_text(t.pages)
