@@ -40,3 +40,11 @@ def test_language_model(spark):
     assert all(r.base_score == pytest.approx(expected[r.doc_id][4], rel=1e-9) for r in rows)
     new = [r for r in rows if r.held_out]
     assert sum(r.score for r in new) > sum(r.base_score for r in new)
+
+
+def test_suffix_dedup(spark):
+    import hashlib
+
+    expected = {d: (*x[:3], hashlib.sha256(x[3]).hexdigest()) for d, x in brute.removed(texts(spark)).items()}
+    rows = QUERIES["op7_suffix_dedup"](spark, FOLDER).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected

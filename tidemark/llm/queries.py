@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import html_extract, language_model, line_quality, mixing, near_dedup, token_files, toxicity
+from tidemark.llm import html_extract, language_model, line_quality, mixing, near_dedup, suffix_dedup, token_files, toxicity
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -172,3 +172,10 @@ def op2_toxicity(t):
 def op8_html_extraction(t):
     """Main text of every page."""
     return html_extract.main_text(t.pages)
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(t):
+    """What is left of every document without passages that occur twice."""
+    cut = suffix_dedup.remove_repeated(t.documents)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
