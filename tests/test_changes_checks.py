@@ -31,6 +31,14 @@ def test_update_from(spark):
     assert rows(kept) == [(1, "new"), (2, "b"), (3, "c")]
 
 
+def test_update_from_refuses_two_partners(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "n")], "id int, v string")
+    other = spark.createDataFrame([(1, "x"), (1, "y"), (None, "p"), (None, "q")], "id int, w string")
+    with pytest.raises(Exception, match="several new rows"):
+        changes.update_from(df, other, "id", {"v": "w"}).collect()
+    assert rows(changes.update_from(df, other.filter("w <> 'y'"), "id", {"v": "w"})) == [(1, "x"), (None, "n")]
+
+
 def test_delete_keeps_rows_with_unknown_condition(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")
     assert rows(changes.delete_rows(df, F.col("v") == "a")) == [(2, None)]
@@ -46,7 +54,8 @@ def test_next_ids(spark):
 
 def test_unique(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "id int, v string")
-    assert rows(unique_violations(df, ["id", "v"])) == [(1, "a", 2), (2, None, 2)]
+    assert rows(unique_violations(df, ["id", "v"])) == [(1, "a", 2)]
+    assert rows(unique_violations(df, ["id", "v"], nulls_equal=True)) == [(1, "a", 2), (2, None, 2)]
     with pytest.raises(ConstraintError):
         assert_unique(df, ["id"])
     assert_unique(df.filter("id = 3"), ["id"])
@@ -63,3 +72,9 @@ def test_first_per_key(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (None, 3, "c"), (2, 9, None)], "k int, o int, v string")
     assert rows(first_per_key(df, ["k"], ["o"])) == [(1, 1, "a"), (2, 9, None), (None, 3, "c")]
     assert rows(first_per_key(df, ["k"], ["o"], last=True)) == [(1, 2, "b"), (2, 9, None), (None, 3, "c")]
+
+
+def test_nulls_come_last_in_order(spark):
+    df = spark.createDataFrame([(1, None, "none"), (1, 5, "five")], "k int, o int, v string")
+    assert rows(first_per_key(df, ["k"], ["o"])) == [(1, 5, "five")]
+    assert rows(first_per_key(df, ["k"], ["o"], last=True)) == [(1, None, "none")]

@@ -173,3 +173,12 @@ def test_edits(spark):
 def test_duplicate_keys_keep_the_last(spark):
     df = docs(spark, '{"k": 1, "k": 2}')
     assert values(df, variants.get_text(F.col("doc"), "k")) == ["2"]
+
+
+def test_unnest_copies_only_what_is_kept(spark):
+    df = spark.sql("""SELECT id AS i, parse_json('{"name": "n", "xs": [1, null, 3]}') AS doc FROM range(2)""")
+    rows = variants.unnest(df, "doc", "xs", out="x", keep={"i": F.col("i"), "name": variants.get_text(F.col("doc"), "name")})
+    assert rows.columns == ["i", "name", "x"]
+    assert rows.count() == 6
+    generate = [line for line in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "Generate" in line]
+    assert len(generate) == 1 and "doc#" not in generate[0] and "Filter" not in rows._jdf.queryExecution().optimizedPlan().toString().split("Generate")[1]

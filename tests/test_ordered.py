@@ -72,3 +72,11 @@ def test_overlaps(spark, setting, limit):
     df = spark.createDataFrame(data, "k string, s int, e int")
     bad = overlap_violations(df, "k", "s", "e")
     assert sorted(map(tuple, bad.collect())) == [("a", 2, 3), ("b", 3, 4), ("b", 8, 10)]
+
+
+def test_equal_rows_are_spread(spark, setting):
+    from tidemark.operators.ordered import lay_out
+
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    same = spark.range(0, 20_000, 1, 4).select(F.lit(1).alias("v"))
+    assert lay_out(same, [F.col("v")], "same").select("__piece").distinct().count() > 1

@@ -150,3 +150,13 @@ def test_version_table_changes_only_touched_years(spark):
     assert table.keys().count() == 3
     with pytest.raises(ConstraintError):
         table.apply(spark.createDataFrame([(1, "update", "C")], "id long, op string, v string"), "2000-01-01 00:00:00", ["v"])
+
+
+def test_an_empty_marker_is_not_a_version(spark):
+    path = scratch_path(spark, "t")
+    view = materialize(spark.range(3), path, key=["id"])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/published/0000000002")
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop).close()
+    assert (view.version(), view.read().count()) == (1, 3)
+    assert view.refresh(spark.range(5), key=["id"]) == 2
+    assert view.read().count() == 5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,9 +57,17 @@ def elements(doc: Column, *steps: str | int) -> Column:
     return F.try_variant_get(doc, path(*steps), "array<variant>")
 
 
-def unnest(df: DataFrame, doc: str, *steps: str | int, out: str) -> DataFrame:
-    """One row per array element, in column ``out``; documents without elements give no row."""
-    return df.withColumn(out, F.explode(elements(F.col(doc), *steps)))
+def unnest(df: DataFrame, doc: str, *steps: str | int, out: str, keep: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per array element, in column ``out``; documents without elements give no row.
+
+    ``keep`` names the columns that stand beside the elements (default: all of ``df``). They are computed before the array is
+    opened, so that only they, and not the document, are copied to each row.
+    """
+    kept = {c: F.col(c) for c in df.columns if c != out} if keep is None else keep
+    flat = df.select(*[value.alias(name) for name, value in kept.items()], elements(F.col(doc), *steps).alias("__elements"))
+    # The outer form: for the inner one the optimiser would add a filter on the array's size and compute the array twice.
+    rows = flat.select(*kept, F.posexplode_outer("__elements").alias("__at", out))
+    return rows.filter(F.col("__at").isNotNull()).drop("__at")
 
 
 def each(df: DataFrame, doc: str, *steps: str | int, key: str = "key", value: str = "value") -> DataFrame:

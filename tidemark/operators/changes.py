@@ -31,16 +31,20 @@ def update_from(
 ) -> DataFrame:
     """Set columns of ``df`` from the row of ``other`` with the same key.
 
-    ``other`` must be unique on the key. ``values`` maps a column of ``df`` to a column of
-    ``other``. Rows without a partner are kept as they are; a partner's NULL is taken over.
+    ``other`` must be unique on the key: a row with two partners ends the query with an error. ``values`` maps a
+    column of ``df`` to a column of ``other``. Rows without a partner are kept as they are; a partner's NULL is taken over.
     """
-    side = other.select(
-        F.col(key).alias("__key"),
-        F.lit(True).alias("__hit"),
-        *[F.col(source).alias(f"__new_{name}") for name, source in values.items()],
+    side = (
+        other.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__key"))
+        .agg(
+            F.count(F.lit(1)).alias("__partners"),
+            *[F.any_value(source).alias(f"__new_{name}") for name, source in values.items()],
+        )
     )
     joined = df.join(side, F.col(key) == F.col("__key"), "left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    twice = F.concat(F.lit(f"update_from: several new rows for {key} "), F.col(key).cast("string"))
+    hit = F.when(F.col("__partners") > 1, F.raise_error(twice).cast("boolean")).otherwise(F.col("__partners").isNotNull())
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
     columns = [

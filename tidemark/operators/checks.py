@@ -14,8 +14,13 @@ class ConstraintError(ValueError):
     """A table breaks a declared rule."""
 
 
-def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count."""
+def unique_violations(df: DataFrame, keys: Sequence[str], nulls_equal: bool = False) -> DataFrame:
+    """Keys that occur more than once, with their count.
+
+    As in a unique index, keys with a NULL differ from each other, unless ``nulls_equal`` is set.
+    """
+    if not nulls_equal:
+        df = df.dropna(subset=list(keys))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 

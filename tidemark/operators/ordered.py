@@ -21,6 +21,7 @@ MAX_BROADCAST_KEYS = 100_000
 
 _POS = "__pos"
 _PIECE = "__piece"
+_TIE = "__tie"
 # monotonically_increasing_id() keeps the partition number above bit 33.
 _PIECE_SHIFT = 33
 
@@ -82,10 +83,18 @@ class _Step:
 
 
 def lay_out(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
-    """Range-partition and sort ``df``, and write it with its position in that order."""
+    """Range-partition and sort ``df``, and write it with its position in that order.
+
+    A hash of the row, and then its place in the input, break ties, so that equal rows don't meet in one partition.
+    """
+    names = [f.name for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    ties = [F.xxhash64(*[F.col(f"`{n}`") for n in names])] if names else []
+    order = [*order, *ties, F.col(_TIE)]
     laid = (
-        df.repartitionByRange(*order)
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .drop(_TIE)
         .withColumn(_POS, F.monotonically_increasing_id())
     )
     return written(laid, label).withColumn(_PIECE, F.shiftright(_POS, _PIECE_SHIFT))

@@ -5,8 +5,9 @@ Layout of a snapshot folder::
     data/<id>/...          the rows of one version, written completely before it is published
     published/<n>          a marker naming the data folder of version n
 
-A version exists once its marker does. Markers are created with "must not exist", so two writers
-cannot publish the same version, and readers that started on an older version keep reading it.
+A version exists once its marker has content. Markers are written under another name and renamed to one that must not
+exist, so a reader never sees half of one, two writers cannot publish the same version, and readers that started on an
+older version keep reading it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.checks import assert_unique
@@ -37,17 +39,36 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(where))
 
 
+def _full_names(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder that have content."""
+    fs, where = _fs(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(where) if status.getLen() > 0)
+
+
 def create_marker(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file that must not exist yet."""
+    """Create a small file that must not exist yet, in one step: a full file gets its name by a rename."""
     fs, where = _fs(spark, path)
-    try:
-        out = fs.create(where, False)
-    except Exception as error:
-        raise PublishConflict(f"{path} already exists") from error
+    jvm = spark.sparkContext._jvm
+    draft = jvm.org.apache.hadoop.fs.Path(f"{where.getParent()}/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
+    try:
+        if fs.exists(where) and fs.getFileStatus(where).getLen() == 0:
+            fs.delete(where, False)  # left by a writer that died
+        # Unlike that of a file system, the rename of a file context refuses to replace a file.
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        context.rename(draft, fs.makeQualified(where), none)
+    except Py4JJavaError as error:
+        fs.delete(draft, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise PublishConflict(f"{path} already exists") from error
+        raise
 
 
 def read_marker(spark: SparkSession, path: str) -> str:
@@ -60,7 +81,7 @@ def read_marker(spark: SparkSession, path: str) -> str:
 
 
 def published_versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n) for n in list_names(spark, f"{path}/published") if n.isdigit())
+    return sorted(int(n) for n in _full_names(spark, f"{path}/published") if n.isdigit())
 
 
 def latest_version(spark: SparkSession, path: str) -> int:

@@ -255,7 +255,7 @@ def join_json_left(t):
     "SELECT o_custkey AS c_custkey, o_orderkey AS album_id, o_orderpriority AS album_title FROM orders",
 )
 def json_array_elements(t):
-    rows = variants.unnest(order_documents(t), "document", "albums", out="album")
+    rows = variants.unnest(order_documents(t), "document", "albums", out="album", keep={"c_custkey": F.col("c_custkey")})
     return rows.select(
         "c_custkey",
         variants.get_as(F.col("album"), "long", "album_id").alias("album_id"),
@@ -272,17 +272,23 @@ def json_array_elements(t):
 def json_nested_unnest(t):
     docs = as_variant(artist_documents(t)).select("document")
     # Each track stays with its own album: albums first, then the tracks of each.
-    albums = variants.unnest(docs, "document", "albums", out="album").select(
-        variants.get_as(F.col("document"), "long", "artist_id").alias("artist_id"),
-        variants.get_text(F.col("document"), "artist").alias("artist"),
-        "album",
-    )
-    tracks = variants.unnest(albums, "album", "album_tracks", out="track")
+    artist = {
+        "artist_id": variants.get_as(F.col("document"), "long", "artist_id"),
+        "artist": variants.get_text(F.col("document"), "artist"),
+    }
+    albums = variants.unnest(docs, "document", "albums", out="album", keep=artist)
+    album = {
+        "artist_id": F.col("artist_id"),
+        "artist": F.col("artist"),
+        "album_id": variants.get_as(F.col("album"), "long", "album_id"),
+        "album_title": variants.get_text(F.col("album"), "album_title"),
+    }
+    tracks = variants.unnest(albums, "album", "album_tracks", out="track", keep=album)
     return tracks.select(
         "artist_id",
         "artist",
-        variants.get_as(F.col("album"), "long", "album_id").alias("album_id"),
-        variants.get_text(F.col("album"), "album_title").alias("album_title"),
+        "album_id",
+        "album_title",
         variants.get_text(F.col("track"), "track_id").alias("track_id"),
         variants.get_as(F.col("track"), "long", "track_name").alias("track_name"),
         variants.get_as(F.col("track"), "double", "unit_price").alias("unit_price"),
