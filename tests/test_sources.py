@@ -185,3 +185,21 @@ def test_a_running_job_picks_up_files_until_it_is_stopped(spark, tmp_path):
         running.stop()
     assert sorted(r.guid for r in job.snapshot.read().collect()) == ["g1", "g2"]
     assert not running.isActive and job.log_rows().count() == 2
+
+
+def test_a_bad_item_loses_no_other(spark, tmp_path):
+    import os
+
+    os.makedirs(tmp_path / "f")
+    text = (
+        "<rss><channel><item><title>one</title><guid>g1</guid><pubDate>Mon, 01 Jan 2024 10:00 EST</pubDate></item>"
+        "<item><title>broken</item><item><title>cut off"
+        "<item><title>two</title><guid>g2</guid></item><item><title>worse</titl></item>"
+        "<item><title>three</title><guid>g3</guid></item></channel></rss>"
+    )
+    (tmp_path / "f" / "a.xml").write_text(text)
+    rows = feeds.read_feed(spark, str(tmp_path / "f")).collect()
+    assert {r.guid for r in rows} >= {"g1", "g2", "g3"} and len({r.guid for r in rows}) == len(rows) == 6
+    assert str({r.guid: r.published for r in rows}["g1"]) == "2024-01-01 15:00:00"
+    assert len(feeds.rejected_items(spark, str(tmp_path / "f")).collect()) == 3
+    assert tuple(feeds.undated_items(feeds.read_feed(spark, str(tmp_path / "f"))).first()) == (1, 5)

@@ -100,3 +100,14 @@ def test_plan_has_no_loop_join(spark, route):
     t, n = both(spark, TEXTS, NEEDLES)
     plan = contains_join(t, n, "t", ["text"], "needle")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_repeated_and_null_keys(spark, setting, most):
+    setting("tidemark.textjoin.maxNeedles", most)
+    texts = spark.createDataFrame([(1, "the red fox"), (1, "a red fox"), (None, "red fox here"), (2, None)], "k int, text string")
+    needles = spark.createDataFrame([("red fox",), ("red fox",), ("dog",)], "needle string")
+    found = contains_join(texts, needles, "k", ["text"], "needle")
+    assert sorted((r.k or 0, r.text) for r in found.collect()) == sorted(
+        2 * [(1, "the red fox"), (1, "a red fox"), (0, "red fox here")]
+    )

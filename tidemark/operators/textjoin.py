@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import written
+
 # Needle tables up to this many rows and characters (all columns) are sent to every executor.
 MAX_NEEDLES = 200_000
 MAX_CHARS = 50_000_000
@@ -45,6 +47,7 @@ _NEEDLE_PIECES = {
     "gram": r"(?s)(?=([^%_\\]{4}))",
     "char": r"([^%_\\])",
 }
+_ROW = "__row"
 _KINDS = ["words", "gram", "char", "empty"]
 
 
@@ -131,7 +134,8 @@ def contains_join(
 ) -> DataFrame:
     """All pairs where one of ``columns`` contains ``needle``, with the columns of both sides.
 
-    ``text_key`` identifies a text; the column names of the two sides must differ. Needles may repeat.
+    ``text_key`` names a text to its readers; it may repeat or be NULL, as every row of ``texts`` is a text of its own. The
+    column names of the two sides must differ. Needles may repeat.
     """
     lowered, lows = _lowered(texts, columns)
     forms = needle_forms(needles, needle)
@@ -155,7 +159,9 @@ def contains_join(
         pairs = found.join(F.broadcast(anchored), F.col("__piece") == F.col("__anchor"))
         copies = F.broadcast(copies)
     else:
-        pairs = _shuffled(lowered, lows, with_rarest_anchor(forms), kinds, text_key)
+        # Rows get numbers of their own, which the written table keeps.
+        numbered = written(texts.withColumn(_ROW, F.monotonically_increasing_id()), "texts")
+        pairs = _shuffled(_lowered(numbered, columns)[0], lows, with_rarest_anchor(forms), kinds, _ROW)
     matched = pairs.filter(_matches(lows)).select(*texts.columns, "__form")
     return matched.join(copies, F.col("__form") == F.col("__copy")).select(*texts.columns, *needles.columns)
 

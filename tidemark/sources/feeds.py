@@ -8,26 +8,44 @@ from pyspark.sql import functions as F
 # The item fields of an RSS feed.
 RAW_SCHEMA = "title string, link string, description string, pubDate string, guid string"
 RAW_SCHEMA_ENCODED = "title string, link string, `content:encoded` string, pubDate string, guid string"
-# The date without its weekday, which Spark's parser does not take.
-PUB_DATE = "d MMM yyyy HH:mm:ss Z"
+# The zone names of RFC 822.
+ZONES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+# The date without its weekday, which Spark's parser does not take; seconds may be left out.
+PUB_DATES = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
 
 
 def published_at(text: Column) -> Column:
     """RFC 822 date as a UTC timestamp without zone; NULL when absent or malformed."""
     trimmed = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3},\s*", "")
     numeric = F.regexp_replace(trimmed, r"(GMT|UTC|UT|Z)$", "+0000")
-    instant = F.try_to_timestamp(numeric, F.lit(PUB_DATE))
+    for name, offset in ZONES.items():
+        numeric = F.regexp_replace(numeric, rf"{name}$", offset)
+    instant = F.coalesce(*[F.try_to_timestamp(numeric, F.lit(form)) for form in PUB_DATES])
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
-# Malformed items are kept with NULL fields instead of stopping the feed.
-_OPTIONS = {"rowTag": "item", "mode": "PERMISSIVE"}
+_RAW, _BAD = "__raw", "__bad"
+# A malformed item is kept with NULL fields and its text, and stops neither its feed nor its file.
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+
+
+def _items(files: DataFrame, schema: str) -> DataFrame:
+    """One row per item of whole feed files: its fields, its text, and its text again where it is malformed.
+
+    Files are cut before every opening tag, so an item that doesn't end is lost by itself only.
+    """
+    pieces = files.select(F.explode(F.split("value", "(?=<item[\\s>])")).alias("__piece")).filter(F.col("__piece").startswith("<item"))
+    ended = F.when(F.contains("__piece", F.lit("</item>")), F.concat(F.substring_index("__piece", "</item>", 1), F.lit("</item>")))
+    items = pieces.select(F.coalesce(ended, F.col("__piece")).alias(_RAW))
+    parsed = items.withColumn("__item", F.from_xml(_RAW, f"{schema}, {_BAD} string", _OPTIONS))
+    return parsed.select("__item.*", _RAW).withColumn(_BAD, F.coalesce(_BAD, F.when(~F.contains(_RAW, F.lit("</item>")), F.col(_RAW))))
 
 
 def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
     """(title, link, description, published, guid).
 
-    An item without ``guid`` is known by its link, and without a link by a digest of its content.
+    An item without ``guid`` is known by its link, and without a link by a digest of its content; a malformed one by a
+    digest of its text.
     """
     body = F.col("`content:encoded`") if encoded else F.col("description")
     content = F.sha2(F.concat_ws("\n", "title", body, "pubDate"), 256)
@@ -36,23 +54,34 @@ def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
         "link",
         body.alias("description"),
         published_at(F.col("pubDate")).alias("published"),
-        F.coalesce("guid", "link", content).alias("guid"),
+        F.when(F.col(_BAD).isNotNull(), F.sha2(_RAW, 256)).otherwise(F.coalesce("guid", "link", content)).alias("guid"),
     )
 
 
+def rejected_items(spark: SparkSession, path: str, encoded: bool = False) -> DataFrame:
+    """(guid, raw) of the malformed items of all feed files below ``path``."""
+    raw = _items(spark.read.text(path, wholetext=True), RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA)
+    return raw.filter(F.col(_BAD).isNotNull()).select(F.sha2(_RAW, 256).alias("guid"), F.col(_RAW).alias("raw"))
+
+
+def undated_items(items: DataFrame) -> DataFrame:
+    """How many items have a date that could be read, and how many have none or one that could not: (dated, undated)."""
+    return items.agg(F.count("published").alias("dated"), F.count(F.when(F.col("published").isNull(), 1)).alias("undated"))
+
+
 def read_feed(spark: SparkSession, path: str, encoded: bool = False) -> DataFrame:
     """Items of all feed files below ``path``. Some feeds carry ``content:encoded`` as the body."""
     schema = RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA
-    return as_items(spark.read.format("xml").options(**_OPTIONS).schema(schema).load(path), encoded)
+    return as_items(_items(spark.read.text(path, wholetext=True), schema), encoded)
 
 
 def stream_feed(spark: SparkSession, path: str, encoded: bool = False, files_per_batch: int | None = None):
     """The same as a stream: every new file in the folder is read once."""
     schema = RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA
-    reader = spark.readStream.format("xml").options(**_OPTIONS).schema(schema)
+    reader = spark.readStream.format("text").option("wholetext", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return as_items(reader.load(path), encoded)
+    return as_items(_items(reader.load(path), schema), encoded)
 
 
 def write_feed(df: DataFrame, path: str) -> None:
