@@ -103,12 +103,12 @@ def to_jsonb_scalar(t):
 
 @query(
     "agg_rows_in_object",
-    """SELECT o_custkey, to_json({'albums': list({'o_orderkey': o_orderkey, 'o_orderpriority': o_orderpriority}
+    """SELECT o_custkey, 0 AS part_no, to_json({'albums': list({'o_orderkey': o_orderkey, 'o_orderpriority': o_orderpriority}
               ORDER BY o_orderkey)}) AS doc FROM orders GROUP BY o_custkey""",
 )
 def agg_rows_in_object(t):
     nested = nest(t.orders, ["o_custkey"], F.struct("o_orderkey", "o_orderpriority"), "albums")
-    return nested.select("o_custkey", variants.row_json("albums").alias("doc"))
+    return nested.select("o_custkey", "part_no", variants.row_json("albums").alias("doc"))
 
 
 @query(
@@ -124,7 +124,7 @@ def nested_documents(t):
     "albums_with_track_names",
     """WITH tracks AS (SELECT l_orderkey, to_json(list(l_partkey ORDER BY l_partkey)) AS names
                        FROM lineitem GROUP BY l_orderkey)
-       SELECT c_name, o_orderkey, names FROM tracks JOIN orders ON l_orderkey = o_orderkey
+       SELECT c_name, o_orderkey, 0 AS part_no, names FROM tracks JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey""",
 )
 def albums_with_track_names(t):
@@ -132,7 +132,7 @@ def albums_with_track_names(t):
     return (
         tracks.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("c_name", "o_orderkey", F.to_json("names").alias("names"))
+        .select("c_name", "o_orderkey", "part_no", F.to_json("names").alias("names"))
     )
 
 
@@ -193,7 +193,7 @@ def json_get_text(t):
 )
 def json_path_get(t):
     first = variants.get(F.col("document"), "albums", 0)
-    return order_documents(t).select("c_custkey", F.to_json(first).alias("first_album"))
+    return order_documents(t).filter("part_no = 0").select("c_custkey", F.to_json(first).alias("first_album"))
 
 
 @query(
@@ -203,7 +203,7 @@ def json_path_get(t):
 )
 def json_path_get_text(t):
     title = variants.get_text(F.col("document"), "albums", 0, "album_title")
-    return order_documents(t).select("c_custkey", title.alias("first_title"))
+    return order_documents(t).filter("part_no = 0").select("c_custkey", title.alias("first_title"))
 
 
 @query(
@@ -212,11 +212,32 @@ def json_path_get_text(t):
        WHERE o_orderpriority = '1-URGENT'""",
 )
 def json_contains_array(t):
-    wanted = {"albums": [{"album_title": "1-URGENT"}]}
-    found = order_documents(t).filter(contains(F.col("document"), wanted))
-    return found.select(
-        "c_custkey", variants.get_text(F.col("document"), "artist").alias("c_name")
-    ).distinct()
+    return _with_albums(t, "1-URGENT")
+
+
+def _with_albums(t, *titles):
+    """Customers whose array of albums contains one with each title, wherever in the array these are.
+
+    A document may come in parts: each wanted element is looked for in every part, and a customer is found when every
+    element was seen in some part.
+    """
+    flags = [contains(F.col("document"), {"albums": [{"album_title": title}]}) for title in titles]
+    seen = order_documents(t).select(
+        "c_custkey",
+        variants.get_text(F.col("document"), "artist").alias("c_name"),
+        *[flag.alias(f"has{i}") for i, flag in enumerate(flags)],
+    )
+    whole = seen.groupBy("c_custkey", "c_name").agg(*[F.bool_or(f"has{i}").alias(f"has{i}") for i in range(len(titles))])
+    return whole.filter(" AND ".join(f"has{i}" for i in range(len(titles)))).select("c_custkey", "c_name")
+
+
+@query(
+    "json_contains_two",
+    """SELECT c_custkey, c_name FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name
+       HAVING bool_or(o_orderpriority = '1-URGENT') AND bool_or(o_orderpriority = '5-LOW')""",
+)
+def json_contains_two(t):
+    return _with_albums(t, "1-URGENT", "5-LOW")
 
 
 @query("join_json_key", "SELECT c.c_name, e.event_id FROM events e JOIN customer c ON c.c_custkey = CAST(e.props ->> '$.k' AS INTEGER)")
@@ -456,7 +477,7 @@ def document_extract_typed(t):
     "documents_per_actor",
     """WITH films AS (SELECT DISTINCT l_suppkey, p_partkey, p_name, year(l_shipdate) AS released,
               2024 - year(l_shipdate) AS years_ago FROM lineitem JOIN part ON l_partkey = p_partkey)
-       SELECT s_suppkey, to_json({'actor': s_name, 'films': list({'p_partkey': p_partkey, 'title': p_name,
+       SELECT s_suppkey, 0 AS part_no, to_json({'actor': s_name, 'films': list({'p_partkey': p_partkey, 'title': p_name,
               'released': released, 'years_ago': years_ago} ORDER BY p_partkey, released)}) AS doc
        FROM supplier JOIN films ON s_suppkey = l_suppkey GROUP BY s_suppkey, s_name""",
 )
@@ -476,7 +497,7 @@ def documents_per_actor(t):
     element = F.struct("p_partkey", "title", "released", "years_ago")
     nested = nest(films, ["l_suppkey"], element, "films", order=["p_partkey", "released"])
     return nested.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        "s_suppkey", variants.row_json(F.col("s_name").alias("actor"), "films").alias("doc")
+        "s_suppkey", "part_no", variants.row_json(F.col("s_name").alias("actor"), "films").alias("doc")
     )
 
 

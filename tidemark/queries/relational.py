@@ -14,7 +14,7 @@ from tidemark.operators.nesting import nest
 from tidemark.operators.ordered import number_rows, row_number
 from tidemark.operators.textjoin import contains_join
 from tidemark.queries.registry import query
-from tidemark.sources.workload import drawn_id, hashed_text
+from tidemark.sources.workload import hashed_text
 
 
 # --- projections and filters -----------------------------------------------------------------
@@ -182,10 +182,13 @@ def join_inner_4way(t):
     )
 
 
+def _large_orders(t):
+    return t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
+
+
 def _large_order_keys(t):
     """Order keys per customer, for large finished orders; some customers have none."""
-    large = t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
-    return nest(large, ["o_custkey"], F.col("o_orderkey"), "keys")
+    return nest(_large_orders(t), ["o_custkey"], F.col("o_orderkey"), "keys")
 
 
 _LARGE_SQL = """WITH large AS (
@@ -197,13 +200,13 @@ def _joined_keys(how):
     def run(t):
         keys = F.array_join(F.col("keys").cast("array<string>"), ",")
         return t.customer.join(_large_order_keys(t), F.col("c_custkey") == F.col("o_custkey"), how).select(
-            "c_custkey", "c_name", keys.alias("order_keys")
+            "c_custkey", "c_name", F.coalesce("part_no", F.lit(0)).alias("part_no"), keys.alias("order_keys")
         )
 
     return run
 
 
-_JOINED_SQL = """ SELECT c_custkey, c_name, array_to_string(keys, ',') AS order_keys
+_JOINED_SQL = """ SELECT c_custkey, c_name, 0 AS part_no, array_to_string(keys, ',') AS order_keys
     FROM customer {how} JOIN large ON c_custkey = o_custkey"""
 
 query("join_left_preagg", _LARGE_SQL + _JOINED_SQL.format(how="LEFT"))(_joined_keys("left"))
@@ -298,39 +301,42 @@ def agg_count_nonnull(t):
 
 @query(
     "agg_array_scalar",
-    """SELECT o_custkey, array_to_string(list(o_orderkey ORDER BY o_orderkey), ',') AS order_keys
+    """SELECT o_custkey, 0 AS part_no, array_to_string(list(o_orderkey ORDER BY o_orderkey), ',') AS order_keys
        FROM orders GROUP BY o_custkey""",
 )
 def agg_array_scalar(t):
     nested = nest(t.orders, ["o_custkey"], F.col("o_orderkey"), "keys")
-    return nested.select("o_custkey", F.array_join(F.col("keys").cast("array<string>"), ",").alias("order_keys"))
+    return nested.select("o_custkey", "part_no", F.array_join(F.col("keys").cast("array<string>"), ",").alias("order_keys"))
 
 
 @query(
     "agg_array_rows",
-    """SELECT o_custkey, to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}
+    """SELECT o_custkey, 0 AS part_no, to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}
               ORDER BY o_orderkey)) AS order_rows FROM orders GROUP BY o_custkey""",
 )
 def agg_array_rows(t):
     row = F.struct("o_orderkey", "o_orderstatus")
     nested = nest(t.orders, ["o_custkey"], row, "rows")
     return nested.select(
-        "o_custkey", F.to_json("rows", {"ignoreNullFields": "false"}).alias("order_rows")
+        "o_custkey", "part_no", F.to_json("rows", {"ignoreNullFields": "false"}).alias("order_rows")
     )
 
 
 @query(
     "agg_sum_array_len",
     _LARGE_SQL
-    + """ SELECT c_name, array_to_string(keys, ',') AS order_keys, sum(len(keys)) AS n_orders
+    + """ SELECT c_name, 0 AS part_no, array_to_string(keys, ',') AS order_keys, sum(len(keys)) AS n_orders
           FROM customer LEFT JOIN large ON c_custkey = o_custkey GROUP BY c_name, keys""",
 )
 def agg_sum_array_len(t):
-    joined = t.customer.join(_large_order_keys(t), F.col("c_custkey") == F.col("o_custkey"), "left")
+    # The length is that of the whole array, counted before it is cut into parts.
+    counted = _large_orders(t).groupBy(F.col("o_custkey").alias("counted")).agg(F.count(F.lit(1)).alias("n"))
+    keyed = _large_order_keys(t).join(counted, F.col("o_custkey") == F.col("counted"))
+    joined = t.customer.join(keyed, F.col("c_custkey") == F.col("o_custkey"), "left")
     return (
-        joined.groupBy("c_name", "keys")
-        .agg(F.sum(F.nullif(F.size("keys"), F.lit(0))).alias("n_orders"))
-        .select("c_name", F.array_join(F.col("keys").cast("array<string>"), ",").alias("order_keys"), "n_orders")
+        joined.groupBy("c_name", F.coalesce("part_no", F.lit(0)).alias("part_no"), "keys")
+        .agg(F.sum("n").alias("n_orders"))
+        .select("c_name", "part_no", F.array_join(F.col("keys").cast("array<string>"), ",").alias("order_keys"), "n_orders")
     )
 
 
@@ -630,24 +636,22 @@ def range_overlaps(t):
     _LARGE_SQL + " SELECT c_custkey, len(keys) AS n_keys FROM customer LEFT JOIN large ON c_custkey = o_custkey",
 )
 def array_length(t):
-    joined = t.customer.join(_large_order_keys(t), F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", F.nullif(F.size("keys"), F.lit(0)).alias("n_keys"))
+    # A length needs no array.
+    lengths = _large_orders(t).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_keys"))
+    return t.customer.join(lengths, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "n_keys")
 
 
 @query(
     "random_floor",
-    "SELECT count(*) AS draws, true AS in_range, true AS spread FROM orders",
+    """SELECT o_orderkey, 1 + CAST(floor(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0
+              * (SELECT count(*) FROM customer)) AS BIGINT) AS drawn FROM orders""",
 )
 def random_floor(t):
+    # Draws that any engine can repeat: the first digits of a digest as a number from 0 to 1.
     ids = t.customer.agg(F.count(F.lit(1))).scalar()
-    drawn = t.orders.select(ids.alias("ids"), "o_orderkey").select(
-        "ids", drawn_id(F.col("o_orderkey"), F.col("ids")).alias("id")
-    )
-    return drawn.agg(
-        F.count(F.lit(1)).alias("draws"),
-        ((F.min("id") >= 1) & (F.max("id") <= F.max("ids"))).alias("in_range"),
-        (F.approx_count_distinct("id") > F.max("ids") / 2).alias("spread"),
-    )
+    digits = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8)
+    share = F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
+    return t.orders.select("o_orderkey", (1 + F.floor(share * ids)).cast("bigint").alias("drawn"))
 
 
 @query(
