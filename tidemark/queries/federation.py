@@ -35,8 +35,7 @@ def scan_external_table(t):
        GROUP BY c_mktsegment""",
 )
 def import_catalog(t):
-    schemas = {"customer": _CUSTOMER, "orders": _ORDERS}
-    external.import_tables(t.spark, _files(t), schemas, ["customer", "orders"], into="shop")
+    external.import_tables(t.spark, _files(t), None, ["customer", "orders"], into="shop")
     return t.spark.sql(
         """SELECT c_mktsegment, count(*) AS n_orders FROM shop__customer
            JOIN shop__orders ON c_custkey = o_custkey GROUP BY c_mktsegment"""

@@ -13,7 +13,10 @@ from tidemark.operators.distinct import first_per_key
 from tidemark.operators.nesting import nest
 from tidemark.operators.ordered import number_rows, row_number
 from tidemark.operators.textjoin import contains_join
+from tidemark.plans.snapshots import materialize
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
+from tidemark.sources import feeds
 from tidemark.sources.workload import hashed_text
 
 
@@ -100,7 +103,7 @@ def filter_not_bool(t):
 
 
 @query(
-    "cte_chain",
+    "cte_pipeline",
     """WITH urgent AS (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'),
             lines AS (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey),
             sized AS (SELECT u.o_custkey, l.quantity FROM urgent u JOIN lines l ON u.o_orderkey = l.l_orderkey),
@@ -463,13 +466,23 @@ def limit_one(t):
     ),
 )
 def union_feeds(t):
-    # Four feeds, each tagged and numbered by itself. One branch per feed would read and number the
-    # table four times; numbering within the tag gives the same rows.
-    rows = t.documents.filter(F.col("lang").isin("en", "de", "fr", "es")).select(
-        F.col("lang").alias("source_name"), "doc_id", "n_chars"
-    )
-    return row_number(rows, ["source_name"], [F.col("doc_id").asc_nulls_last()], "rn").select(
-        "source_name", "rn", "doc_id", "n_chars"
+    # Four feeds in two shapes are landed, read, tagged, numbered and kept as one snapshot.
+    landed = {}
+    for lang, encoded in (("en", False), ("de", True), ("fr", False), ("es", True)):
+        items = t.documents.filter(F.col("lang") == lang).select(
+            F.concat(F.lit("document "), F.col("doc_id")).alias("title"),
+            F.lit(None).cast("string").alias("link"),
+            F.col("n_chars").cast("string").alias("description"),
+            F.lit("2024-01-01").cast("timestamp_ntz").alias("published"),
+            F.col("doc_id").cast("string").alias("guid"),
+        )
+        path = scratch_path(t.spark, f"feed-{lang}")
+        feeds.write_feed(items, path, encoded)
+        landed[lang] = feeds.read_feed(t.spark, path, encoded)
+    united = feeds.union_feeds(landed)
+    view = materialize(united, scratch_path(t.spark, "feeds"), key=["source_name", "rn"])
+    return view.read().select(
+        "source_name", "rn", F.col("guid").cast("bigint").alias("doc_id"), F.col("description").cast("bigint").alias("n_chars")
     )
 
 

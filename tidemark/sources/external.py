@@ -100,17 +100,31 @@ def write_table(df: DataFrame, source: Source, table: str, mode: str = "append")
         )
 
 
+def source_schema(spark: SparkSession, source: Source, table: str) -> T.StructType:
+    """The columns and types that the source itself has for a table."""
+    reader = spark.read.format(source.format).options(**source.options)
+    if source.format == "jdbc":
+        return reader.options(url=source.location, dbtable=table).load().schema
+    if source.format == "csv":
+        reader = reader.options(header="true", inferSchema="true")
+    return reader.load(source.location.format(table=table)).schema
+
+
 def import_tables(
-    spark: SparkSession, source: Source, schemas: Mapping[str, str], only: Iterable[str], into: str
+    spark: SparkSession, source: Source, schemas: Mapping[str, str] | None, only: Iterable[str], into: str
 ) -> dict[str, DataFrame]:
-    """Bind the named tables of a source as temp views ``<into>__<table>``."""
+    """Bind the named tables of a source as temp views ``<into>__<table>``.
+
+    Columns and types are the source's own, unless ``schemas`` declares them; a declared list is checked against the source.
+    """
     wanted = list(only)
-    missing = [t for t in wanted if t not in schemas]
+    missing = [t for t in wanted if schemas is not None and t not in schemas]
     if missing:
         raise SchemaMismatch(f"{source.name} declares no table {missing[0]}")
     imported = {}
     for table in wanted:
-        df = read_table(spark, source, table, schemas[table])
+        declared = source_schema(spark, source, table) if schemas is None else schemas[table]
+        df = read_table(spark, source, table, declared)
         df.createOrReplaceTempView(f"{into}__{table}")
         imported[table] = df
     return imported

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import row_number
+
 # The item fields of an RSS feed.
 RAW_SCHEMA = "title string, link string, description string, pubDate string, guid string"
 RAW_SCHEMA_ENCODED = "title string, link string, `content:encoded` string, pubDate string, guid string"
@@ -84,8 +89,20 @@ def stream_feed(spark: SparkSession, path: str, encoded: bool = False, files_per
     return as_items(_items(reader.load(path), schema), encoded)
 
 
-def write_feed(df: DataFrame, path: str) -> None:
-    """Land (title, link, description, published, guid) as feed files."""
+def union_feeds(feeds: Mapping[str, DataFrame]) -> DataFrame:
+    """Items of several feeds, each tagged with its feed's name and numbered in it by guid: (source_name, rn, item columns).
+
+    Feeds may differ in how their files name the body; their items have the same columns.
+    """
+    tagged = [items.withColumn("source_name", F.lit(name)) for name, items in feeds.items()]
+    rows = reduce(DataFrame.unionByName, tagged)
+    columns = [c for c in rows.columns if c != "source_name"]
+    order = [F.length("guid").asc_nulls_last(), F.col("guid").asc_nulls_last()]
+    return row_number(rows, ["source_name"], order, "rn").select("source_name", "rn", *columns)
+
+
+def write_feed(df: DataFrame, path: str, encoded: bool = False) -> None:
+    """Land (title, link, description, published, guid) as feed files; with ``encoded`` the body is ``content:encoded``."""
     stamped = df.select(
         "title",
         "link",
@@ -93,4 +110,16 @@ def write_feed(df: DataFrame, path: str) -> None:
         F.concat(F.date_format("published", "E, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")).alias("pubDate"),
         "guid",
     )
-    stamped.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+    if not encoded:
+        stamped.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+        return
+    # Spark's XML writer takes no names with a colon, so these files are written as text, one item a line.
+    names = {c: "content:encoded" if c == "description" else c for c in stamped.columns}
+    fields = [F.concat(F.lit(f"<{tag}>"), _escaped(F.col(c)), F.lit(f"</{tag}>")) for c, tag in names.items()]
+    stamped.select(F.concat(F.lit("<item>"), F.concat_ws("", *fields), F.lit("</item>"))).write.text(path)
+
+
+def _escaped(text: Column) -> Column:
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\n", "&#10;")):
+        text = F.replace(text, F.lit(char), F.lit(name))
+    return text
