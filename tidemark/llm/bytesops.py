@@ -41,7 +41,7 @@ def seed(k: int) -> np.uint64:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the rolling hash's base, and of its inverse modulo 2**64."""
-    if len(_POWERS.get("up", ())) < n:
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = max(n, SLICE_BYTES + 4096)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base)

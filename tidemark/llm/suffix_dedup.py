@@ -198,12 +198,12 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of every string of the contexts of very large groups."""
+    """Hashes of every string of the contexts of very large groups, with the group and the place in the context."""
     for batch in batches:
-        for n, key, place, value in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)), batch.column(5), strict=True):
+        for g, n, key, place, value in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), batch.column(5), strict=True):
             data, left = value.as_buffer().to_pybytes(), place >> _BITS & 511
             begins = range(0, min(left, len(data) - LENGTH) + 1)
-            sums = [hashlib.md5(data[b : b + LENGTH]).digest() for b in begins]
+            sums = [hashlib.md5(b"%d %d " % (g, left - b) + data[b : b + LENGTH]).digest() for b in begins]
             at = (place >> 2 * _BITS) - left
             yield pa.record_batch(
                 [pa.array(sums, pa.binary()), pa.array([n] * len(sums), pa.int64()), pa.array([key] * len(sums), pa.int64()), pa.array([at + b for b in begins], pa.int64())],
