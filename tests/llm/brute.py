@@ -83,3 +83,51 @@ def base_scores(rows):
         d: (out[d], len(ws), sum(counts[w] > 0 for w in ws), n, sum(math.log10((counts[w] + 1) / (n + len(counts) + 1)) for w in ws))
         for d, ws in words.items()
     }
+
+
+def benchmark_hits(rows, items, window=10):
+    """rows: (doc_id, text), items: texts; the ids of documents that hold a window of an item."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    wanted = set()
+    for text in items:
+        w = word.findall(lower(text or ""))
+        n = min(window, len(w))
+        if n:
+            wanted |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    sizes = {len(w) for w in wanted}
+    found = set()
+    for d, text in rows:
+        w = word.findall(lower(text or ""))
+        if any(tuple(w[i : i + n]) in wanted for n in sizes for i in range(len(w) - n + 1)):
+            found.add(d)
+    return found
+
+
+def mixed_copies(rows):
+    """rows: (doc_id, text, source); doc_id -> copies the mix takes."""
+    import hashlib
+    import math
+
+    sizes = {d: len(WORD.findall(t or "")) for d, t, _ in rows}
+    sources = sorted({s for *_, s in rows}, key=lambda s: (s is None, (s or "").encode()))
+    words = {s: sum(sizes[d] for d, _, x in rows if x == s) for s in sources}
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(sources)}
+    target, left, budget = {}, set(sources), 1.5 * sum(words.values())
+    while left:  # share by weight, stop those above twice their size, share the rest again
+        share = {s: budget * weight[s] / sum(weight[x] for x in left) for s in left}
+        above = {s for s in left if share[s] > 2.0 * words[s]}
+        if not above:
+            target |= share
+            break
+        for s in above:
+            target[s] = 2.0 * words[s]
+            budget -= target[s]
+        left -= above
+    out = {}
+    for s in sources:
+        u = int(hashlib.md5(f"mix-1:{s or ''}".encode()).hexdigest()[:8], 16) / 2**32
+        rate = target[s] / words[s] if words[s] else 0.0
+        own = sorted((sizes[d], d) for d, _, x in rows if x == s)
+        for k, (_, d) in enumerate(own):
+            out[d] = math.floor(rate * (k + 1) + u) - math.floor(rate * k + u)
+    return out
