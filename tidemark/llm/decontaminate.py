@@ -88,8 +88,10 @@ def _hits(docs: DataFrame, text: str, keys: list[Column], windows: DataFrame) ->
             joined = _exploded(worded, names, length).join(F.broadcast(own), F.col("__hash") == F.col("hash"))
         else:  # only keys and hashes travel; the words are fetched for the documents with candidates
             pairs = _exploded(worded, names, length, keep_words=False).join(own, F.col("__hash") == F.col("hash"))
-            same = [worded[n].eqNullSafe(pairs[n]) for n in names]
-            joined = pairs.join(worded.select(*names, "__words"), same[0] & same[1]).drop(pairs["__id"], pairs["__text"])
+            pairs = pairs.withColumnsRenamed({"__id": "__i", "__text": "__x"})
+            same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__text") == F.col("__x"))
+            # Rows that repeat have the same words; one of them is enough.
+            joined = pairs.join(worded.select(*names, "__words").dropDuplicates(names), same)
         found.append(joined.filter(F.array_join(at, " ") == F.col("gram")).select(*names, "gram", "length", "__pos"))
     if not found:
         return None
@@ -116,19 +118,19 @@ def contamination(
     counted = docs.select(*keys, F.size(words_of(F.col(text))).cast("bigint").alias("n_words"))
     span = "array<struct<first:int,last:int>>"
     if hits is None:
-        found = counted.select("__id", "__text", F.lit(None).cast(span).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-        found = found.limit(0)
+        joined = counted.withColumns({"spans": F.lit(None).cast(span), "items": F.lit(None).cast("array<string>")})
     else:
         spans = hits.select(
-            "__id", "__text", F.transform("places", lambda p: F.struct(p.alias("first"), (p + F.col("length")).alias("last"))).alias("s")
+            F.col("__id").alias("__i"), F.col("__text").alias("__x"), F.transform("places", lambda p: F.struct(p.alias("first"), (p + F.col("length")).alias("last"))).alias("s")
         )
-        spans = spans.groupBy("__id", "__text").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("s")))).alias("spans"))
+        spans = spans.groupBy("__i", "__x").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("s")))).alias("spans"))
         owners = windows.select("gram", "item")
         named = hits.select("__id", "__text", "gram").join(owners, "gram").select("__id", "__text", "item").distinct()
         items = named.groupBy("__id", "__text").agg(F.sort_array(F.collect_set("item")).alias("items"))
-        same = spans["__id"].eqNullSafe(items["__id"]) & (spans["__text"] == items["__text"])
-        found = spans.join(items, same).select(spans["__id"], spans["__text"], "spans", "items")
-    same = counted["__id"].eqNullSafe(found["__id"]) & (counted["__text"] == found["__text"])
+        items = items.withColumnsRenamed({"__id": "__j", "__text": "__y"})
+        found = spans.join(items, F.col("__i").eqNullSafe(F.col("__j")) & (F.col("__x") == F.col("__y")))
+        same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__text") == F.col("__x"))
+        joined = counted.join(found.select("__i", "__x", "spans", "items"), same, "left")
     n_hit = F.aggregate(
         F.coalesce(F.col("spans"), F.array().cast(span)),
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")),
@@ -139,16 +141,15 @@ def contamination(
         lambda acc: acc["n"],
     )
     items = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    out = counted.join(found, same, "left").select(
-        counted["__id"].alias(doc_id),
+    return joined.select(
+        F.col("__id").alias(doc_id),
         "n_words",
         n_hit.alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         F.col("spans").isNotNull().alias("contaminated"),
-        *([counted["__text"], "spans"] if keep_spans else []),
+        *(["__text", "spans"] if keep_spans else []),
     )
-    return out
 
 
 def _without_spans(text: Column, spans: Column) -> Column:
