@@ -7,7 +7,7 @@ sketches is concentrated around their similarity like a sum of independent trial
 
 Documents with equal sets are one class from then on. Classes that agree in one band of three coordinates are candidates:
 at a similarity of 0.75 a pair agrees in none of the 42 bands with probability 1e-10. A candidate pair with fewer than
-``LEAST_EQUAL`` of 126 equal coordinates is passed over; at 0.75 that is seven standard deviations away (about 1e-12). All
+``LEAST_EQUAL`` of 126 equal coordinates is passed over; at 0.75 that is five standard deviations away (below 1e-6). All
 others are compared on their full sets.
 
 No bucket is expanded into pairs. First each member is compared with its bucket's smallest member, which unites large groups
@@ -35,10 +35,10 @@ from tidemark.session import written
 
 SHINGLE, BANDS, ROWS = 5, 42, 3
 BINS = BANDS * ROWS
-LEAST_EQUAL = 60
+LEAST_EQUAL = 70
 #: Members of one side of a block in which sketches are compared.
 BLOCK = 1500
-FIRST_PARTNERS = 8
+FIRST_PARTNERS = 32
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +102,18 @@ def bands_of(sketch: np.ndarray) -> np.ndarray:
     return three[:, :, 0] | three[:, :, 1] << 16 | three[:, :, 2] << 32 | np.arange(BANDS, dtype=np.int64) << 48
 
 
+def coordinates(bands: np.ndarray) -> np.ndarray:
+    """The sketches of rows of bands."""
+    return np.ascontiguousarray(bands).view(np.uint16).reshape(-1, BANDS, 4)[:, :, :3].reshape(len(bands), BINS)
+
+
 def equal_coordinates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many coordinates each row of a shares with each row of b (both as bands)."""
+    """How many coordinates each sketch of a shares with each of b."""
+    if len(a) * len(b) < 2000:
+        return (a[:, None, :] == b[None, :, :]).sum(2)
     total = np.zeros((len(a), len(b)), np.int16)
-    x, y = (np.ascontiguousarray(s).view(np.uint16).reshape(-1, BANDS, 4)[:, :, :3].reshape(len(s), BINS) for s in (a, b))
     for k in range(BINS):
-        total += x[:, k, None] == y[None, :, k]
+        total += a[:, k, None] == b[None, :, k]
     return total
 
 
@@ -152,24 +158,48 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked)], ["a", "b", "linked"])
 
 
+def partners_within(side, cid, comp, size, sketch, limit: int):
+    """Pairs of minor members (side 0) and the block's own (side 1) in other components, most alike first; more are left?"""
+    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    equal = equal_coordinates(sketch[x], sketch[y])
+    small, large = np.minimum(size[x][:, None], size[y][None]), np.maximum(size[x][:, None], size[y][None])
+    i, j = np.nonzero((equal >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None]) & (100 * small >= 75 * large))
+    order = np.lexsort((cid[y[j]], -equal[i, j], i))
+    i, j = i[order], j[order]
+    nth = np.arange(len(i)) - np.searchsorted(i, i)
+    more = np.bincount(i, minlength=len(x))[i] > limit
+    taken = nth < limit
+    a, b = cid[x[i[taken]]], cid[y[j[taken]]]
+    return np.minimum(a, b), np.maximum(a, b), more[taken]
+
+
 def _partners(limit: int):
-    def run(key, rows):
-        """Minor members (side 0) against the block's own members (side 1) of other components."""
-        import pandas as pd
-
-        x, y = rows[rows["side"] == 0], rows[rows["side"] == 1]
-        found = []
-        if len(x) and len(y):
-            equal = equal_coordinates(np.stack(x["bands"].to_numpy()), np.stack(y["bands"].to_numpy()))
-            equal[x["comp"].to_numpy()[:, None] == y["comp"].to_numpy()[None, :]] = -1
-            xs, ys = x["cid"].to_numpy(), y["cid"].to_numpy()
-            for i in range(len(x)):
-                near = np.flatnonzero(equal[i] >= LEAST_EQUAL)
-                more = len(near) > limit
-                if more:
-                    near = near[np.lexsort((ys[near], -equal[i, near]))[:limit]]
-                found.append(pd.DataFrame({"a": np.minimum(xs[i], ys[near]), "b": np.maximum(xs[i], ys[near]), "more": more}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "int64", "more": bool})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by block; a block has at most two times ``BLOCK`` members or so."""
+        kept: list[pa.RecordBatch] = []
+
+        def out(final):
+            rows = pa.concat_batches(kept)
+            keys = np.stack([rows.column(k).to_numpy() for k in range(3)])
+            bounds = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [len(rows)] if final else []]).astype(int)
+            side, cid, comp, size = (rows.column(k).to_numpy() for k in range(3, 7))
+            sketch = coordinates(rows.column(7).flatten().to_numpy().reshape(-1, BANDS))
+            found = [
+                partners_within(*[c[s:e] for c in (side, cid, comp, size, sketch)], limit)
+                for s, e in zip(bounds[:-1], bounds[1:], strict=True)
+                if side[s] == 0 and side[e - 1] == 1
+            ]
+            kept[:] = [rows.slice(int(bounds[-1]))]
+            if found:
+                a, b, more = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield pa.record_batch([pa.array(a), pa.array(b), pa.array(more)], ["a", "b", "more"])
+
+        for batch in batches:
+            kept.append(batch)
+            if sum(len(b) for b in kept) >= 4 * BLOCK:
+                yield from out(False)
+        if kept and sum(len(b) for b in kept):
+            yield from out(True)
 
     return run
 
@@ -214,14 +244,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sets = written(found.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
 
     tested = _verified(stars, sets)
-    partners = FIRST_PARTNERS
+    labels, partners = components(tested.filter("linked")), FIRST_PARTNERS
     while True:
-        labels = components(tested.filter("linked"))
         candidates, more = _across(buckets, classes, labels, partners)
         fresh = written(candidates.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
         if fresh.limit(1).count():
-            tested = written(tested.unionByName(_verified(fresh, sets)), "tested")
-            if fresh.join(tested.filter("linked"), ["a", "b"], "left_semi").limit(1).count():
+            new = _verified(fresh, sets)
+            tested = written(tested.unionByName(new), "tested")
+            if new.filter("linked").limit(1).count():
                 labels = components(tested.filter("linked"))
         if not more:
             break
@@ -249,18 +279,19 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, partners:
         F.count(F.lit(1)).alias("parts"), F.sum("size").alias("all"), F.max(F.struct("size", "comp"))["comp"].alias("major"), F.max("size").alias("most")
     )
     mixed = mixed.filter("parts > 1")
-    member = member.join(mixed, "band").join(classes.select("cid", "bands"), "cid")
+    member = member.join(mixed, "band").join(classes.select("cid", "n", "bands"), "cid")
     blocks = F.ceil(F.col("all") / BLOCK).cast("int")
     minor_blocks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
     spread = lambda n, salt: F.pmod(F.xxhash64(F.col("cid"), F.lit(salt)), n).cast("int")
     # Each minor member meets each member once: in the block of its own share and the other's.
     minor = member.filter(F.col("comp") != F.col("major")).select(
-        F.lit(0).alias("side"), "band", "cid", "comp", "bands", spread(minor_blocks, 1).alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")
+        F.lit(0).alias("side"), "band", "cid", "comp", "n", "bands", spread(minor_blocks, 1).alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")
     )
     whole = member.select(
-        F.lit(1).alias("side"), "band", "cid", "comp", "bands", F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"), spread(blocks, 2).alias("j")
+        F.lit(1).alias("side"), "band", "cid", "comp", "n", "bands", F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"), spread(blocks, 2).alias("j")
     )
-    found = minor.unionByName(whole).groupBy("band", "i", "j").applyInPandas(_partners(partners), "a bigint, b bigint, more boolean")
+    rows = minor.unionByName(whole).select("band", "i", "j", "side", "cid", "comp", "n", "bands").repartition("band", "i", "j")
+    found = rows.sortWithinPartitions("band", "i", "j", "side").mapInArrow(_partners(partners), "a bigint, b bigint, more boolean")
     found = written(found.groupBy("a", "b").agg(F.max("more").alias("more")), "partners")
     return found.select("a", "b"), found.filter("more").limit(1).count() > 0
 
