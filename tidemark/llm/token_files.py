@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,17 @@ MAGIC, MAX_BITS, SEGMENT = 0x31444954, 16, 1 << 18
 CHARACTERS = 1 << 20
 
 
+def squeeze(ids: np.ndarray) -> bytes:
+    """Ids between the steps: two bytes each where they fit, compressed."""
+    small = not len(ids) or int(ids.max()) < 1 << 16
+    return (b"2" if small else b"4") + zstandard.ZstdCompressor(level=1).compress(ids.astype("<u2" if small else "<u4").tobytes())
+
+
+def unsqueeze(value: pa.Scalar) -> np.ndarray:
+    data = value.as_buffer().to_pybytes()
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), "<u2" if data[:1] == b"2" else "<u4")
+
+
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -47,11 +59,9 @@ def _encoded(path: str, end_id: int):
                 ids, counts = coder.encode(some)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
-                bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * 4
-                data = pa.Array.from_buffers(
-                    pa.large_binary(), len(some), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]
-                )
-                yield pa.record_batch([batch.column(0).slice(first, row - first), data.cast(pa.binary())], ["id", "ids"])
+                ends += np.arange(1, len(ends) + 1)
+                data = [squeeze(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                yield pa.record_batch([batch.column(0).slice(first, row - first), pa.array(data, pa.binary())], ["id", "ids"])
 
     return run
 
@@ -59,8 +69,8 @@ def _encoded(path: str, end_id: int):
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for value in batch.column(0):
-            some = np.bincount(np.frombuffer(value.as_buffer(), "<u4"))
+        for at in range(0, len(batch), 64):
+            some = np.bincount(np.concatenate([unsqueeze(v) for v in batch.column(0).slice(at, 64)]))
             if len(some) > len(total):
                 some[: len(total)] += total
                 total = some
@@ -111,8 +121,7 @@ def _packed(lengths: np.ndarray):
             for doc, value, own in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
                 part = own.as_py()
                 names.append(doc.as_py())
-                # A copy: the batch must not stay in memory until the segment is full.
-                arrays.append(np.frombuffer(value.as_buffer(), "<u4").copy())
+                arrays.append(unsqueeze(value))
                 size += len(arrays[-1])
                 if size >= SEGMENT:
                     yield segment()
@@ -152,7 +161,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     raw = f"{folder}/ids"
-    slim.mapInArrow(_encoded(tokenizer, end_id), "id bigint, ids binary").write.option("compression", "zstd").parquet(raw)
+    slim.mapInArrow(_encoded(tokenizer, end_id), "id bigint, ids binary").write.option("compression", "uncompressed").parquet(raw)
     ids = spark.read.schema("id bigint, ids binary").parquet(raw)
     counts = ids.select("ids").mapInArrow(_counted, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(max([end_id, *(r[0] for r in counts)]) + 1, np.int64)  # as many as the tokenizer has ids

@@ -11,7 +11,7 @@ import re
 
 import numpy as np
 
-KEPT_PIECES = 300_000
+KEPT_PIECES = 1_200_000
 _ENCODERS: dict[str, Encoder] = {}
 # A space that no visible character follows belongs to the piece before it.
 _INNER = re.compile(r" (?:\s|\Z)")
@@ -26,38 +26,56 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Byte-level tokens have one character for each byte.
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
         self._forget()
 
     def _forget(self):
         self.places = {}
         self.used = 0
         self.flat = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(KEPT_PIECES * 2, np.int64)
-        self.sizes = np.zeros(KEPT_PIECES * 2, np.int64)
+        self.starts = np.zeros(1 << 20, np.int64)
+        self.sizes = np.zeros(1 << 20, np.int64)
 
     def _learn(self, pieces: list[str]):
-        for at in range(0, len(pieces), 4096):
-            some = pieces[at : at + 4096]
-            coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            for piece, code in zip(some, coded, strict=True):
-                ids = code.ids
-                k, n = len(self.places), len(ids)
-                while self.used + n > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-                if k >= len(self.starts):
-                    self.starts = np.concatenate([self.starts, np.zeros(len(self.starts), np.int64)])
-                    self.sizes = np.concatenate([self.sizes, np.zeros(len(self.sizes), np.int64)])
-                self.flat[self.used : self.used + n] = ids
-                self.starts[k], self.sizes[k] = self.used, n
-                self.used += n
-                self.places[piece] = k
+        """Pieces that begin with a space and end visibly are encoded together, and told apart by the bytes of their ids."""
+        joined, alone = [], []
+        for p in pieces:
+            (joined if p[:1] == " " and not p[-1].isspace() else alone).append(p)
+        for at in range(0, len(joined), 4096):
+            some = joined[at : at + 4096]
+            whole = "".join(some)
+            ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, np.uint32)
+            ends = np.cumsum(self.bytes_of[ids])
+            own = np.cumsum([len(p.encode()) for p in some])
+            last = np.searchsorted(ends, own)
+            if len(ends) <= last[-1] or (ends[last] != own).any():
+                alone += some
+            else:
+                self._keep(some, ids, np.diff(last + 1, prepend=0))
+        for at in range(0, len(alone), 4096):
+            some = alone[at : at + 4096]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._keep(some, np.array([i for c in coded for i in c], np.uint32), np.array([len(c) for c in coded]))
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray):
+        k, n = len(self.places), len(pieces)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        while k + n > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts), np.int64)])
+            self.sizes = np.concatenate([self.sizes, np.zeros(len(self.sizes), np.int64)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[k : k + n], self.sizes[k : k + n] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used += len(ids)
+        self.places.update(zip(pieces, range(k, k + n), strict=True))
 
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text]
         pieces = _CUT.split(text) if _INNER.search(text) else text.split(" ")
         first = pieces[0]
-        pieces = [" " + p for p in pieces]
+        pieces = (" " + "\x00 ".join(pieces)).split("\x00") if "\x00" not in text else [" " + p for p in pieces]
         pieces[0] = first
         return pieces
 
