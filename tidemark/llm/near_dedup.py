@@ -11,8 +11,10 @@ at a similarity of 0.75 a pair agrees in none of the 42 bands with probability 1
 others are compared on their full sets.
 
 No bucket is expanded into pairs. First each member is compared with its bucket's smallest member, which unites large groups
-of copies. Buckets that still hold several components are compared across components only, in blocks of bounded size, each
-member with its most similar partners first; the number of partners grows until none is left out.
+of copies. Buckets that still hold several components are compared across components in blocks of bounded size, by sketches;
+a block passes on which members hang together, not the pairs. What hangs together so is compared once more in blocks, on the
+full sets, by matrix products; a block passes on stars of linked members. So every candidate pair is decided, and no step
+emits more rows than it has members.
 
 Defined results: a null text and one without words has an empty set and is linked with nothing; a text of fewer than five words
 has its whole sequence as its only shingle; rows that repeat are in one component and, as they share the id, all kept; a row
@@ -36,9 +38,8 @@ from tidemark.session import written
 SHINGLE, BANDS, ROWS = 5, 42, 3
 BINS = BANDS * ROWS
 LEAST_EQUAL = 70
-#: Members of one side of a block in which sketches are compared.
-BLOCK = 1500
-FIRST_PARTNERS = 32
+#: Members of one side of a block in which sketches or sets are compared.
+BLOCK = 1000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,45 +159,89 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked)], ["a", "b", "linked"])
 
 
-def partners_within(side, cid, comp, size, sketch, limit: int):
-    """Pairs of minor members (side 0) and the block's own (side 1) in other components, most alike first; more are left?"""
+def joined_pairs(hit: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A star for every connected part of the graph between x and y: its smallest node beside each other one."""
+    names, where = np.unique(np.concatenate([x, y]), return_inverse=True)
+    i, j = np.nonzero(hit)
+    a, b = where[: len(x)][i], where[len(x) :][j]
+    label = np.arange(len(names))
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if (label == before).all():
+            break
+    far = np.flatnonzero(label != np.arange(len(names)))
+    return names[label[far]], names[far]
+
+
+def alike(side, cid, comp, size, data) -> tuple[np.ndarray, np.ndarray]:
+    """Which members of a block may be linked across components, by sizes and sketches, as stars."""
     x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    equal = equal_coordinates(sketch[x], sketch[y])
+    sketch = coordinates(data.flatten().to_numpy().reshape(-1, BANDS))
+    hit = equal_coordinates(sketch[x], sketch[y]) >= LEAST_EQUAL
     small, large = np.minimum(size[x][:, None], size[y][None]), np.maximum(size[x][:, None], size[y][None])
-    i, j = np.nonzero((equal >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None]) & (100 * small >= 75 * large))
-    order = np.lexsort((cid[y[j]], -equal[i, j], i))
-    i, j = i[order], j[order]
-    nth = np.arange(len(i)) - np.searchsorted(i, i)
-    more = np.bincount(i, minlength=len(x))[i] > limit
-    taken = nth < limit
-    a, b = cid[x[i[taken]]], cid[y[j[taken]]]
-    return np.minimum(a, b), np.maximum(a, b), more[taken]
+    hit &= (comp[x][:, None] != comp[y][None]) & (100 * small >= 75 * large)
+    return joined_pairs(hit, cid[x], cid[y])
+
+
+def common_shingles(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections, by products of 0/1 matrices over the shingles that both sides have."""
+    both = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    total = np.zeros((len(x), len(y)), np.float32)
+
+    def entries(sets):
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        values = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        known = both[at] == values if len(both) else np.zeros(len(values), bool)
+        return rows[known], at[known]
+
+    sides = [entries(s) for s in (x, y)]
+    for first in range(0, len(both), 4096):
+        parts = []
+        for (rows, columns), n in zip(sides, total.shape, strict=True):
+            own = (columns >= first) & (columns < first + 4096)
+            part = np.zeros((n, min(4096, len(both) - first)), np.float32)
+            part[rows[own], columns[own] - first] = 1
+            parts.append(part)
+        total += parts[0] @ parts[1].T
+    return total.astype(np.int64)
+
+
+def linked(side, cid, comp, size, data) -> tuple[np.ndarray, np.ndarray]:
+    """Which members of a block are linked across components, by their full sets, as stars."""
+    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in data]
+    common = common_shingles([sets[k] for k in x], [sets[k] for k in y])
+    hit = 100 * common >= 75 * (size[x][:, None] + size[y][None] - common)
+    return joined_pairs(hit & (comp[x][:, None] != comp[y][None]), cid[x], cid[y])
 
 
-def _partners(limit: int):
+def _blocks(decide):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block; a block has at most two times ``BLOCK`` members or so."""
+        """Rows come sorted by block; a block has at most about ``BLOCK`` members on each side."""
         kept: list[pa.RecordBatch] = []
 
         def out(final):
             rows = pa.concat_batches(kept)
             keys = np.stack([rows.column(k).to_numpy() for k in range(3)])
             bounds = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [len(rows)] if final else []]).astype(int)
-            side, cid, comp, size = (rows.column(k).to_numpy() for k in range(3, 7))
-            sketch = coordinates(rows.column(7).flatten().to_numpy().reshape(-1, BANDS))
+            columns = [rows.column(k).to_numpy() for k in range(3, 7)]
             found = [
-                partners_within(*[c[s:e] for c in (side, cid, comp, size, sketch)], limit)
+                decide(*[c[s:e] for c in columns], rows.column(7).slice(s, e - s))
                 for s, e in zip(bounds[:-1], bounds[1:], strict=True)
-                if side[s] == 0 and side[e - 1] == 1
+                if columns[0][s] == 0 and columns[0][e - 1] == 1
             ]
             kept[:] = [rows.slice(int(bounds[-1]))]
             if found:
-                a, b, more = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pa.record_batch([pa.array(a), pa.array(b), pa.array(more)], ["a", "b", "more"])
+                a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             kept.append(batch)
-            if sum(len(b) for b in kept) >= 4 * BLOCK:
+            if sum(len(b) for b in kept) >= 2 * BLOCK:
                 yield from out(False)
         if kept and sum(len(b) for b in kept):
             yield from out(True)
@@ -244,18 +289,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sets = written(found.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
 
     tested = _verified(stars, sets)
-    labels, partners = components(tested.filter("linked")), FIRST_PARTNERS
-    while True:
-        candidates, more = _across(buckets, classes, labels, partners)
-        fresh = written(candidates.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-        if fresh.limit(1).count():
-            new = _verified(fresh, sets)
-            tested = written(tested.unionByName(new), "tested")
-            if new.filter("linked").limit(1).count():
-                labels = components(tested.filter("linked"))
-        if not more:
-            break
-        partners *= 8
+    edges = tested.filter("linked").select("a", "b")
+    labels = components(edges)
+    # Similar members of different components, first by sketches within buckets, then by full sets within what these connect.
+    sketched = classes.select("cid", "n", F.col("bands").alias("data"))
+    near = _across(buckets.select(F.col("band").alias("group"), "cid"), labels, sketched, alike).distinct()
+    clusters = components(near).select(F.col("label").alias("group"), F.col("node").alias("cid"))
+    full = sets.select(F.col("id").alias("cid"), (F.octet_length("shingles") / 8).cast("bigint").alias("n"), F.col("shingles").alias("data"))
+    more = written(_across(clusters, labels, full, linked), "links")
+    if more.limit(1).count():
+        labels = components(edges.unionByName(more))
     by_class = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "k1", "k2", "n", F.coalesce("label", "cid").alias("component")
     )
@@ -270,30 +313,31 @@ def _repeats(named: DataFrame) -> bool:
     return named.groupBy("id").count().filter("count > 1").limit(1).count() > 0
 
 
-def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, partners: int) -> tuple[DataFrame, bool]:
-    """Candidate pairs between components that share a bucket, and whether any partner was left for later."""
+def _across(groups: DataFrame, labels: DataFrame, details: DataFrame, decide) -> DataFrame:
+    """Edges (a, b) that ``decide`` finds between components that meet in a group.
+
+    ``groups``: (group, cid); ``labels``: (node, label); ``details``: (cid, n, data). Members of the group's largest component are
+    compared with all others, these also with each other, in blocks of bounded size: each pair meets in one.
+    """
     of = labels.select(F.col("node").alias("cid"), F.col("label").alias("comp"))
-    member = buckets.select("band", "cid").join(of, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    parts = member.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("size"))
-    mixed = parts.groupBy("band").agg(
+    member = groups.join(of, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    parts = member.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("size"))
+    mixed = parts.groupBy("group").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("size").alias("all"), F.max(F.struct("size", "comp"))["comp"].alias("major"), F.max("size").alias("most")
     )
-    mixed = mixed.filter("parts > 1")
-    member = member.join(mixed, "band").join(classes.select("cid", "n", "bands"), "cid")
+    member = member.join(mixed.filter("parts > 1"), "group").join(details, "cid")
     blocks = F.ceil(F.col("all") / BLOCK).cast("int")
     minor_blocks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
     spread = lambda n, salt: F.pmod(F.xxhash64(F.col("cid"), F.lit(salt)), n).cast("int")
-    # Each minor member meets each member once: in the block of its own share and the other's.
+    columns = ["cid", "comp", "n", "data"]
     minor = member.filter(F.col("comp") != F.col("major")).select(
-        F.lit(0).alias("side"), "band", "cid", "comp", "n", "bands", spread(minor_blocks, 1).alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j")
+        "group", spread(minor_blocks, 1).alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"), F.lit(0).alias("side"), *columns
     )
     whole = member.select(
-        F.lit(1).alias("side"), "band", "cid", "comp", "n", "bands", F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"), spread(blocks, 2).alias("j")
+        "group", F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"), spread(blocks, 2).alias("j"), F.lit(1).alias("side"), *columns
     )
-    rows = minor.unionByName(whole).select("band", "i", "j", "side", "cid", "comp", "n", "bands").repartition("band", "i", "j")
-    found = rows.sortWithinPartitions("band", "i", "j", "side").mapInArrow(_partners(partners), "a bigint, b bigint, more boolean")
-    found = written(found.groupBy("a", "b").agg(F.max("more").alias("more")), "partners")
-    return found.select("a", "b"), found.filter("more").limit(1).count() > 0
+    rows = minor.unionByName(whole).repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side")
+    return rows.mapInArrow(_blocks(decide), "a bigint, b bigint")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
