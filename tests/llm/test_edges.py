@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
@@ -253,6 +254,19 @@ def test_language_model(docs, none, spark):
     assert language_model.language_model_scores(none).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_every_round_trains_on_all_tokens(spark, monkeypatch, partitions):
+    texts = spark.createDataFrame([(f"the cat sat {k}",) for k in range(5000)], "text string").repartition(partitions)
+    counts = texts.mapInArrow(language_model._counted, "h bigint, class bigint, n bigint").groupBy("h")
+    counts = counts.agg(F.min("class").alias("class"), F.sum("n").alias("n"))
+    rounds, trained = [], language_model._trained
+    monkeypatch.setattr(language_model, "_trained", lambda *x: rounds.append(trained(*x)) or rounds[-1])
+    _, tokens, *_ = language_model.train(texts, counts)
+    shape = "block bigint, share bigint, seen bigint, data binary"
+    seen = [texts.mapInArrow(r, shape).filter("block = 0").agg(F.sum("seen")).first()[0] for r in rounds]
+    assert tokens == 25_000 and seen == [tokens] * language_model.ROUNDS
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(7)
     weights = rng.normal(size=(language_model.BUCKETS, language_model.CLASSES)).astype(np.float32)
