@@ -292,6 +292,33 @@ def test_html(spark):
     assert html_extract.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<html><head><meta charset=utf-8><title>x</title><style>p {}</style><body><p>One</p><p>Two</p></body></html>", "One|Two"),
+        ("<head><title>x</title><script>a()</script><p>One<p>Two", "One|Two"),
+        ("<head><title>x</title></head><body><noscript><p>no</p></noscript><p>One", "One"),
+        ("<head><title>x<body><p>One</p><svg><title>y</title></svg><p>Two</p>", "One|Two"),
+        ("<p>One <svg width='5'/> two</p><p>Three <svg><svg><path/></svg><text>no</text></svg>four</p>", "One two|Three four"),
+        ("<p>One <svg width=5/><path/></svg> two</p>", "One two"),
+        ("<div><p>One</p><button>no</div><p>Two</p><button>no</button>", "One|Two"),
+        ("<p>One</p><button>no<p>Two</p><button><div>no</div> no</button><p>Three", "One|Two|Three"),
+        ("<p>One <button>no</p><p>Two</p></button><p>Three</p>", "One|Two|Three"),
+        ("<p>One <select><option>no</p><p>Two</p>", "One|Two"),
+        ("<form><select><option>no<option>no</select>One</form><select><option>no<h2>Two</h2>", "One|Two"),
+        ("<p>One</p><iframe src=a><p>Two</p><iframe src=b>no</iframe><p>Three</p>", "One|Two|Three"),
+        ("<p>One</p><textarea>no<p>Two</p>", "One|Two"),
+        ("<button-bar>One</button-bar><p>Two <svg-icon>three</svg-icon></p><title-x>Four</title-x>", "One|Two three|Four"),
+        ("<header>One</header><p>Two</p>", "One|Two"),
+        ("<p>One</p><template><p>no</p><template><p>no</p></template><p>no</p></template><p>Two</p>", "One|Two"),
+        ("<p>One</p><script>var a = '<p>no</p>';", "One"),
+        ("<p>One</p><!-- no <button> --><style>no</style ><p>Two</p><textarea><button></textarea><p>Three", "One|Two|Three"),
+    ],
+)
+def test_markup_that_is_not_closed(source, text):
+    assert html_extract.extract([source], None) == [text.replace("|", "\n")]
+
+
 def test_chosen_nodes_agree_along_the_tree():
     parents = np.array([-1, 0, 1, 1, 0, 4])
     depth = np.array([0, 1, 2, 2, 1, 2])

@@ -10,8 +10,11 @@ element is known is rebuilt in many layouts, with other containers and names, an
 notices, adverts, forms and reader comments made from the pages' own sentences. The trees are fitted on the nodes of these.
 
 Defined results: null or empty html, and a page without text, give an empty text; markup that isn't closed is closed as
-browsers do for blocks; raw text of scripts, styles and form controls is never text; rows that repeat are extracted one
-by one. A line break tag is a white space. Other columns are kept out of the result. An empty table gives an empty one.
+browsers do for blocks; raw text of scripts, styles and form controls is never text, and a script or style without an end tag
+goes on to the end of the page; titles, frames and text fields without one go on to the next tag. Buttons, lists to select from,
+drawings, templates and noscript are left out; without an end tag they end with their block or where the next one begins. What stands in
+a head beside titles, scripts and styles is text, as browsers move it to the body. Rows that repeat are extracted one by one.
+A line break tag is a white space. Other columns are kept out of the result. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -31,10 +34,17 @@ from tidemark.llm.boosting import Trees, fit_trees
 FIT_PAGES, LAYOUTS, PAGES_AT_ONCE = 500, 3, 64
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head|textarea|select|button|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)(button|select|svg|template|noscript)(?=[\s/>])([^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
+# Elements whose content is raw text, by what is looked for to end it (a second title or frame tells that the first
+# has no end), and elements that are left out with all they hold.
+_RAW_END = {name: re.compile(rf"<(/){name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "textarea")}
+_RAW_END |= {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I) for name in ("title", "iframe")}
+LEFT_OUT = frozenset({"button", "select", "svg", "template", "noscript"})
+NESTING = frozenset({"svg", "template"})
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+$")
 _ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -90,11 +100,58 @@ class Page:
         return len(self.tags) - 1
 
 
+def tags_of(source: str) -> list[tuple[int, int, str, str, str]]:
+    """Start, end, slash, name and attributes of all tags; raw text belongs to its tag, a comment has no name.
+
+    Without an end tag, scripts and styles go on to the end of the page, the text of others to the next tag.
+    """
+    out, at, endless = [], 0, set()
+    while m := _TAG.search(source, at):
+        at = m.end()
+        if not m[1]:
+            out.append((m.start(), at, m[2] or m[5] or "", (m[3] or m[6] or "").lower(), m[4] or m[7] or ""))
+            continue
+        name = m[1].lower()
+        end = None if name in endless else _RAW_END[name].search(source, at)
+        if end and end[1]:
+            at = end.end()
+        else:
+            if not end:
+                endless.add(name)
+            at = len(source) if name in ("script", "style") else source.find("<", at)
+            at = len(source) if at < 0 else at
+        out.append((m.start(), at, "", name, ""))
+    return out
+
+
+def closes_itself(attributes: str) -> bool:
+    return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+
+
+def ended(tags: list[tuple[int, int, str, str, str]]) -> set[int]:
+    """Indices of the start tags of left-out elements that have an end tag of their own."""
+    out, opened = set(), {name: [] for name in LEFT_OUT}
+    for k, (_, _, slash, name, attributes) in enumerate(tags):
+        if name in LEFT_OUT:
+            if slash:
+                if opened[name]:
+                    out.add(opened[name].pop())
+            elif not closes_itself(attributes):
+                if name not in NESTING:
+                    opened[name].clear()
+                opened[name].append(k)
+    return out
+
+
 def parse(source: str) -> Page:
     """The tree and the blocks of text of a page, in page order."""
     page = Page()
     root = page.node("body", -1, "")
     stack, run, in_link, at = [root], [], False, 0
+    tags = tags_of(source)
+    has_end = ended(tags)
+    # The open left-out element, whether its end tag comes, how often it is nested, and the blocks open in it.
+    hidden, sure, depth_in, inner = "", False, 0, []
 
     def flush():
         if run:
@@ -107,25 +164,50 @@ def parse(source: str) -> Page:
         flush()
         del stack[depth:]
 
-    for m in _TAG.finditer(source):
-        if m.start() > at:
-            piece = source[at : m.start()]
+    for k, (begin, end, slash, name, attributes) in enumerate(tags):
+        if begin > at and not hidden:
+            piece = source[at:begin]
             run.append(piece)
             if in_link:
                 page.links[stack[-1]] += len(piece.strip())
-        at = m.end()
-        name = m[3]
+        at = end
+        if hidden:
+            if name == hidden and (slash or name in NESTING):
+                if slash or not closes_itself(attributes):
+                    depth_in += -1 if slash else 1
+                if not depth_in:
+                    hidden = ""
+                continue
+            if name in LEFT_OUT and name == hidden:
+                hidden = ""  # a button or list ends an open one
+            elif sure and not slash:
+                if name in BLOCKS and name not in VOID:
+                    inner.append(name)
+                continue
+            elif name in BLOCKS and name not in VOID:
+                if slash and name in inner:
+                    while inner.pop() != name:
+                        pass
+                    continue
+                if slash and not any(page.tags[n] == name for n in stack[1:]):
+                    continue
+                hidden = ""  # its block ends, or it was never closed
+            else:
+                continue
         if not name:
-            if m[1] and m[1].lower() in ("select", "textarea", "button"):
-                run.append(" ")
             continue
-        name = name.lower()
-        if name == "a":
-            in_link = not m[2]
-        elif name in ("br", "img", "input"):
+        if name in LEFT_OUT:
+            if not slash:
+                if name in ("button", "select"):
+                    run.append(" ")
+                if not closes_itself(attributes):
+                    hidden, sure, depth_in, inner = name, k in has_end, 1, []
+        elif name == "a":
+            in_link = not slash
+        elif name in ("br", "img", "input", "textarea"):
             run.append(" ")
         elif name in BLOCKS and name not in ("html", "body"):
-            if m[2]:
+            if slash:
                 for depth in range(len(stack) - 1, 0, -1):
                     if page.tags[stack[depth]] == name:
                         close(depth)
@@ -143,8 +225,8 @@ def parse(source: str) -> Page:
                     close(len(stack) - 1)
             flush()
             if name not in VOID:
-                stack.append(page.node(name, stack[-1], m[4]))
-    if at < len(source):
+                stack.append(page.node(name, stack[-1], attributes))
+    if at < len(source) and not hidden:
         run.append(source[at:])
     flush()
     return page
