@@ -208,6 +208,19 @@ def test_overlapping_repeats(spark):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == brute.removed(rows)
 
 
+def test_repeats_of_texts_without_an_id(spark):
+    rng = np.random.default_rng(9)
+    made = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    shared, twice = made(250), made(900)
+    texts = [(None, made(300) + shared + made(310)), (1, made(280) + shared + made(330)), (None, made(500))]
+    texts += [(None, twice), (None, twice), (2, made(400) + twice[300:600] + made(350))]
+    expected = brute.removed(list(enumerate(x for _, x in texts)))
+    rows = suffix_dedup.remove_repeated(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows), key=str)
+    assert found == sorted(((d, *expected[k]) for k, (d, _) in enumerate(texts)), key=str)
+    assert expected[0][1] >= 250 and expected[1][1] >= 250
+
+
 def test_line_quality(docs, labels, none):
     rows = line_quality.line_quality(docs, labels).collect()
     assert len(rows) == len(TEXTS) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)

@@ -290,9 +290,10 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("t"), whole.cast("binary").alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     packed = slim.mapInArrow(_packed, f"doc_id {kind}, t bigint, packed binary")
-    one = slim.groupBy("t").agg(F.min("doc_id").alias("doc_id"))
+    one = slim.groupBy("t").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("t", "u")
     copies = slim.select("doc_id", "t").groupBy("doc_id", "t").count().filter("count > 1").limit(1).count() > 0
-    unique = packed.join(one, ["doc_id", "t"], "left_semi")
+    # A text's smallest id is null where all its rows have none.
+    unique = packed.join(one, (F.col("t") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     if copies:
         unique = unique.dropDuplicates(["t"])
     spans = repeated_spans(slim.filter(F.octet_length("text") >= LENGTH).select("t", "text"), unique.select("t", "packed"))
