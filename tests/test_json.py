@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import editing, variants
 from tidemark.functions.containment import contains
+from tidemark.queries import reviews
 
 
 def docs(spark, *texts):
@@ -182,3 +183,13 @@ def test_unnest_copies_only_what_is_kept(spark):
     assert rows.count() == 6
     generate = [line for line in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "Generate" in line]
     assert len(generate) == 1 and "doc#" not in generate[0] and "Filter" not in rows._jdf.queryExecution().optimizedPlan().toString().split("Generate")[1]
+
+
+def test_path_filter_over_root_arrays(spark, monkeypatch):
+    click, view = ({"product": {"category": c, "title": c + "!"}} for c in ("click", "view"))
+    docs = [click, view, [view, click, 3, click], [], None, "click", [[]]]
+    rows = [(k, json.dumps(d)) for k, d in enumerate(docs)] + [(9, None)]
+    made = spark.createDataFrame(rows, "event_id bigint, doc string").withColumn("doc", F.parse_json("doc"))
+    monkeypatch.setattr(reviews, "collection", lambda t: made)
+    found = reviews.json_path_query_filter(spark, "unused").collect()
+    assert sorted(tuple(r) for r in found) == [(k, "click", None, "click!") for k in (0, 2, 2)]

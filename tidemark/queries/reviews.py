@@ -120,9 +120,10 @@ def json_path_query(t):
     f"SELECT event_id, category, NULL AS subcategory, title FROM {_FLAT} WHERE category = 'click'",
 )
 def json_path_query_filter(t):
-    # A path of the form [*] over an object looks at the object itself.
-    doc = F.col("doc")
-    found = collection(t).filter(variants.get_text(doc, "product", "category") == "click")
+    # A path of the form [*] looks at the elements of a root array, and over an object at the object itself.
+    doc = F.col("root")
+    roots = F.coalesce(variants.elements(F.col("doc")), F.array("doc"))
+    found = collection(t).select("event_id", F.explode(roots).alias("root")).filter(variants.get_text(doc, "product", "category") == "click")
     return found.select(
         "event_id",
         variants.get_text(doc, "product", "category").alias("category"),
