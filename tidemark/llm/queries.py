@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import html_extract, language_model, line_quality, mixing, near_dedup, suffix_dedup, token_files, toxicity
+from tidemark.llm import exact_dedup, html_extract, language_model, line_quality, mixing, near_dedup, suffix_dedup, token_files, toxicity
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -179,3 +179,19 @@ def op7_suffix_dedup(t):
     """What is left of every document without passages that occur twice."""
     cut = suffix_dedup.remove_repeated(t.documents)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+EXACT_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS k FROM documents
+)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST, k) = 1 AS kept, sha256(text) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY text)
+"""
+
+
+@query("op11_exact_duplicates", EXACT_SQL)
+def op11_exact_duplicates(t):
+    """The row that stays for the text of every document."""
+    return exact_dedup.exact_duplicates(t.documents, keep="largest")
