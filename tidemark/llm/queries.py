@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as decon
-from tidemark.llm import exact_dedup, html_extract, language_model, line_quality, mixing, near_dedup, suffix_dedup, token_files, toxicity
+from tidemark.llm import conversation_repair, exact_dedup, html_extract, language_model, line_quality, mixing, near_dedup, spelling, suffix_dedup, token_files, toxicity
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import written
@@ -195,3 +195,113 @@ FROM d WINDOW g AS (PARTITION BY text)
 def op11_exact_duplicates(t):
     """The row that stays for the text of every document."""
     return exact_dedup.exact_duplicates(t.documents, keep="largest")
+
+
+# CRC-32 by its rule: for each byte one xor, and eight shifts (marked -1).
+CRC32 = """
+list_reduce(
+  flatten(list_transform(range(octet_length(encode(TEXT))),
+    lambda i: [('0x' || substr(hex(encode(TEXT)), 2 * i + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT)
+"""
+
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), low AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(CRC, 4294967295) AS h FROM low
+), changed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT p.word, count(*) AS n_near, max(b.n) AS most FROM pairs p JOIN words b ON b.word = p.near GROUP BY p.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(best.n_near, 0) AS n_near,
+         CASE WHEN most >= 2 * w.n THEN (SELECT min(encode(p.near)) FROM pairs p JOIN words b ON b.word = p.near WHERE p.word = w.word AND b.n = most) END AS form,
+         CASE WHEN most >= 2 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word
+), chain AS (
+  SELECT word, word AS root FROM words
+  UNION ALL SELECT c.word, decode(f.form) FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), last AS (
+  SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT f.word, decode(f.form) AS form, last.root, f.n, f.n_near, f.form_n FROM formed f JOIN last ON last.word = f.word
+""".replace("CRC", CRC32.replace("TEXT", "(id || ':' || run)"))
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(t):
+    """Variants among the words of all documents, typing errors made by rule included."""
+    return spelling.spelling_variants(spelling.word_counts(t.documents, change=spelling.slip))
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), hurt AS (
+  SELECT *, xor(CRC, 4294967295) % 20 AS m FROM src
+), dmg AS (
+  SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE m WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE m WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hurt
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text), copy) AS p FROM dmg
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS prev FROM placed
+), rows_ AS (
+  SELECT conv_id, turn, role, text, p, substr(role, 1, 1) AS i, substr(prev, 1, 1) || substr(role, 1, 1) AS two,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '-' END AS fault FROM seen
+), ins(a, z, c, e, lines) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 1, 0, '', []),
+         (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']),
+         (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:'])
+), edits(a, z, e, i, c, said) AS (
+  VALUES (0, 0, 'D', NULL, 4, NULL), (1, 1, 'D', NULL, 4, NULL), (2, 2, 'D', NULL, 4, NULL), (3, 3, 'D', NULL, 4, NULL),
+         (0, 1, 'K', 's', 0, NULL), (0, 2, 'K', 'u', 0, NULL), (1, 2, 'K', 'u', 0, NULL), (3, 2, 'K', 'u', 0, NULL), (2, 3, 'K', 'a', 0, NULL),
+         (0, 2, 'R', NULL, 3, 'user'), (1, 2, 'R', NULL, 3, 'user'), (3, 2, 'R', NULL, 3, 'user'), (2, 3, 'R', NULL, 3, 'assistant')
+), moves AS (
+  SELECT ins.a, edits.z, edits.e AS edit, edits.i, ins.c + edits.c AS c, ins.e || edits.e AS e, said, lines FROM ins JOIN edits ON ins.z = edits.a
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS p, 0 AS st, {'c': 0::BIGINT, 'e': '', 'lines': []::VARCHAR[]} AS best FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT r.conv_id, r.p, m.z,
+         min({'c': (dp.best.c + m.c + CASE WHEN m.edit <> 'D' AND r.fault = 't' THEN 3 ELSE 0 END)::BIGINT, 'e': dp.best.e || m.e,
+              'lines': list_concat(list_concat(dp.best.lines, m.lines),
+                                   CASE m.edit WHEN 'D' THEN []::VARCHAR[] ELSE [coalesce(m.said, r.role) || ':' || r.text] END)})
+  FROM dp JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.p = dp.p + 1
+  JOIN moves m ON m.a = dp.st AND (m.i IS NULL OR m.i = r.i) AND (m.edit = 'D' OR r.fault NOT IN ('b', 'd'))
+  GROUP BY r.conv_id, r.p, m.z
+), facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (p > 1 AND two NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id
+), done AS (
+  SELECT dp.conv_id, min({'c': best.c + ins.c, 'e': best.e || ins.e, 'lines': list_concat(best.lines, ins.lines)}) AS best
+  FROM dp LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id
+  JOIN ins ON ins.a = dp.st AND (ins.z = 3 OR ins.a = 0 AND ins.z = 0)
+  WHERE dp.p = coalesce(f.n, 0) GROUP BY dp.conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.e AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM done d LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM d.conv_id
+""".replace("CRC", CRC32.replace("TEXT", "k"))
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def op13_conversation_repair(t):
+    """Cheapest repair of every conversation after damage by rule."""
+    return conversation_repair.repair_report(conversation_repair.damaged(t.conversations), t.conversations)
