@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import row_number
+from tidemark.sources import markup
 
 # The item fields of an RSS feed.
 RAW_SCHEMA = "title string, link string, description string, pubDate string, guid string"
@@ -34,16 +35,16 @@ _RAW, _BAD = "__raw", "__bad"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
 
-def _items(files: DataFrame, schema: str) -> DataFrame:
-    """One row per item of whole feed files: its fields, its text, and its text again where it is malformed.
+def _items(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """One row per item of feed files: its fields, its text, and its text again where it is malformed.
 
-    Files are cut before every opening tag, so an item that doesn't end is lost by itself only.
+    Files are split, and cut at items as ``markup`` says: an item that doesn't end is lost by itself only, and tags
+    inside CDATA sections and comments are text.
     """
-    pieces = files.select(F.explode(F.split("value", "(?=<item[\\s>])")).alias("__piece")).filter(F.col("__piece").startswith("<item"))
-    ended = F.when(F.contains("__piece", F.lit("</item>")), F.concat(F.substring_index("__piece", "</item>", 1), F.lit("</item>")))
-    items = pieces.select(F.coalesce(ended, F.col("__piece")).alias(_RAW))
+    items = markup.elements(markup.read_records(spark, path, "item"), "item").select(F.col("raw").alias(_RAW))
     parsed = items.withColumn("__item", F.from_xml(_RAW, f"{schema}, {_BAD} string", _OPTIONS))
-    return parsed.select("__item.*", _RAW).withColumn(_BAD, F.coalesce(_BAD, F.when(~F.contains(_RAW, F.lit("</item>")), F.col(_RAW))))
+    unended = F.when(~markup.has_end(F.col(_RAW), "item"), F.col(_RAW))
+    return parsed.select("__item.*", _RAW).withColumn(_BAD, F.coalesce(_BAD, unended))
 
 
 def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
@@ -65,7 +66,7 @@ def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
 
 def rejected_items(spark: SparkSession, path: str, encoded: bool = False) -> DataFrame:
     """(guid, raw) of the malformed items of all feed files below ``path``."""
-    raw = _items(spark.read.text(path, wholetext=True), RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA)
+    raw = _items(spark, path, RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA)
     return raw.filter(F.col(_BAD).isNotNull()).select(F.sha2(_RAW, 256).alias("guid"), F.col(_RAW).alias("raw"))
 
 
@@ -74,19 +75,17 @@ def undated_items(items: DataFrame) -> DataFrame:
     return items.agg(F.count("published").alias("dated"), F.count(F.when(F.col("published").isNull(), 1)).alias("undated"))
 
 
-def read_feed(spark: SparkSession, path: str, encoded: bool = False) -> DataFrame:
+def read_feed(spark: SparkSession, path: str | list[str], encoded: bool = False) -> DataFrame:
     """Items of all feed files below ``path``. Some feeds carry ``content:encoded`` as the body."""
-    schema = RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA
-    return as_items(_items(spark.read.text(path, wholetext=True), schema), encoded)
+    return as_items(_items(spark, path, RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA), encoded)
 
 
-def stream_feed(spark: SparkSession, path: str, encoded: bool = False, files_per_batch: int | None = None):
-    """The same as a stream: every new file in the folder is read once."""
-    schema = RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA
-    reader = spark.readStream.format("text").option("wholetext", "true")
+def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """(path) of feed files as a stream: every new file in the folder comes once. Contents are not read here."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return as_items(_items(reader.load(path), schema), encoded)
+    return reader.load(path).select("path")
 
 
 def union_feeds(feeds: Mapping[str, DataFrame]) -> DataFrame:

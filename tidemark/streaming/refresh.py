@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.distinct import first_per_key
 from tidemark.plans.snapshots import Snapshot, latest_version
-from tidemark.sources.feeds import stream_feed
+from tidemark.sources.feeds import read_feed, stream_files
 
 LOG_SCHEMA = T.StructType(
     [
@@ -62,10 +62,16 @@ class RefreshJob:
             f"{self.log}/batch={batch}"
         )
 
+    def _read(self, files: DataFrame, batch: int) -> None:
+        """The items of a batch's files; only the names of the files, a batch's worth, come to the driver."""
+        paths = [row.path for row in files.collect()]
+        if paths:
+            self._run(read_feed(files.sparkSession, paths, self.encoded), batch)
+
     def start(self, interval: str | None = "1 minute", files_per_batch: int | None = None):
         """Start the stream. Without ``interval`` it takes what is there and stops by itself."""
-        items = stream_feed(self.spark, self.feed, self.encoded, files_per_batch)
-        writer = items.writeStream.foreachBatch(self._run).option("checkpointLocation", self.checkpoint)
+        files = stream_files(self.spark, self.feed, files_per_batch)
+        writer = files.writeStream.foreachBatch(self._read).option("checkpointLocation", self.checkpoint)
         trigger = {"processingTime": interval} if interval else {"availableNow": True}
         return writer.trigger(**trigger).start()
 
