@@ -78,3 +78,20 @@ def test_nulls_come_last_in_order(spark):
     df = spark.createDataFrame([(1, None, "none"), (1, 5, "five")], "k int, o int, v string")
     assert rows(first_per_key(df, ["k"], ["o"])) == [(1, 5, "five")]
     assert rows(first_per_key(df, ["k"], ["o"], last=True)) == [(1, None, "none")]
+
+
+def test_unique_rule_over_a_member(spark, tmp_path):
+    from tidemark.functions import variants
+    from tidemark.plans.snapshots import Snapshot
+
+    docs = spark.createDataFrame([('{"a": {"id": 2}}',), ('{"a": {"id": 3}}',), ('{"a": {}}',), ('{"a": {}}',), ("[]",)], "t string")
+    docs = docs.select(F.parse_json("t").alias("doc"))
+    key = [variants.get_as(F.col("doc"), "long", "a", "id").alias("actor")]
+    assert_unique(docs, key)
+    view = Snapshot(spark, str(tmp_path / "v"))
+    view.refresh(docs, key)
+    again = docs.union(spark.createDataFrame([('{"a": {"id": 2}, "b": 1}',)], "t string").select(F.parse_json("t")))
+    assert rows(unique_violations(again, key)) == [(2, 2)]
+    with pytest.raises(ConstraintError, match="actor"):
+        view.refresh(again, key)
+    assert view.read().count() == 5

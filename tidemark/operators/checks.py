@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import running_max
@@ -14,14 +14,22 @@ class ConstraintError(ValueError):
     """A table breaks a declared rule."""
 
 
-def unique_violations(df: DataFrame, keys: Sequence[str], nulls_equal: bool = False) -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """The key alone: named columns, and expressions, such as a member of a document, under their aliases."""
+    return df.select(*keys)
+
+
+def unique_violations(df: DataFrame, keys: Sequence[str | Column], nulls_equal: bool = False) -> DataFrame:
     """Keys that occur more than once, with their count.
 
-    As in a unique index, keys with a NULL differ from each other, unless ``nulls_equal`` is set.
+    A key part is a column name or an expression; an expression that gives a document has to be turned into text or a
+    type first, as documents cannot be compared. As in a unique index, keys with a NULL differ from each other, unless
+    ``nulls_equal`` is set.
     """
+    keyed = _keyed(df, keys)
     if not nulls_equal:
-        df = df.dropna(subset=list(keys))
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        keyed = keyed.dropna()
+    return keyed.groupBy(*[F.col(f"`{c}`") for c in keyed.columns]).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
 def first_violation(bad: DataFrame) -> Row | None:
@@ -29,10 +37,10 @@ def first_violation(bad: DataFrame) -> Row | None:
     return bad.agg(F.min(F.struct(*bad.columns))).first()[0]
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
+def assert_unique(df: DataFrame, keys: Sequence[str | Column]) -> None:
     bad = first_violation(unique_violations(df, keys))
     if bad is not None:
-        raise ConstraintError(f"key {list(keys)} is not unique, for example {bad.asDict()}")
+        raise ConstraintError(f"key {_keyed(df, keys).columns} is not unique, for example {bad.asDict()}")
 
 
 def foreign_key_violations(child: DataFrame, parent: DataFrame, child_keys, parent_keys) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.operators.checks import assert_unique
 
@@ -107,7 +107,7 @@ class Snapshot:
         return self.spark.read.parquet(f"{self.path}/data/{name}")
 
     def refresh(
-        self, df: DataFrame, key: Sequence[str] | None = None, concurrent: bool = True, base: int | None = None
+        self, df: DataFrame, key: Sequence[str | Column] | None = None, concurrent: bool = True, base: int | None = None
     ) -> int:
         """Store ``df`` as the next version and return its number.
 
@@ -126,7 +126,7 @@ class Snapshot:
         return number
 
 
-def materialize(df: DataFrame, path: str, key: Sequence[str] | None = None) -> Snapshot:
+def materialize(df: DataFrame, path: str, key: Sequence[str | Column] | None = None) -> Snapshot:
     """Store a query result as version 1 of a new snapshot."""
     snapshot = Snapshot(df.sparkSession, path)
     snapshot.refresh(df, key, concurrent=key is not None)

@@ -257,6 +257,19 @@ def unique_check(t):
     return checks.unique_violations(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    "unique_member_check",
+    """SELECT event_type || '-' || CAST(props ->> '$.k' AS INTEGER) AS member, count(*) AS n FROM events
+       WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
+)
+def unique_member_check(t):
+    # A unique rule over a member of a document: the same expression checks a table and guards a snapshot.
+    k = F.get_json_object("props", "$.k").cast("int")
+    docs = t.events.select(variants.from_row(F.concat("event_type", F.lit("-"), k).alias("key"), "event_id").alias("doc"))
+    key = variants.get_text(F.col("doc"), "key").alias("member")
+    return checks.unique_violations(docs, [key])
+
+
 @query(
     "foreign_key_check",
     """SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import variants
+from tidemark.functions import paths, variants
 from tidemark.functions.containment import contains
 from tidemark.plans.collections import HotPath, find, read_collection, store_collection
 from tidemark.queries.registry import query
@@ -99,7 +99,7 @@ def json_contains_object(t):
 )
 def json_path_exists(t):
     doc = F.parse_json("props")
-    read = t.events.select(variants.exists(doc, "k").alias("k"), variants.exists(doc, "missing").alias("missing"))
+    read = t.events.select(paths.exists(doc, "$.k").alias("k"), paths.exists(doc, "$.missing").alias("missing"))
     return read.agg(
         F.count(F.when(F.col("k"), 1)).alias("n_k"), F.count(F.when(F.col("missing"), 1)).alias("n_missing")
     )
@@ -111,8 +111,8 @@ def json_path_exists(t):
         UNION ALL SELECT event_id, to_json({{'rating': rating, 'text': text}}) FROM {_FLAT}""",
 )
 def json_path_query(t):
-    rows = collection(t).withColumn("member", F.explode(variants.members(F.col("doc"))))
-    return rows.select("event_id", F.to_json("member.value").alias("value"))
+    found = collection(t).select("event_id", F.explode(paths.query(F.col("doc"), "$.*")).alias("value"))
+    return found.select("event_id", F.to_json("value").alias("value"))
 
 
 @query(
@@ -120,10 +120,9 @@ def json_path_query(t):
     f"SELECT event_id, category, NULL AS subcategory, title FROM {_FLAT} WHERE category = 'click'",
 )
 def json_path_query_filter(t):
-    # A path of the form [*] looks at the elements of a root array, and over an object at the object itself.
+    clicks = paths.query(F.col("doc"), '$[*] ? (@.product.category == "click")')
+    found = collection(t).select("event_id", F.explode(clicks).alias("root"))
     doc = F.col("root")
-    roots = F.coalesce(variants.elements(F.col("doc")), F.array("doc"))
-    found = collection(t).select("event_id", F.explode(roots).alias("root")).filter(variants.get_text(doc, "product", "category") == "click")
     return found.select(
         "event_id",
         variants.get_text(doc, "product", "category").alias("category"),
@@ -140,16 +139,12 @@ def json_path_query_filter(t):
         FROM {_FLAT}""",
 )
 def json_path_query_array(t):
-    def rendered(*steps):
-        # Members of equal key length are ordered by key; shorter keys come first.
-        parts = F.transform(variants.member_values(F.col("doc"), *steps), lambda v: F.to_json(v))
-        return F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
-
+    doc = F.col("doc")
     return collection(t).select(
         "event_id",
-        rendered().alias("members"),
-        rendered("product").alias("product"),
-        rendered("review").alias("review"),
+        paths.query_array(doc, "$.*").alias("members"),
+        paths.query_array(doc, "$.product.*").alias("product"),
+        paths.query_array(doc, "$.review.*").alias("review"),
     )
 
 
@@ -158,5 +153,7 @@ def json_path_query_array(t):
     f"SELECT event_id, 'review' AS key, to_json({{'rating': rating, 'text': text}}) AS value FROM {_FLAT}",
 )
 def json_path_query_first(t):
-    first = collection(t).select("event_id", variants.first_member(F.col("doc")).alias("m"))
-    return first.select("event_id", F.col("m.key").alias("key"), F.to_json("m.value").alias("value"))
+    # The key of the first member is that of the only path to it.
+    first = collection(t).select("event_id", "doc", paths.query_first(F.col("doc"), "$.*").alias("m"))
+    key = variants.first_member(F.col("doc"))["key"]
+    return first.select("event_id", key.alias("key"), F.to_json("m").alias("value"))
