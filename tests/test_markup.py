@@ -99,3 +99,17 @@ def test_empty_files(spark, tmp_path):
     put(str(tmp_path), "a.xml", "")
     put(str(tmp_path), "b.xml", "<rss></rss>")
     assert feeds.read_feed(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("encoded", [False, True])
+def test_any_number_of_feeds_in_one_write(spark, tmp_path, encoded):
+    names = ["en", "de", "a/b=c %", "7", "", None]
+    rows = [(n, f"t{i}", None, f"<p>{i} & more</p>", None, f"{i}") for i, n in enumerate(names * 3)]
+    schema = "source_name string, title string, link string, description string, published timestamp_ntz, guid string"
+    items = spark.createDataFrame(rows, schema)
+    feeds.land_feeds(items, str(tmp_path / "f"), encoded)
+    back = feeds.read_feeds(spark, str(tmp_path / "f"), encoded)
+    key = lambda r: str((r.source_name, int(r.guid), r.title, r.description))
+    assert sorted(map(key, back.collect())) == sorted(map(key, items.collect()))
+    numbered = feeds.number_items(back).collect()
+    assert sorted((str(r.source_name), r.rn) for r in numbered) == sorted((str(n), i) for n in names for i in (1, 2, 3))

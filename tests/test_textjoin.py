@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.textjoin import contains_join, needle_forms, with_longest_anchor, with_rarest_anchor
+from tidemark.operators.textjoin import _lowered, _text_anchors, anchored, bitmap, contains_join, needle_forms
 
 NEEDLES = [
     "", "%", "_", "%%", "a", "B", "AC/DC", "u2", "red hot chili peppers", "RED HOT chili", "the the the the the",
@@ -38,10 +38,8 @@ def loop(t, n, columns=("text",)):
     return t.crossJoin(n).filter(test)
 
 
-@pytest.fixture(params=["listed", "sent", "shuffled"])
+@pytest.fixture(params=["sent", "shuffled"])
 def route(request, setting):
-    if request.param == "sent":
-        setting("tidemark.textjoin.maxListed", 0)
     if request.param == "shuffled":
         setting("tidemark.textjoin.maxNeedles", 0)
     return request.param
@@ -81,19 +79,56 @@ def test_copies_of_a_needle(spark, route):
     assert pairs(contains_join(t, n, "t", ["text"], "needle")) == pairs(loop(t, n))
 
 
+def anchors_of(texts, needles):
+    lowered, lows = _lowered(texts, ["text"])
+    return anchored(needle_forms(needles, "needle"), lowered, lows)
+
+
 def test_anchor_kinds(spark):
-    _, n = both(spark, [], ["one two Three four five", "AC/DC", "u2", "%", "a_b_c d", "u2"])
-    forms = needle_forms(n, "needle")
-    kinds = {r["__low"]: (r["__kind"], r["__anchor"]) for r in with_longest_anchor(forms).collect()}
-    assert kinds["one two three four five"] == ("words", "two three four") and len(kinds) == 5
-    assert kinds["ac/dc"][0] == "gram" and kinds["u2"][0] == "char" and kinds["a_b_c d"][0] == "char"
+    t, n = both(spark, ["x"], ["one two Three four five", "AC/DC", "u2", "abc", "%", "a_b_c d", "é_", "u2"])
+    kinds = {r["__low"]: (r["__kind"], r["__anchor"]) for r in anchors_of(t, n).collect()}
+    assert kinds["one two three four five"] == ("words", "two three four") and len(kinds) == 7
+    assert kinds["ac/dc"][0] == "gram4" and kinds["u2"] == ("gram2", "u2") and kinds["abc"] == ("gram3", "abc")
+    assert kinds["a_b_c d"] == ("gram3", "c d") and kinds["é_"] == ("gram1", "é")
     assert kinds["%"] == ("empty", "")
 
 
 def test_rarest_anchor(spark):
-    _, n = both(spark, [], ["x common words here one y", "x common words here two y", "x common words here six y"])
-    anchors = {r["__anchor"] for r in with_rarest_anchor(needle_forms(n, "needle")).collect()}
-    assert anchors == {"words here one", "words here two", "words here six"}
+    t, n = both(spark, ["x"], ["x common words here one y", "x common words here two y", "x common words here six y"])
+    assert {r["__anchor"] for r in anchors_of(t, n).collect()} == {"words here one", "words here two", "words here six"}
+    t, n = both(spark, ["theaters", "the quick", "a theme", None], ["theatre", "quickly"])
+    # Every gram that no text has is as good as another; the smallest is taken.
+    assert {r["__anchor"] for r in anchors_of(t, n).collect()} == {"atre", "ckly"}
+
+
+def test_no_row_for_a_piece_nobody_asks_for(spark):
+    """Texts make rows for anchors alone, whatever their length and the needles' kinds."""
+    draw = random.Random(4)
+    texts = ["".join(draw.choices("abcdefghijklmnop ", k=400)) for _ in range(60)]
+    needles = ["ab", "cde", "fghi", "one two three four", "p", "zz", "zzzz%z"]
+    t, n = both(spark, texts, needles)
+    lowered, lows = _lowered(t, ["text"])
+    sent = anchored(needle_forms(n, "needle"), lowered, lows)
+    kinds = [r[0] for r in sent.select("__kind").distinct().collect()]
+    bits = bitmap(sent.select("__anchor").distinct(), "__anchor")
+    made = lowered.select("t", F.explode(_text_anchors(lows, kinds, bits)).alias("piece")).collect()
+    wanted = {r["__anchor"] for r in sent.collect()}
+    # With 32 bits for every piece, one in 32 others may pass; every wanted one does.
+    expected = {(i, a) for i, x in enumerate(texts) for a in wanted if a in x}
+    assert expected <= {tuple(r) for r in made} and len(made) == len(set(made))
+    assert len(made) <= len(expected) + 60 * 1600 // 16
+    plan = contains_join(t, n, "t", ["text"], "needle")._jdf.queryExecution().executedPlan().toString()
+    # The bits are folded into the plan, and tested before the pieces become rows.
+    assert "from_json" not in plan and "Generate explode(array_distinct" in plan and plan.count("getbit(") + plan.count("bit_get(") >= 1
+
+
+def test_names_in_titles(spark, route):
+    """Short names, a third of the texts with the same one: equal to the loop."""
+    draw = random.Random(9)
+    names = ["".join(draw.choices("aeiourst", k=draw.randint(2, 8))) for _ in range(120)] + ["U2", "abba"]
+    titles = [" ".join(draw.choices(names, k=4)) if i % 3 else "U2 live" for i in range(150)]
+    t, n = both(spark, titles, names)
+    assert pairs(contains_join(t, n, "t", ["text"], "needle")) == pairs(loop(t, n))
 
 
 def test_plan_has_no_loop_join(spark, route):

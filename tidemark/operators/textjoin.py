@@ -1,14 +1,16 @@
 """Join texts to the needles they contain, case-insensitively (text ILIKE '%needle%').
 
 No text is compared with every needle. Each needle gets one *anchor*: a piece that every text
-matching it must contain. Texts list their own pieces of the same kind, the two are joined on
+matching it must contain. Texts list their own pieces of the same kinds, the two are joined on
 equality, and the remaining pairs are verified with ILIKE itself. Kinds, most selective first:
 
 ``words``  three consecutive whole words with what stands between them,
-``gram``   four consecutive characters,
-``char``   one character,
+``gram4`` .. ``gram1``  four, three, two or one consecutive characters,
 ``empty``  nothing: the needle has only wildcards, or no characters at all.
 
+Of several grams of a needle the one is taken that fewest texts have, counted over all texts. A bitmap of the hashes of
+what is asked for stands inside the scan, so a text makes a row only for pieces that some needle may have as its anchor.
+
 Wildcards in a needle keep their meaning; an anchor never touches one. As a needle has exactly one
 anchor and the pieces of a text are distinct, a pair arises at most once.
 """
@@ -26,29 +28,26 @@ from tidemark.session import written
 # Needle tables up to this many rows and characters (all columns) are sent to every executor.
 MAX_NEEDLES = 200_000
 MAX_CHARS = 50_000_000
-# Up to this many, a text drops the pieces nobody asks for before any row is made of them.
-MAX_LISTED = 10_000
+# Bits of the bitmap per piece asked for, and at most: 256 kB. A full one lets more pieces through, with the same result.
+BITS_PER_PIECE, MAX_BITS = 32, 1 << 21
 # Shares a frequent anchor is split into when needles are too many to send.
 SALTS = 32
 
 _W = r"[\p{L}\p{N}]"
 _D = r"[^\p{L}\p{N}]"
 # Pieces of a text. The lookahead lets neighbouring pieces overlap; possessive repeats never back up.
-_TEXT_PIECES = {
-    "words": rf"(?=({_W}++{_D}++{_W}++{_D}++{_W}++)){_W}++",
-    "gram": r"(?s)(?=(.{4}))",
-    "char": r"(?s)(.)",
-}
+_TEXT_WORDS = rf"(?=({_W}++{_D}++{_W}++{_D}++{_W}++)){_W}++"
+# Up to four characters from every place; shorter grams are their beginnings.
+_TEXT_GRAMS = r"(?s)(?=(.{1,4}))."
 # Pieces of a needle. Words must be whole (something else on both sides), and nothing in or next to
 # the piece may be a wildcard (%, _) or an escape (\).
 _N = r"[^\p{L}\p{N}%_\\]"
 _NEEDLE_PIECES = {
     "words": rf"(?<={_N})(?=({_W}++{_N}++{_W}++{_N}++{_W}++){_N})",
-    "gram": r"(?s)(?=([^%_\\]{4}))",
-    "char": r"([^%_\\])",
+    **{f"gram{n}": rf"(?s)(?=([^%_\\]{{{n}}}))." for n in (4, 3, 2, 1)},
 }
 _ROW = "__row"
-_KINDS = ["words", "gram", "char", "empty"]
+_KINDS = [*_NEEDLE_PIECES, "empty"]
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -81,18 +80,53 @@ def _form(low: Column) -> Column:
     return F.sha2(low, 256)
 
 
-def with_longest_anchor(forms: DataFrame) -> DataFrame:
-    sized = F.transform("__pieces", lambda p: F.struct(F.length(p).alias("n"), p.alias("p")))
-    return forms.withColumn("__anchor", F.array_max(sized)["p"]).drop("__pieces")
+def bitmap(pieces: DataFrame, piece: str) -> list[int]:
+    """The hashes of a column as bits of a list of longs; at most ``MAX_BITS`` come to the driver."""
+    n = pieces.count()
+    size = min(MAX_BITS, 1 << (max(32, BITS_PER_PIECE * n) - 1).bit_length())
+    bit = F.pmod(F.xxhash64(piece), F.lit(max(size, 64)))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    found = pieces.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).collect()
+    held = [0] * (max(size, 64) // 64)
+    for row in found:
+        held[row.at] = row.bits
+    return held
+
+
+def _asked(pieces: Column, bits: list[int]) -> Column:
+    """The pieces whose hash has its bit set. The bits are a constant of the plan, as a lambda takes no subquery."""
+    held = F.from_json(F.lit(str(bits)), "array<bigint>")
+
+    def known(piece: Column) -> Column:
+        bit = F.pmod(F.xxhash64(piece), F.lit(64 * len(bits)))
+        return F.getbit(F.get(held, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
 
+    return F.filter(pieces, known)
 
-def with_rarest_anchor(forms: DataFrame) -> DataFrame:
-    """The piece that fewest other needles have: many needles sharing an anchor make many candidates."""
-    rows = forms.select("__form", F.explode("__pieces").alias("__piece"))
-    shared = rows.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+
+def anchored(forms: DataFrame, lowered: DataFrame, lows: Sequence[str]) -> DataFrame:
+    """``__anchor`` for every needle, written: the three words that fewest other needles have, or the gram that fewest texts have.
+
+    Texts are read for it only where a needle has several grams to choose from. They make rows for grams of needles alone, and
+    those are summed in the tasks.
+    """
+    rows = written(forms.select("__form", "__kind", F.size("__pieces").alias("__of"), F.explode("__pieces").alias("__piece")), "pieces")
+    words = rows.filter(F.col("__kind") == "words")
+    shared = words.groupBy("__piece").agg(F.count("*").alias("__n"))
     rank = F.struct(F.col("__n"), -F.length("__piece"), F.col("__piece"))
-    best = rows.join(shared, "__piece").groupBy("__form").agg(F.min_by("__piece", rank).alias("__anchor"))
-    return forms.drop("__pieces").join(best, "__form")
+    best = words.join(shared, "__piece").groupBy("__form").agg(F.min_by("__piece", rank).alias("__anchor"))
+
+    grams = rows.filter(F.col("__kind") != "words")
+    kinds = [r[0] for r in grams.filter("__of > 1").select("__kind").distinct().collect()]
+    if kinds:
+        bits = bitmap(grams.filter("__of > 1").select("__piece").distinct(), "__piece")
+        listed = lowered.select(F.explode(_text_anchors(lows, kinds, bits)).alias("__piece"))
+        counted = listed.groupBy("__piece").agg(F.count("*").alias("__n"))
+        grams = grams.join(counted, "__piece", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    else:
+        grams = grams.withColumn("__n", F.lit(0))
+    rarest = grams.groupBy("__form").agg(F.min_by("__piece", F.struct("__n", "__piece")).alias("__anchor"))
+    return written(forms.drop("__pieces").join(best.unionByName(rarest), "__form"), "anchors")
 
 
 def _lowered(texts: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -101,15 +135,29 @@ def _lowered(texts: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[
     return texts.withColumns(names), list(names)
 
 
-def _text_anchors(lows: Sequence[str], kinds: Sequence[str], asked: Column | None) -> Column:
-    """The distinct pieces of a text, of those ``asked`` for where that is given."""
+def _text_anchors(lows: Sequence[str], kinds: Sequence[str], bits: list[int]) -> Column:
+    """The distinct pieces of a text that are asked for."""
+    none = F.array().cast("array<string>")
     arrays = []
     for low in lows:
-        for kind in kinds:
-            pieces = F.array(F.lit("")) if kind == "empty" else _pieces(F.col(low), _TEXT_PIECES[kind])
-            kept = F.array_distinct(pieces) if asked is None else F.array_intersect(pieces, asked)
-            arrays.append(F.when(F.col(low).isNotNull(), kept).otherwise(F.array().cast("array<string>")))
-    return arrays[0] if len(arrays) == 1 else F.array_distinct(F.concat(*arrays))
+        found = []
+        if "words" in kinds:
+            found.append(_asked(_pieces(F.col(low), _TEXT_WORDS), bits))
+        lengths = [n for n in (4, 3, 2, 1) if f"gram{n}" in kinds]
+        if lengths:
+            grams = _pieces(F.col(low), _TEXT_GRAMS)
+            if lengths == [4]:
+                found.append(_asked(grams, bits))
+            else:
+                found += [_asked(F.transform(grams, _beginning(n)), bits) for n in lengths]
+        if "empty" in kinds:
+            found.append(F.array(F.lit("")))
+        arrays.append(F.when(F.col(low).isNotNull(), F.concat(*found) if found else none).otherwise(none))
+    return F.array_distinct(F.concat(*arrays))
+
+
+def _beginning(n: int):
+    return lambda gram: F.left(gram, F.lit(n))
 
 
 def _matches(lows: Sequence[str]) -> Column:
@@ -152,32 +200,33 @@ def contains_join(
     copies = needles.withColumn("__copy", _form(F.lower(needle)))
     if few:
         # Texts stay where they are: pieces, lookup and verification run in one stage.
-        anchored = with_longest_anchor(forms)
-        listed = size["n"] <= int(conf.get("tidemark.textjoin.maxListed", str(MAX_LISTED)))
-        asked = anchored.agg(F.collect_set("__anchor")).scalar() if listed else None
-        found = lowered.withColumn("__piece", F.explode(_text_anchors(lows, kinds, asked)))
-        pairs = found.join(F.broadcast(anchored), F.col("__piece") == F.col("__anchor"))
+        sent = anchored(forms, lowered, lows)
+        bits = bitmap(sent.select("__anchor").distinct(), "__anchor")
+        found = lowered.withColumn("__piece", F.explode(_text_anchors(lows, kinds, bits)))
+        pairs = found.join(F.broadcast(sent), F.col("__piece") == F.col("__anchor"))
         copies = F.broadcast(copies)
     else:
         # Rows get numbers of their own, which the written table keeps.
         numbered = written(texts.withColumn(_ROW, F.monotonically_increasing_id()), "texts")
-        pairs = _shuffled(_lowered(numbered, columns)[0], lows, with_rarest_anchor(forms), kinds, _ROW)
+        lowered = _lowered(numbered, columns)[0]
+        pairs = _shuffled(lowered, lows, anchored(forms, lowered, lows), kinds, _ROW)
     matched = pairs.filter(_matches(lows)).select(*texts.columns, "__form")
     return matched.join(copies, F.col("__form") == F.col("__copy")).select(*texts.columns, *needles.columns)
 
 
-def _shuffled(lowered, lows, anchored, kinds, text_key) -> DataFrame:
-    """Candidate pairs for needles too many to send: only keys and hashed pieces travel.
+def _shuffled(lowered, lows, anchors, kinds, text_key) -> DataFrame:
+    """Candidate pairs for needles too many to send: only keys and hashed pieces that are asked for travel.
 
     A frequent piece is spread over SALTS shares, and every needle is copied to each share.
     """
     salt = F.pmod(F.xxhash64(text_key), F.lit(SALTS)).cast("int").alias("__salt")
-    hashed = F.array_distinct(F.transform(_text_anchors(lows, kinds, None), lambda p: F.xxhash64(p)))
+    bits = bitmap(anchors.select("__anchor").distinct(), "__anchor")
+    hashed = F.array_distinct(F.transform(_text_anchors(lows, kinds, bits), lambda p: F.xxhash64(p)))
     left = lowered.select(F.col(text_key).alias("__t"), salt, F.explode(hashed).alias("__h"))
-    right = anchored.select(
+    right = anchors.select(
         F.col("__form").alias("__f"),
         F.xxhash64("__anchor").alias("__h"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"),
     )
     pairs = left.join(right, ["__h", "__salt"]).select("__t", "__f")
-    return pairs.join(anchored, F.col("__f") == F.col("__form")).join(lowered, F.col("__t") == F.col(text_key))
+    return pairs.join(anchors, F.col("__f") == F.col("__form")).join(lowered, F.col("__t") == F.col(text_key))

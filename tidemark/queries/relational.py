@@ -254,11 +254,21 @@ def join_text_contains(t):
        ON d.text ILIKE '%' || n.needle || '%' OR d.source ILIKE '%' || n.needle || '%'""",
 )
 def join_text_contains_or(t):
-    texts = t.documents.select("doc_id", "text", "source")
+    # Two snapshots: the united feeds with a title and a body, and the names looked for in either.
+    items = t.documents.select(
+        F.col("source").alias("source_name"),
+        F.col("source").alias("title"),
+        F.lit(None).cast("string").alias("link"),
+        F.col("text").alias("description"),
+        F.lit(None).cast("timestamp_ntz").alias("published"),
+        F.col("doc_id").cast("string").alias("guid"),
+    )
+    united = materialize(feeds.number_items(items), scratch_path(t.spark, "feeds"), key=["source_name", "rn"]).read()
     sources = t.documents.select(F.col("source").alias("needle"))
-    needles = t.benchmark.select(F.col("text").alias("needle")).union(sources).distinct()
-    found = contains_join(texts, needles, "doc_id", ["text", "source"], "needle")
-    return found.select("doc_id", "needle")
+    names = t.benchmark.select(F.col("text").alias("needle")).union(sources).distinct()
+    names = materialize(names, scratch_path(t.spark, "names"), key=["needle"]).read()
+    found = contains_join(united.select("guid", "title", "description"), names, "guid", ["description", "title"], "needle")
+    return found.select(F.col("guid").cast("bigint").alias("doc_id"), "needle")
 
 
 @query(
@@ -486,6 +496,42 @@ def union_feeds(t):
     )
 
 
+@query(
+    "union_found_feeds",
+    """SELECT lang AS source_name, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn, doc_id, n_chars FROM documents""",
+)
+def union_found_feeds(t):
+    # As many feeds as the data have, a null one among them: landed in one write, read back, numbered, kept as a snapshot.
+    items = t.documents.select(
+        F.col("lang").alias("source_name"),
+        F.concat(F.lit("document "), F.col("doc_id")).alias("title"),
+        F.lit(None).cast("string").alias("link"),
+        F.col("n_chars").cast("string").alias("description"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("published"),
+        F.col("doc_id").cast("string").alias("guid"),
+    )
+    path = scratch_path(t.spark, "feeds")
+    feeds.land_feeds(items, path)
+    united = feeds.number_items(feeds.read_feeds(t.spark, path))
+    view = materialize(united, scratch_path(t.spark, "united"), key=["source_name", "rn"])
+    return view.read().select(
+        "source_name", "rn", F.col("guid").cast("bigint").alias("doc_id"), F.col("description").cast("bigint").alias("n_chars")
+    )
+
+
+@query(
+    "join_text_names",
+    """SELECT d.doc_id, n.name FROM documents d JOIN
+         (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS name FROM part UNION SELECT DISTINCT lower(event_type) FROM events) n
+       ON d.text ILIKE '%' || n.name || '%'""",
+)
+def join_text_names(t):
+    # Short names in texts: parts' words and kinds of events, of three letters and more.
+    words = t.part.select(F.explode(F.split("p_name", " ")).alias("name"))
+    names = words.union(t.events.select(F.lower("event_type"))).distinct()
+    return contains_join(t.documents.select("doc_id", "text"), names, "doc_id", ["text"], "name").select("doc_id", "name")
+
+
 @query(
     "union_distinct",
     """SELECT c_nationkey AS nation, 'customer' AS role FROM customer UNION

@@ -30,25 +30,30 @@ def published_at(text: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
-_RAW, _BAD = "__raw", "__bad"
+_RAW, _BAD, _FOLDER = "__raw", "__bad", "feed"
 # A malformed item is kept with NULL fields and its text, and stops neither its feed nor its file.
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
 
-def _items(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+def _items(spark: SparkSession, path: str | list[str], schema: str, folder: str | None = None) -> DataFrame:
     """One row per item of feed files: its fields, its text, and its text again where it is malformed.
 
     Files are split, and cut at items as ``markup`` says: an item that doesn't end is lost by itself only, and tags
     inside CDATA sections and comments are text.
     """
-    items = markup.elements(markup.read_records(spark, path, "item"), "item").select(F.col("raw").alias(_RAW))
+    records = markup.read_records(spark, path, "item", folder)
+    items = markup.elements(records, "item").withColumnRenamed("raw", _RAW)
+    kept = [_RAW]
+    if folder:
+        items = items.join(records.select("file", folder).distinct(), "file")
+        kept.append(folder)
     parsed = items.withColumn("__item", F.from_xml(_RAW, f"{schema}, {_BAD} string", _OPTIONS))
     unended = F.when(~markup.has_end(F.col(_RAW), "item"), F.col(_RAW))
-    return parsed.select("__item.*", _RAW).withColumn(_BAD, F.coalesce(_BAD, unended))
+    return parsed.select("__item.*", *kept).withColumn(_BAD, F.coalesce(_BAD, unended))
 
 
-def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
-    """(title, link, description, published, guid).
+def as_items(raw: DataFrame, encoded: bool = False, *more: Column) -> DataFrame:
+    """(title, link, description, published, guid), after the columns of ``more``.
 
     An item without ``guid`` is known by its link, and without a link by a digest of its content; a malformed one by a
     digest of its text.
@@ -56,6 +61,7 @@ def as_items(raw: DataFrame, encoded: bool = False) -> DataFrame:
     body = F.col("`content:encoded`") if encoded else F.col("description")
     content = F.sha2(F.concat_ws("\n", "title", body, "pubDate"), 256)
     return raw.select(
+        *more,
         "title",
         "link",
         body.alias("description"),
@@ -93,29 +99,49 @@ def union_feeds(feeds: Mapping[str, DataFrame]) -> DataFrame:
 
     Feeds may differ in how their files name the body; their items have the same columns.
     """
-    tagged = [items.withColumn("source_name", F.lit(name)) for name, items in feeds.items()]
-    rows = reduce(DataFrame.unionByName, tagged)
+    return number_items(reduce(DataFrame.unionByName, [items.withColumn("source_name", F.lit(name)) for name, items in feeds.items()]))
+
+
+def number_items(rows: DataFrame) -> DataFrame:
+    """Items that carry the name of their feed, numbered in it by guid; any number of feeds, a null name is one of them."""
     columns = [c for c in rows.columns if c != "source_name"]
     order = [F.length("guid").asc_nulls_last(), F.col("guid").asc_nulls_last()]
     return row_number(rows, ["source_name"], order, "rn").select("source_name", "rn", *columns)
 
 
+def land_feeds(rows: DataFrame, path: str, encoded: bool = False) -> None:
+    """Land items that carry the name of their feed in ``source_name``, in one write: a folder of feed files for each name."""
+    _write(rows.withColumn(_FOLDER, F.concat(F.lit("feed-"), "source_name")), path, encoded, [_FOLDER])
+
+
+def read_feeds(spark: SparkSession, path: str, encoded: bool = False) -> DataFrame:
+    """The items that ``land_feeds`` wrote, with the name of their feed: (source_name, item columns)."""
+    name = F.substring(F.col(_FOLDER), 6, 1 << 30).alias("source_name")
+    return as_items(_items(spark, path, RAW_SCHEMA_ENCODED if encoded else RAW_SCHEMA, _FOLDER), encoded, name)
+
+
 def write_feed(df: DataFrame, path: str, encoded: bool = False) -> None:
     """Land (title, link, description, published, guid) as feed files; with ``encoded`` the body is ``content:encoded``."""
+    _write(df, path, encoded, [])
+
+
+def _write(df: DataFrame, path: str, encoded: bool, folders: list[str]) -> None:
     stamped = df.select(
         "title",
         "link",
         "description",
         F.concat(F.date_format("published", "E, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")).alias("pubDate"),
         "guid",
+        *folders,
     )
     if not encoded:
-        stamped.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+        stamped.write.partitionBy(*folders).format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
         return
     # Spark's XML writer takes no names with a colon, so these files are written as text, one item a line.
-    names = {c: "content:encoded" if c == "description" else c for c in stamped.columns}
+    names = {c: "content:encoded" if c == "description" else c for c in stamped.columns if c not in folders}
     fields = [F.concat(F.lit(f"<{tag}>"), _escaped(F.col(c)), F.lit(f"</{tag}>")) for c, tag in names.items()]
-    stamped.select(F.concat(F.lit("<item>"), F.concat_ws("", *fields), F.lit("</item>"))).write.text(path)
+    line = F.concat(F.lit("<item>"), F.concat_ws("", *fields), F.lit("</item>"))
+    stamped.select(line.alias("value"), *folders).write.partitionBy(*folders).text(path)
 
 
 def _escaped(text: Column) -> Column:

@@ -89,12 +89,14 @@ def begin_states(records: DataFrame) -> DataFrame:
     return _spread(known, ["file", "block", "chunk"], "id", F.col("state")).select("file", "block", "id", "state")
 
 
-def read_records(spark: SparkSession, path: str | list[str], tag: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], tag: str, folder: str | None = None) -> DataFrame:
     """(file, block, id, text, map, opens): the text of files cut before every ``<tag``; written, as ``id`` must not change.
 
     ``opens`` tells whether the record goes on as an element of that name would; the first record of a file comes before any tag.
+    ``folder`` names a column that the folders of the files have values of, which is kept.
     """
-    lines = spark.read.option("lineSep", f"<{tag}").text(path)
+    kept = [folder] if folder else []
+    lines = spark.read.schema("value string" + "".join(f", {c} string" for c in kept)).option("lineSep", f"<{tag}").text(path)
     text = F.col("value")
     cut = lines.select(
         F.col("_metadata.file_path").alias("file"),
@@ -103,6 +105,7 @@ def read_records(spark: SparkSession, path: str | list[str], tag: str) -> DataFr
         text.alias("text"),
         state_map(text).alias("map"),
         text.rlike(r"^[\s/>]").alias("opens"),
+        *kept,
     )
     return written(cut, "records")
 
