@@ -38,8 +38,10 @@ def loop(t, n, columns=("text",)):
     return t.crossJoin(n).filter(test)
 
 
-@pytest.fixture(params=["sent", "shuffled"])
+@pytest.fixture(params=["sent", "counted", "shuffled"])
 def route(request, setting):
+    if request.param == "counted":
+        setting("tidemark.textjoin.countFrom", 1)
     if request.param == "shuffled":
         setting("tidemark.textjoin.maxNeedles", 0)
     return request.param
@@ -93,9 +95,10 @@ def test_anchor_kinds(spark):
     assert kinds["%"] == ("empty", "")
 
 
-def test_rarest_anchor(spark):
+def test_rarest_anchor(spark, setting):
     t, n = both(spark, ["x"], ["x common words here one y", "x common words here two y", "x common words here six y"])
     assert {r["__anchor"] for r in anchors_of(t, n).collect()} == {"words here one", "words here two", "words here six"}
+    setting("tidemark.textjoin.countFrom", 2)
     t, n = both(spark, ["theaters", "the quick", "a theme", None], ["theatre", "quickly"])
     # Every gram that no text has is as good as another; the smallest is taken.
     assert {r["__anchor"] for r in anchors_of(t, n).collect()} == {"atre", "ckly"}

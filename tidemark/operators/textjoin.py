@@ -8,7 +8,8 @@ equality, and the remaining pairs are verified with ILIKE itself. Kinds, most se
 ``gram4`` .. ``gram1``  four, three, two or one consecutive characters,
 ``empty``  nothing: the needle has only wildcards, or no characters at all.
 
-Of several grams of a needle the one is taken that fewest texts have, counted over all texts. A bitmap of the hashes of
+Of several pieces of a needle the one is taken that fewest other needles have; where there are many needles, the gram that
+fewest texts have, counted over all texts. A bitmap of the hashes of
 what is asked for stands inside the scan, so a text makes a row only for pieces that some needle may have as its anchor.
 
 Wildcards in a needle keep their meaning; an anchor never touches one. As a needle has exactly one
@@ -30,6 +31,9 @@ MAX_NEEDLES = 200_000
 MAX_CHARS = 50_000_000
 # Bits of the bitmap per piece asked for, and at most: 256 kB. A full one lets more pieces through, with the same result.
 BITS_PER_PIECE, MAX_BITS = 32, 1 << 21
+# From so many needles without three words on, one more reading of the texts, which finds each needle's rarest gram, costs
+# less than the candidates that it saves. Below, the gram is taken that fewest other needles have. The result is the same.
+COUNT_FROM = 10_000
 # Shares a frequent anchor is split into when needles are too many to send.
 SALTS = 32
 
@@ -37,8 +41,6 @@ _W = r"[\p{L}\p{N}]"
 _D = r"[^\p{L}\p{N}]"
 # Pieces of a text. The lookahead lets neighbouring pieces overlap; possessive repeats never back up.
 _TEXT_WORDS = rf"(?=({_W}++{_D}++{_W}++{_D}++{_W}++)){_W}++"
-# Up to four characters from every place; shorter grams are their beginnings.
-_TEXT_GRAMS = r"(?s)(?=(.{1,4}))."
 # Pieces of a needle. Words must be whole (something else on both sides), and nothing in or next to
 # the piece may be a wildcard (%, _) or an escape (\).
 _N = r"[^\p{L}\p{N}%_\\]"
@@ -50,6 +52,11 @@ _ROW = "__row"
 _KINDS = [*_NEEDLE_PIECES, "empty"]
 
 
+def _text_grams(n: int) -> str:
+    """Up to ``n`` characters from every place; shorter grams are their beginnings."""
+    return rf"(?s)(?=(.{{1,{n}}}))."
+
+
 def _pieces(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
@@ -105,28 +112,25 @@ def _asked(pieces: Column, bits: list[int]) -> Column:
 
 
 def anchored(forms: DataFrame, lowered: DataFrame, lows: Sequence[str]) -> DataFrame:
-    """``__anchor`` for every needle, written: the three words that fewest other needles have, or the gram that fewest texts have.
-
-    Texts are read for it only where a needle has several grams to choose from. They make rows for grams of needles alone, and
-    those are summed in the tasks.
+    """``__anchor`` for every needle, written: the piece that fewest other needles have, or of many needles the gram that
+    fewest texts have. For that, texts make rows for grams of needles alone, and those are summed in the tasks.
     """
     rows = written(forms.select("__form", "__kind", F.size("__pieces").alias("__of"), F.explode("__pieces").alias("__piece")), "pieces")
-    words = rows.filter(F.col("__kind") == "words")
-    shared = words.groupBy("__piece").agg(F.count("*").alias("__n"))
-    rank = F.struct(F.col("__n"), -F.length("__piece"), F.col("__piece"))
-    best = words.join(shared, "__piece").groupBy("__form").agg(F.min_by("__piece", rank).alias("__anchor"))
-
-    grams = rows.filter(F.col("__kind") != "words")
-    kinds = [r[0] for r in grams.filter("__of > 1").select("__kind").distinct().collect()]
-    if kinds:
-        bits = bitmap(grams.filter("__of > 1").select("__piece").distinct(), "__piece")
+    shared = rows.groupBy("__piece").agg(F.count("*").alias("__n"))
+    ranked = rows.join(shared, "__piece")
+    many = int(lowered.sparkSession.conf.get("tidemark.textjoin.countFrom", str(COUNT_FROM)))
+    open_ = rows.filter(F.col("__kind").startswith("gram") & (F.col("__of") > 1))
+    if open_.select("__form").distinct().limit(many).count() >= many:
+        kinds = [r[0] for r in open_.select("__kind").distinct().collect()]
+        bits = bitmap(open_.select("__piece").distinct(), "__piece")
         listed = lowered.select(F.explode(_text_anchors(lows, kinds, bits)).alias("__piece"))
-        counted = listed.groupBy("__piece").agg(F.count("*").alias("__n"))
-        grams = grams.join(counted, "__piece", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
-    else:
-        grams = grams.withColumn("__n", F.lit(0))
-    rarest = grams.groupBy("__form").agg(F.min_by("__piece", F.struct("__n", "__piece")).alias("__anchor"))
-    return written(forms.drop("__pieces").join(best.unionByName(rarest), "__form"), "anchors")
+        counted = listed.groupBy("__piece").agg(F.count("*").alias("__texts"))
+        grams = rows.filter(F.col("__kind").startswith("gram")).join(counted, "__piece", "left")
+        grams = grams.select(*rows.columns, F.coalesce("__texts", F.lit(0)).alias("__n"))
+        ranked = ranked.filter(~F.col("__kind").startswith("gram")).unionByName(grams)
+    rank = F.struct(F.col("__n"), -F.length("__piece"), F.col("__piece"))
+    best = ranked.groupBy("__form").agg(F.min_by("__piece", rank).alias("__anchor"))
+    return written(forms.drop("__pieces").join(best, "__form"), "anchors")
 
 
 def _lowered(texts: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -145,11 +149,9 @@ def _text_anchors(lows: Sequence[str], kinds: Sequence[str], bits: list[int]) ->
             found.append(_asked(_pieces(F.col(low), _TEXT_WORDS), bits))
         lengths = [n for n in (4, 3, 2, 1) if f"gram{n}" in kinds]
         if lengths:
-            grams = _pieces(F.col(low), _TEXT_GRAMS)
-            if lengths == [4]:
-                found.append(_asked(grams, bits))
-            else:
-                found += [_asked(F.transform(grams, _beginning(n)), bits) for n in lengths]
+            grams = F.array_distinct(_pieces(F.col(low), _text_grams(max(lengths))))
+            found.append(_asked(grams, bits))
+            found += [_asked(F.array_distinct(F.transform(grams, _beginning(n))), bits) for n in lengths[1:]]
         if "empty" in kinds:
             found.append(F.array(F.lit("")))
         arrays.append(F.when(F.col(low).isNotNull(), F.concat(*found) if found else none).otherwise(none))
