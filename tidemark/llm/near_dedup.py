@@ -8,23 +8,25 @@ sketches is concentrated around their similarity like a sum of independent trial
 Documents with equal sets are one class from then on. Classes that agree in one band of three coordinates are candidates:
 at a similarity of 0.75 a pair agrees in none of the 42 bands with probability 1e-10. A candidate pair with fewer than
 ``LEAST_EQUAL`` of 126 equal coordinates is passed over; at 0.75 that is five standard deviations away (below 1e-6). All
-others are compared on their full sets.
+others are compared on their full sets. With ``least_equal=0`` no candidate is passed over.
 
 No bucket is expanded into pairs. First each member is compared with its bucket's smallest member, which unites large groups
 of copies. Buckets that still hold several components are compared across components in blocks of bounded size, by sketches;
 a block passes on which members hang together, not the pairs. What hangs together so is compared once more in blocks, on the
-full sets, by matrix products; a block passes on stars of linked members. So every candidate pair is decided, and no step
-emits more rows than it has members.
+full sets, by matrix products; a block passes on stars of linked members, fewer rows than it has members. So every candidate pair
+is decided. Before the blocks, a group's members are sent to the blocks they take part in: each of ``s`` members to about
+ceil(o / ``BLOCK``) of them, where ``o`` counts those outside the group's largest component, and these to ceil(s / ``BLOCK``).
 
 Defined results: a null text and one without words has an empty set and is linked with nothing; a text of fewer than five words
 has its whole sequence as its only shingle; rows that repeat are in one component and, as they share the id, all kept; a row
-without an id has no component, links nothing and is kept. Ids should name one text: with several, the texts of the id are
-classes of their own, and of two such with one smallest id the links of both count. Other columns are not looked at.
+without an id has no component, links nothing and is kept. Where an id names several texts, each counts with its links, and
+documents that are linked to any of them are in one component. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -118,17 +120,22 @@ def equal_coordinates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
+def _keys(hashes: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Size of each set, and two hashes of it; together they name a class of equal sets."""
+    keys = [np.zeros(count, np.uint64) for _ in range(2)]
+    if len(rows):
+        begins = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        for k, key in enumerate(keys):
+            key[rows[begins]] = np.add.reduceat(mix(hashes ^ seed(2000 + k)), begins)
+    return np.bincount(rows, minlength=count), keys
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, stop, data, offsets in text_slices(batch.column(1)):
             count = stop - first
             hashes, rows = shingles(data, offsets)
-            sizes = np.bincount(rows, minlength=count)
-            keys = [np.zeros(count, np.uint64) for _ in range(2)]
-            begins = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else []
-            for k, key in enumerate(keys):
-                if len(rows):
-                    key[rows[begins]] = np.add.reduceat(mix(hashes ^ seed(2000 + k)), begins)
+            sizes, keys = _keys(hashes, rows, count)
             bands = bands_of(sketches(hashes, rows, count))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))
             yield pa.record_batch(
@@ -145,7 +152,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = pa.Array.from_buffers(
                 pa.large_binary(), stop - first, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(hashes)]
             )
-            yield pa.record_batch([batch.column(0).slice(first, stop - first), data.cast(pa.binary())], ["id", "shingles"])
+            sizes, keys = _keys(hashes, rows, stop - first)
+            columns = [pa.array(sizes), *[pa.array(k.view(np.int64)) for k in keys]]
+            yield pa.record_batch([batch.column(0).slice(first, stop - first), *columns, data.cast(pa.binary())], ["id", "n", "k1", "k2", "shingles"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +185,11 @@ def joined_pairs(hit: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndar
     return names[label[far]], names[far]
 
 
-def alike(side, cid, comp, size, data) -> tuple[np.ndarray, np.ndarray]:
+def alike(side, cid, comp, size, data, least: int = LEAST_EQUAL) -> tuple[np.ndarray, np.ndarray]:
     """Which members of a block may be linked across components, by sizes and sketches, as stars."""
     x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     sketch = coordinates(data.flatten().to_numpy().reshape(-1, BANDS))
-    hit = equal_coordinates(sketch[x], sketch[y]) >= LEAST_EQUAL
+    hit = equal_coordinates(sketch[x], sketch[y]) >= least
     small, large = np.minimum(size[x][:, None], size[y][None]), np.maximum(size[x][:, None], size[y][None])
     hit &= (comp[x][:, None] != comp[y][None]) & (100 * small >= 75 * large)
     return joined_pairs(hit, cid[x], cid[y])
@@ -257,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(full.mapInArrow(_compared, "a bigint, b bigint, linked boolean"), "verified")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     """Candidate pairs whose sizes and sketches allow a similarity of 0.75."""
     of = lambda name, x: classes.select(F.col("cid").alias(name), F.col("n").alias(f"n{x}"), F.col("bands").alias(f"s{x}"))
     both = pairs.join(of("a", "a"), "a").join(of("b", "b"), "b")
@@ -266,43 +275,55 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     apart = F.zip_with("sa", "sb", lambda x, y: x.bitwiseXOR(y))
     equal = F.aggregate(apart, F.lit(0), lambda total, z: total + same(low)(z) + same(mid)(z) + same(high)(z))
     sizes = 100 * F.least("na", "nb") >= 75 * F.greatest("na", "nb")
-    return both.filter(sizes).filter(equal >= LEAST_EQUAL).select("a", "b")
+    return both.filter(sizes).filter(equal >= least).select("a", "b")
+
 
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_equal: int = LEAST_EQUAL) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document.
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+    ``least_equal`` is how many coordinates of two sketches must be equal before their full sets are compared; 0 compares
+    the sets of all candidates whose sizes allow a link.
+    """
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     schema = "id bigint, n bigint, k1 bigint, k2 bigint, bands array<bigint>"
     rows = written(slim.mapInArrow(_sketched, schema), "sketches")
     named = rows.filter("id IS NOT NULL AND n > 0")
-    classes = named.groupBy("k1", "k2", "n").agg(F.min("id").alias("cid"), F.min_by("bands", "id").alias("bands"))
-    classes = written(classes, "classes")
+    repeats = _repeats(named)
+    classes = named.groupBy("k1", "k2", "n").agg(F.min("id").alias("first"), F.min_by("bands", "id").alias("bands"))
+    # A class is known by its smallest id; where ids name several texts, and so several classes, by a number of its own.
+    number = F.monotonically_increasing_id() if repeats else F.col("first")
+    classes = written(classes.withColumn("cid", number), "classes")
     member = classes.select("cid", F.explode("bands").alias("band"))
     # Buckets of one class are dropped before anything else is done with them.
     leaders = member.groupBy("band").agg(F.min("cid").alias("a"), F.max("cid").alias("last")).filter("a < last")
     buckets = written(member.join(leaders.select("band", "a"), "band"), "buckets")
     stars = buckets.filter("cid <> a").select("a", F.col("cid").alias("b")).distinct()
-    stars = written(_alike(stars, classes), "stars")
+    stars = written(_alike(stars, classes, least_equal), "stars")
 
-    shared = buckets.select(F.col("cid").alias("id")).distinct()
-    found = slim.join(shared, "id").dropDuplicates(["id"]) if _repeats(named) else slim.join(shared, "id")
-    sets = written(found.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
+    shared = buckets.select("cid").distinct()
+    sets = _class_sets(slim, classes, shared) if repeats else _sets_of(slim.join(shared.select(F.col("cid").alias("id")), "id"))
+    sets = written(sets.select("id", "shingles"), "sets")
 
     tested = _verified(stars, sets)
     edges = tested.filter("linked").select("a", "b")
+    if repeats:
+        edges = written(edges.unionByName(_same_id(named, classes)), "edges")
     labels = components(edges)
     # Similar members of different components, first by sketches within buckets, then by full sets within what these connect.
     sketched = classes.select("cid", "n", F.col("bands").alias("data"))
-    near = _across(buckets.select(F.col("band").alias("group"), "cid"), labels, sketched, alike).distinct()
+    near = _across(buckets.select(F.col("band").alias("group"), "cid"), labels, sketched, partial(alike, least=least_equal)).distinct()
     clusters = components(near).select(F.col("label").alias("group"), F.col("node").alias("cid"))
     full = sets.select(F.col("id").alias("cid"), (F.octet_length("shingles") / 8).cast("bigint").alias("n"), F.col("shingles").alias("data"))
     more = written(_across(clusters, labels, full, linked), "links")
     if more.limit(1).count():
         labels = components(edges.unionByName(more))
     by_class = classes.join(labels, classes["cid"] == labels["node"], "left").select(
-        "k1", "k2", "n", F.coalesce("label", "cid").alias("component")
+        "k1", "k2", "n", "first", F.coalesce("label", "cid").alias("component")
     )
-    out = rows.select("id", "n", "k1", "k2").join(by_class, ["k1", "k2", "n"], "left")
+    if repeats:
+        by_class = by_class.join(by_class.groupBy("component").agg(F.min("first").alias("least")), "component")
+        by_class = by_class.withColumn("component", F.col("least")).drop("least")
+    out = rows.select("id", "n", "k1", "k2").join(by_class.drop("first"), ["k1", "k2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     out = out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(doc_id) == F.col("component_id"), F.lit(True)))
@@ -313,6 +334,25 @@ def _repeats(named: DataFrame) -> bool:
     return named.groupBy("id").count().filter("count > 1").limit(1).count() > 0
 
 
+def _sets_of(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_sets, "id bigint, n bigint, k1 bigint, k2 bigint, shingles binary")
+
+
+def _class_sets(slim: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(id, shingles) with the number of each shared class as id, where an id may name several texts."""
+    wanted = classes.join(shared, "cid").select("cid", "first", "k1", "k2", "n")
+    texts = slim.join(wanted.select(F.col("first").alias("id")).distinct(), "id")
+    found = _sets_of(texts).withColumnRenamed("id", "first").join(wanted, ["first", "k1", "k2", "n"])
+    return found.dropDuplicates(["cid"]).select(F.col("cid").alias("id"), "shingles")
+
+
+def _same_id(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) of classes that have an id in common: the smallest one beside each other one."""
+    of = named.select("id", "k1", "k2", "n").distinct().join(classes.select("cid", "k1", "k2", "n"), ["k1", "k2", "n"]).select("id", "cid")
+    least = of.groupBy("id").agg(F.min("cid").alias("a"), F.max("cid").alias("last")).filter("a < last").select("id", "a")
+    return of.join(least, "id").filter("cid <> a").select("a", F.col("cid").alias("b")).distinct()
+
+
 def _across(groups: DataFrame, labels: DataFrame, details: DataFrame, decide) -> DataFrame:
     """Edges (a, b) that ``decide`` finds between components that meet in a group.
 
