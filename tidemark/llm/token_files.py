@@ -1,6 +1,6 @@
 """Token-id files: ids of all documents in ascending id order, coded with one Huffman code for the whole collection.
 
-``write_token_files`` encodes the texts once and keeps the ids, counts them over all documents, makes one canonical code of
+``write_token_files`` encodes the texts once, keeps the ids and counts them in the same tasks, makes one canonical code of
 at most ``MAX_BITS`` bits (more only where the ids need it), range-partitions the documents by id, and writes segments of
 about ``SEGMENT`` ids. ``read_token_files`` decodes every segment by itself.
 
@@ -45,8 +45,12 @@ def unsqueeze(value: pa.Scalar) -> np.ndarray:
 
 
 def _encoded(path: str, end_id: int):
+    """Ids of every document, and after a task's last document one row with its counts of all ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
+        total = np.zeros(end_id + 1, np.int64)
+        names = ["id", "ids", "counts"]
         for batch in batches:
             texts = batch.column(1)
             row = 0
@@ -60,24 +64,24 @@ def _encoded(path: str, end_id: int):
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
                 ends += np.arange(1, len(ends) + 1)
+                found = np.bincount(ids, minlength=len(total))
+                found[: len(total)] += total
+                total = found
                 data = [squeeze(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield pa.record_batch([batch.column(0).slice(first, row - first), pa.array(data, pa.binary())], ["id", "ids"])
+                columns = [batch.column(0).slice(first, row - first), pa.array(data, pa.binary()), pa.nulls(row - first, pa.binary())]
+                yield pa.record_batch(columns, names)
+        used = np.flatnonzero(total)
+        counts = np.concatenate([used, total[used]]).astype("<i8").tobytes()
+        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], pa.binary())], names)
 
     return run
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
     for batch in batches:
-        for at in range(0, len(batch), 64):
-            some = np.bincount(np.concatenate([unsqueeze(v) for v in batch.column(0).slice(at, 64)]))
-            if len(some) > len(total):
-                some[: len(total)] += total
-                total = some
-            else:
-                total[: len(some)] += some
-    used = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(used), pa.array(total[used])], ["token", "n"])
+        for value in batch.column(0):
+            tokens, n = np.frombuffer(value.as_buffer(), "<i8").reshape(2, -1)
+            yield pa.record_batch([pa.array(tokens), pa.array(n)], ["token", "n"])
 
 
 def pack_segment(doc_ids: list, arrays: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> bytes:
@@ -161,9 +165,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     raw = f"{folder}/ids"
-    slim.mapInArrow(_encoded(tokenizer, end_id), "id bigint, ids binary").write.option("compression", "uncompressed").parquet(raw)
-    ids = spark.read.schema("id bigint, ids binary").parquet(raw)
-    counts = ids.select("ids").mapInArrow(_counted, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    kind = "id bigint, ids binary, counts binary"
+    slim.mapInArrow(_encoded(tokenizer, end_id), kind).write.option("compression", "uncompressed").parquet(raw)
+    coded = spark.read.schema(kind).parquet(raw)
+    ids = coded.filter("ids IS NOT NULL").select("id", "ids")
+    counts = coded.filter("counts IS NOT NULL").select("counts").mapInArrow(_counted, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(max([end_id, *(r[0] for r in counts)]) + 1, np.int64)  # as many as the tokenizer has ids
     for token, n in counts:
         total[token] = n

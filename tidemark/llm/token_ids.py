@@ -8,10 +8,11 @@ asks the tokenizer only for new ones. Texts that hold a special token's string a
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 
-KEPT_PIECES = 1_200_000
+KEPT_PIECES = 1_600_000
 _ENCODERS: dict[str, Encoder] = {}
 # A space that no visible character follows belongs to the piece before it.
 _INNER = re.compile(r" (?:\s|\Z)")
@@ -23,8 +24,11 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        if not isinstance(self.tokenizer.pre_tokenizer, ByteLevel) or self.tokenizer.normalizer is not None:
+            raise ValueError(f"{path}: not a byte-level tokenizer without normalisation")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Byte-level tokens have one character for each byte.
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
@@ -45,9 +49,9 @@ class Encoder:
         for at in range(0, len(joined), 4096):
             some = joined[at : at + 4096]
             whole = "".join(some)
-            ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.cumsum(self.bytes_of[ids])
-            own = np.cumsum([len(p.encode()) for p in some])
+            own = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in some])
             last = np.searchsorted(ends, own)
             if len(ends) <= last[-1] or (ends[last] != own).any():
                 alone += some
@@ -89,10 +93,12 @@ class Encoder:
                 own = self._pieces(text)
                 pieces += own
                 counts[k] = len(own)
-        new = [p for p in dict.fromkeys(pieces) if p not in self.places]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            names = [pieces[i] for i in unknown.tolist()]
+            self._learn(list(dict.fromkeys(names)))
+            at[unknown] = np.fromiter(map(self.places.__getitem__, names), np.int64, len(names))
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
