@@ -152,6 +152,71 @@ def test_version_table_changes_only_touched_years(spark):
         table.apply(spark.createDataFrame([(1, "update", "C")], "id long, op string, v string"), "2000-01-01 00:00:00", ["v"])
 
 
+def files_of(path, part):
+    import glob
+
+    found = glob.glob(f"{path.removeprefix('file:')}/data/snap=*/part_year=*/part_close=*/*.parquet")
+    return sorted(f for f in found if ("part_close=9999" in f) == (part == "open"))
+
+
+def test_a_batch_leaves_closed_files_and_other_years_alone(spark):
+    table = versions_store.VersionTable(spark, scratch_path(spark, "history"))
+    rows = versions(
+        spark, *[(i, f"{1990 + i % 9}-03-01", f"{1991 + i % 9}-02-01", "a") for i in range(40)],
+        *[(i, f"{1991 + i % 9}-02-01", END, "b") for i in range(40)],
+    ).withColumn("deleted", F.lit(False))
+    table.create(rows, rows.groupBy("id").agg(F.min("valid_from").alias("created")))
+    closed, opened = files_of(table.path, "closed"), files_of(table.path, "open")
+    table.apply(spark.createDataFrame([(3, "update", "c")], "id long, op string, v string"), "2001-05-05 00:00:00", ["v"])
+    now = files_of(table.path, "closed")
+    # One closed row is new, nothing else; open rows of two years were written.
+    assert set(closed) < set(now) and len(now) == len(closed) + 1
+    written_open = set(files_of(table.path, "open")) - set(opened)
+    assert {f.split("part_year=")[1][:4] for f in written_open} <= {"1994", "2001"}
+    open_plan = table.current()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in open_plan and open_plan.count("FileScan") == 2
+    read = {f.rsplit("/data/", 1)[1] for f in versions_store.read_open(spark, table.path).inputFiles()}
+    assert read and all("part_close=9999" in f for f in read)
+    past = {f.rsplit("/data/", 1)[1] for f in versions_store.read_as_of(spark, table.path, "1994-06-01").inputFiles()}
+    years = [tuple(int(f.split(f"{p}=")[1][:4]) for p in ("part_year", "part_close")) for f in past]
+    assert years and all(a <= 1994 <= b for a, b in years) and len(past) < len(read) + len(now)
+    created = {r.id: r.created.year for r in table.as_of("1994-06-01").collect()}
+    assert created == {i: 1990 + i % 9 for i in range(40) if 1990 + i % 9 <= 1994}
+
+
+def test_stored_numbers_are_those_of_a_window(spark):
+    """Random batches: numbers, history and the current view are those of the plain operators; compacting changes nothing."""
+    import random
+
+    from tidemark.plans import temporal
+
+    rng = random.Random(6)
+    table = versions_store.VersionTable(spark, scratch_path(spark, "history"))
+    rows = versions(spark, (1, "1998-01-05", END, "a"), (2, "1999-03-03", END, "b")).withColumn("deleted", F.lit(False))
+    keys = rows.groupBy("id").agg(F.min("valid_from").alias("created"))
+    table.create(rows, keys)
+    held = rows.collect()
+    plain, known = spark.createDataFrame(held, rows.schema), spark.createDataFrame(keys.collect(), keys.schema)
+    for step in range(4):
+        n = known.count()
+        ids = rng.sample(range(1, n + 1), rng.randint(1, n))
+        dead = {r.id for r in plain.filter("deleted").collect()}
+        batch = [(i, rng.choice(["update", "update", "delete"]), f"s{step}") for i in ids if i not in dead]
+        batch += [(None, "insert", f"n{step}{k}") for k in range(2)]
+        changes = spark.createDataFrame(batch, "id long, op string, v string")
+        ts = f"{2000 + step}-01-01 00:00:00"
+        table.apply(changes, ts, ["v"])
+        known, plain = temporal.apply_changes(known, plain, changes, ts, ["v"])
+        known, plain = spark.createDataFrame(known.collect(), known.schema), spark.createDataFrame(plain.collect(), plain.schema)
+    columns = ["id", "valid_from", "valid_to", "v", "deleted", "rec_version"]
+    seen = lambda df: sorted(map(str, df.select(*columns).collect()))
+    assert seen(table.versions(numbers=True)) == seen(temporal.numbered(plain))
+    views = [sorted(map(str, v.collect())) for v in (table.current(), temporal.current(plain, known))]
+    assert views[0] == views[1]
+    assert table.compact(most=1) == 6 and table.compact(most=1) is None
+    assert seen(table.versions(numbers=True)) == seen(temporal.numbered(plain)) and table.keys().count() == known.count()
+
+
 def test_an_empty_marker_is_not_a_version(spark):
     path = scratch_path(spark, "t")
     view = materialize(spark.range(3), path, key=["id"])

@@ -2,6 +2,9 @@
 
 A version table has ``id``, ``valid_from``, ``valid_to``, payload columns and ``deleted``. The newest
 version of an id ends at ``OPEN_END``. A change batch has at most one row per id and one timestamp.
+
+A table may also have ``rec_version``, the number of a version within its id (``numbered`` adds it). The change
+operators keep it up to date, and the current view then needs the open versions alone.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from tidemark.operators.checks import ConstraintError, first_violation, unique_v
 from tidemark.operators.distinct import first_per_key
 from tidemark.operators.ordered import next_value, row_number
 
-_META = ("id", "valid_from", "valid_to", "deleted")
+_META = ("id", "valid_from", "valid_to", "deleted", "rec_version")
 
 
 def payload_columns(state: DataFrame) -> list[str]:
@@ -95,24 +98,26 @@ def _replace_open(state: DataFrame, changes: DataFrame, ts: Column, tombstones:
         F.col("id").alias("__id"), F.col("op").alias("__op"), *[F.col(c).alias(f"__new_{c}") for c in payload]
     )
     joined = state.filter(ends).join(batch, F.col("id") == F.col("__id"), "left")
-    has_flag = "deleted" in state.columns
+    has_flag, has_number = "deleted" in state.columns, "rec_version" in state.columns
     alive = ~F.col("deleted") if has_flag else F.lit(True)
     update = F.coalesce((F.col("__op") == "update") & alive, F.lit(False))
     delete = F.coalesce((F.col("__op") == "delete") & alive, F.lit(False))
 
-    def version(start, end, values, deleted):
+    def version(start, end, values, deleted, later=0):
         fields = [F.col("id"), start.alias("valid_from"), end.alias("valid_to"), *values]
         if has_flag:
             fields.append(deleted.alias("deleted"))
-        return F.struct(*[f for f in fields])
+        if has_number:
+            fields.append((F.col("rec_version") + later).alias("rec_version"))
+        return F.struct(*fields)
 
     old = [F.col(c) for c in payload]
     new = [F.col(f"__new_{c}").alias(c) for c in payload]
     flag = F.col("deleted") if has_flag else F.lit(False)
     kept = version(F.col("valid_from"), F.col("valid_to"), old, flag)
     closed = version(F.col("valid_from"), ts, old, F.lit(False))
-    updated = version(ts, open_end(), new, F.lit(False))
-    buried = version(ts, open_end(), old, F.lit(True))
+    updated = version(ts, open_end(), new, F.lit(False), later=1)
+    buried = version(ts, open_end(), old, F.lit(True), later=1)
     after_delete = F.array(closed, buried) if tombstones else F.array(closed)
     rows = F.when(update, F.array(closed, updated)).when(delete, after_delete).otherwise(F.array(kept))
     changed = joined.select(F.explode(rows).alias("__row")).select("__row.*")
@@ -135,7 +140,12 @@ def insert_versions(
     new_keys = placed.select("id", at.alias("created"))
     payload = payload_columns(state)
     versions = placed.select(
-        "id", at.alias("valid_from"), open_end().alias("valid_to"), *payload, F.lit(False).alias("deleted")
+        "id",
+        at.alias("valid_from"),
+        open_end().alias("valid_to"),
+        *payload,
+        F.lit(False).alias("deleted"),
+        F.lit(1).cast("long").alias("rec_version"),
     )
     return new_keys, versions.select(*state.columns)
 
@@ -165,17 +175,28 @@ def _as_batch(ids: DataFrame, state: DataFrame, op: str) -> DataFrame:
     return ids.select("id", F.lit(op).alias("op"), *empty)
 
 
-def apply_changes(
+def change_batch(
     keys: DataFrame, state: DataFrame, changes: DataFrame, ts, order: Sequence[str], check: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Inserts, updates and deletes of one batch (column ``op``): the next (keys, versions)."""
+    """Inserts, updates and deletes of one batch (column ``op``): (new keys, next versions).
+
+    Only open versions take part, so ``state`` may leave the closed ones out; the result then has the open versions and those that
+    the batch has closed.
+    """
     at = _stamp(ts)
     if check:
         check_changes(state, changes, at)
     replaced = _replace_open(state, changes.filter(F.col("op") != "insert"), at, tombstones=True)
-    fresh = changes.filter(F.col("op") == "insert")
-    new_keys, versions = insert_versions(keys, state, fresh, at, order)
-    return keys.unionByName(new_keys), replaced.unionByName(versions)
+    new_keys, versions = insert_versions(keys, state, changes.filter(F.col("op") == "insert"), at, order)
+    return new_keys, replaced.unionByName(versions)
+
+
+def apply_changes(
+    keys: DataFrame, state: DataFrame, changes: DataFrame, ts, order: Sequence[str], check: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The same batch: the next (keys, versions)."""
+    new_keys, versions = change_batch(keys, state, changes, ts, order, check)
+    return keys.unionByName(new_keys), versions
 
 
 # --- views ----------------------------------------------------------------------------------
@@ -184,12 +205,13 @@ def apply_changes(
 def current(state: DataFrame, keys: DataFrame) -> DataFrame:
     """The open, not deleted version of every id, with its version number and creation time.
 
-    The open version is the last one, so its number is the count of versions of its id: an
-    aggregate with map-side combine instead of a window over the whole history.
+    Where the table has numbers, only open versions are read. Without them, the open version being the last one, its number is the
+    count of versions of its id: an aggregate with map-side combine instead of a window over the whole history.
     """
-    numbers = state.groupBy("id").agg(F.count(F.lit(1)).alias("rec_version"))
     alive = _open_rows(state).filter(~F.col("deleted"))
-    return alive.join(numbers, "id").join(keys.select("id", "created"), "id").select(
+    if "rec_version" not in state.columns:
+        alive = alive.join(state.groupBy("id").agg(F.count(F.lit(1)).alias("rec_version")), "id")
+    return alive.join(keys.select("id", "created"), "id").select(
         "id",
         "rec_version",
         *payload_columns(state),
@@ -201,6 +223,8 @@ def current(state: DataFrame, keys: DataFrame) -> DataFrame:
 
 def numbered(state: DataFrame) -> DataFrame:
     """Every version with its number within its id."""
+    if "rec_version" in state.columns:
+        return state
     return row_number(state, ["id"], [F.col("valid_from").asc_nulls_last()], "rec_version")
 
 
@@ -212,14 +236,15 @@ def history(state: DataFrame, ids: Sequence | None = None, descending: bool = Fa
     return rows.orderBy(F.col("id").asc_nulls_last(), version)
 
 
-def as_of(state: DataFrame, ts) -> DataFrame:
-    """Versions valid at ``ts``, tombstones included.
+def as_of(state: DataFrame, ts, keys: DataFrame | None = None) -> DataFrame:
+    """Versions valid at ``ts``, tombstones included, of the ids in ``keys`` with their ``created``, where these are given.
 
-    The number counts the rows that are left after the filter, so it is 1 for every id.
+    The number counts the rows that are left after the filter. As the ranges of an id don't overlap, that is one row per id.
     """
-    valid = state.filter(contains_point(F.col("valid_from"), F.col("valid_to"), _stamp(ts)))
+    valid = state.filter(contains_point(F.col("valid_from"), F.col("valid_to"), _stamp(ts))).drop("rec_version")
     window = Window.partitionBy("id").orderBy("valid_from")
-    return valid.withColumn("rec_version", F.row_number().over(window))
+    rows = valid.withColumn("rec_version", F.row_number().over(window))
+    return rows if keys is None else rows.join(keys.select("id", "created"), "id")
 
 
 def statistics(state: DataFrame, keys: DataFrame) -> DataFrame:

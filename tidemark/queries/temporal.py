@@ -99,7 +99,8 @@ def tt_delete(t):
         FROM n JOIN k USING (id) WHERE NOT deleted AND valid_to = {_END}""",
 )
 def tt_current(t):
-    view = temporal.current(state(t), keys(t))
+    # Numbers are kept with the rows, so the view reads open rows alone.
+    view = temporal.current(temporal.numbered(state(t)), keys(t))
     return view.withColumn("valid_until", F.date_format("valid_until", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
@@ -119,11 +120,23 @@ def tt_all_versions(t):
 
 @query(
     "tt_as_of",
-    f"""WITH {_V} SELECT {_SHOWN}, row_number() OVER (PARTITION BY id ORDER BY valid_from) AS rec_version
-        FROM v WHERE valid_from <= TIMESTAMP '{PAST}' AND TIMESTAMP '{PAST}' < valid_to""",
+    f"""WITH {_V} SELECT {_SHOWN}, row_number() OVER (PARTITION BY id ORDER BY valid_from) AS rec_version, created
+        FROM v JOIN k USING (id) WHERE valid_from <= TIMESTAMP '{PAST}' AND TIMESTAMP '{PAST}' < valid_to""",
 )
 def tt_as_of(t):
-    return _shown(temporal.as_of(state(t), PAST))
+    return _shown(temporal.as_of(state(t), PAST, keys(t)))
+
+
+@query(
+    "tt_stored_current",
+    f"""WITH {_V}, n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY valid_from) AS rec_version FROM v)
+        SELECT id, rec_version, event_type, value, created, valid_from, {_TEXT.format("valid_to")} AS valid_until
+        FROM n JOIN k USING (id) WHERE NOT deleted AND valid_to = {_END}""",
+)
+def tt_stored_current(t):
+    table = VersionTable(t.spark, scratch_path(t.spark, "history"))
+    table.create(state(t), keys(t))
+    return table.current().withColumn("valid_until", F.date_format("valid_until", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query(
