@@ -7,20 +7,24 @@ of nodes with the largest sum of log-odds in which no chosen node has an ancesto
 
 There are no labelled pages, so labels are made: a bounded sample of pages (``FIT_PAGES``, by a hash of the id) whose article
 element is known is rebuilt in many layouts, with other containers and names, and with menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments made from the pages' own sentences. The trees are fitted on the nodes of these.
+notices, adverts, forms and reader comments made from the pages' own sentences. The trees are fitted on the nodes of these, and on
+the sampled pages as found, where elements whose tag or class names tell so count as not the article. Where no page has an article
+element, the layouts are made from the pages' long blocks, and nothing is taken as found.
 
 Defined results: null or empty html, and a page without text, give an empty text; markup that isn't closed is closed as
 browsers do for blocks; raw text of scripts, styles and form controls is never text, and a script or style without an end tag
 goes on to the end of the page; titles, frames and text fields without one go on to the next tag. Buttons, lists to select from,
 drawings, templates and noscript are left out; without an end tag they end with their block or where the next one begins. What stands in
 a head beside titles, scripts and styles is text, as browsers move it to the body. Rows that repeat are extracted one by one.
-A line break tag is a white space. Other columns are kept out of the result. An empty table gives an empty one.
+A line break tag is a white space. Text below the body that stands in no block is kept where it is half of the page's text or more.
+A tag that isn't closed before the next "<" is text. Other columns are kept out of the result. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,15 +37,18 @@ from tidemark.llm.boosting import Trees, fit_trees
 
 FIT_PAGES, LAYOUTS, PAGES_AT_ONCE = 500, 3, 64
 
+# Attributes: quoted values may hold anything. A tag that isn't closed ends its trial at the next "<", so that a page of
+# such tags is read in one pass.
+_INSIDE = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)(button|select|svg|template|noscript)(?=[\s/>])([^>]*)>|<[!?][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)(?=[\s/>])(?:{_INSIDE}|[^<>]*)>"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*)({_INSIDE})>|<(/?)(button|select|svg|template|noscript)(?=[\s/>])([^<>]*)>|<[!?][^<>]*>",
     re.S | re.I,
 )
 # Elements whose content is raw text, by what is looked for to end it (a second title or frame tells that the first
 # has no end), and elements that are left out with all they hold.
-_RAW_END = {name: re.compile(rf"<(/){name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "textarea")}
-_RAW_END |= {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I) for name in ("title", "iframe")}
+_RAW_END = {name: re.compile(rf"<(/){name}(?=[\s/>])[^<>]*>", re.I) for name in ("script", "style", "textarea")}
+_RAW_END |= {name: re.compile(rf"<(/?){name}(?=[\s/>])[^<>]*>", re.I) for name in ("title", "iframe")}
 LEFT_OUT = frozenset({"button", "select", "svg", "template", "noscript"})
 NESTING = frozenset({"svg", "template"})
 _UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+$")
@@ -151,7 +158,9 @@ def parse(source: str) -> Page:
     tags = tags_of(source)
     has_end = ended(tags)
     # The open left-out element, whether its end tag comes, how often it is nested, and the blocks open in it.
-    hidden, sure, depth_in, inner = "", False, 0, []
+    hidden, sure, depth_in, inner, within = "", False, 0, [], Counter()
+    # How many blocks of a name are open: an end tag that has none is passed over without a look at the stack.
+    opened: Counter[str] = Counter()
 
     def flush():
         if run:
@@ -162,6 +171,7 @@ def parse(source: str) -> Page:
 
     def close(depth):
         flush()
+        opened.subtract(page.tags[n] for n in stack[depth:])
         del stack[depth:]
 
     for k, (begin, end, slash, name, attributes) in enumerate(tags):
@@ -183,13 +193,15 @@ def parse(source: str) -> Page:
             elif sure and not slash:
                 if name in BLOCKS and name not in VOID:
                     inner.append(name)
+                    within[name] += 1
                 continue
             elif name in BLOCKS and name not in VOID:
-                if slash and name in inner:
-                    while inner.pop() != name:
-                        pass
+                if slash and within[name] > 0:
+                    while (gone := inner.pop()) != name:
+                        within[gone] -= 1
+                    within[name] -= 1
                     continue
-                if slash and not any(page.tags[n] == name for n in stack[1:]):
+                if slash and not opened[name]:
                     continue
                 hidden = ""  # its block ends, or it was never closed
             else:
@@ -201,19 +213,20 @@ def parse(source: str) -> Page:
                 if name in ("button", "select"):
                     run.append(" ")
                 if not closes_itself(attributes):
-                    hidden, sure, depth_in, inner = name, k in has_end, 1, []
+                    hidden, sure, depth_in, inner, within = name, k in has_end, 1, [], Counter()
         elif name == "a":
             in_link = not slash
         elif name in ("br", "img", "input", "textarea"):
             run.append(" ")
         elif name in BLOCKS and name not in ("html", "body"):
             if slash:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if page.tags[stack[depth]] == name:
-                        close(depth)
-                        break
-                else:
+                if opened[name] <= 0:
                     flush()
+                    continue
+                depth = len(stack) - 1
+                while page.tags[stack[depth]] != name:
+                    depth -= 1
+                close(depth)
                 continue
             in_link = False
             if page.tags[stack[-1]] == "p":
@@ -226,6 +239,7 @@ def parse(source: str) -> Page:
             flush()
             if name not in VOID:
                 stack.append(page.node(name, stack[-1], attributes))
+                opened[name] += 1
     if at < len(source) and not hidden:
         run.append(source[at:])
     flush()
@@ -264,8 +278,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums = np.stack([own, links, stops, runs, words, np.ones(n), (tag_code == TAGS.index("p")).astype(float)], axis=1)
     below = sums.copy()
     children = np.zeros(n)
-    for d in range(int(depth.max(initial=0)), 0, -1):
-        at = np.flatnonzero(depth == d)
+    for at in reversed(levels(depth)[1:]):
         np.add.at(below, parents[at], below[at])
         np.add.at(children, parents[at], 1)
     safe = np.maximum(parents, 0)
@@ -292,16 +305,20 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.stack(columns, axis=1).astype(np.float32), parents, depth
 
 
+def levels(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of every depth, the roots first."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
+
+
 def chosen(odds: np.ndarray, parents: np.ndarray, depth: np.ndarray) -> np.ndarray:
     """The nodes with the largest sum of log-odds such that every chosen node's parent is chosen; roots always are."""
     best = odds.copy()
-    deepest = int(depth.max(initial=0))
-    for d in range(deepest, 0, -1):
-        at = np.flatnonzero(depth == d)
+    by_depth = levels(depth)[1:]
+    for at in reversed(by_depth):
         np.add.at(best, parents[at], np.maximum(best[at], 0))
     keep = depth == 0
-    for d in range(1, deepest + 1):
-        at = np.flatnonzero(depth == d)
+    for at in by_depth:
         keep[at] = keep[parents[at]] & (best[at] > 0)
     return keep
 
@@ -315,11 +332,18 @@ def extract(sources: list[str], trees: Trees | None) -> list[str]:
     keep = chosen(trees.odds(x), parents, depth) if trees else np.ones(len(x), bool)
     out, first = [], 0
     for page in pages:
-        out.append("\n".join(text for node, text in page.blocks if keep[first + node]))
+        bare = trees is None or is_bare(page)
+        out.append("\n".join(text for node, text in page.blocks if keep[first + node] and (node or bare)))
         first += len(page.tags)
     return out
 
 
+def is_bare(page: Page) -> bool:
+    """Does the text that stands in no block make up half of the page or more?"""
+    inside = sum(len(text) for node, text in page.blocks if node)
+    return sum(len(text) for node, text in page.blocks if not node) >= inside
+
+
 def layouts(source: str, others: list[str], rng: np.random.Generator) -> list[str]:
     """Pages made of one page's article, in which all that is added carries the mark."""
     made = re.search(r"<article[^>]*>(.*?)</article>", source, re.S | re.I)
@@ -395,18 +419,21 @@ def labelled(source: str) -> tuple[Page, np.ndarray]:
 
 
 def fit(pages: DataFrame, page_id="page_id", source="html") -> Trees | None:
-    """Trees fitted on layouts made from at most ``FIT_PAGES`` pages with an article element; None without any."""
-    some = pages.select(F.col(page_id).cast("string").alias("id"), F.col(source).alias("html")).filter(F.col("html").rlike("(?i)<article"))
-    ids = some.select("id").orderBy(F.xxhash64("id"), "id").limit(FIT_PAGES)
-    rows = some.join(F.broadcast(ids), "id").dropDuplicates(["id"]).orderBy("id").collect()
-    if not rows:
-        return None
+    """Trees fitted on layouts made from at most ``FIT_PAGES`` pages: those with an article element, and where no page has one,
+    the paragraphs that stand out by length of any pages. None if there are none of these either."""
+    every = pages.select(F.col(page_id).cast("string").alias("id"), F.col(source).alias("html")).filter(F.col("html").isNotNull())
+    rows = _sample(every.filter(F.col("html").rlike("(?i)<article")))
     rng = np.random.default_rng(8)
-    sentences = [t for r in rows for t in extract([r["html"]], None)[0].split("\n") if t] or ["text"]
-    made = [labelled(s) for r in rows for s in layouts(r["html"], sentences, rng)]
-    for r in rows:
-        made.append(labelled(_as_found(r["html"])))
-        made.append(labelled(re.sub(r"(<p>.*?)(?:<p>.*)?(?=</article>)", r"\1", _as_found(r["html"]), flags=re.S)))
+    if rows:
+        sentences = [t for r in rows for t in extract([r], None)[0].split("\n") if t] or ["text"]
+        made = [labelled(s) for r in rows for s in layouts(r, sentences, rng)]
+        for r in rows:
+            made.append(labelled(_as_found(r)))
+            made.append(labelled(re.sub(r"(<p>.*?)(?:<p>.*)?(?=</article>)", r"\1", _as_found(r), flags=re.S)))
+    else:
+        texts = [[text for _, text in parse(r).blocks] for r in _sample(every)]
+        sentences = [t for own in texts for t in own]
+        made = [labelled(_layout(inner, sentences, rng)) for own in texts if (inner := _paragraphs(own)) for _ in range(LAYOUTS)]
     if not made:
         return None
     x, parents, _ = features([p for p, _ in made])
@@ -415,6 +442,18 @@ def fit(pages: DataFrame, page_id="page_id", source="html") -> Trees | None:
     return fit_trees(x[inner], y[inner].astype(float))
 
 
+def _sample(pages: DataFrame) -> list[str]:
+    """At most ``FIT_PAGES`` pages (id, html), by a hash of the id; of rows with one id a single one."""
+    ids = pages.select("id").orderBy(F.xxhash64("id"), "id").limit(FIT_PAGES)
+    return [r["html"] for r in pages.join(F.broadcast(ids), "id").dropDuplicates(["id"]).orderBy("id").collect()]
+
+
+def _paragraphs(texts: list[str]) -> str:
+    """The blocks of at least a fifth of the longest one's length, and of 60 characters, as paragraphs."""
+    least = max(60, max(map(len, texts), default=0) // 5)
+    return "".join(f"<p>{html.escape(t)}</p>" for t in texts if len(t) >= least)
+
+
 def _as_found(source: str) -> str:
     """A page with marks at the elements whose tags or names say that they are not the article."""
     out = re.sub(r"<(nav|header|footer|aside|form)\b", r"<\1 data-is=no", source, flags=re.I)
