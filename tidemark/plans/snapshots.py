@@ -80,6 +80,12 @@ def read_marker(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all it holds."""
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
 def published_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n) for n in _full_names(spark, f"{path}/published") if n.isdigit())
 

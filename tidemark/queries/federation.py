@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import variants
 from tidemark.operators import changes, checks
 from tidemark.plans import versions_store
-from tidemark.plans.snapshots import Snapshot, materialize
+from tidemark.plans.bucketed import BucketedSnapshot
+from tidemark.plans.snapshots import materialize
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
 from tidemark.sources import external, feeds, jsonlines
@@ -129,6 +130,32 @@ def refresh_view(t):
     return view.read()
 
 
+@query("refresh_changed", _PER_CUSTOMER_SQL.format(where=""))
+def refresh_changed(t):
+    # Customers without orders in state F keep their rows, and buckets without another row are not written.
+    view = BucketedSnapshot(t.spark, scratch_path(t.spark, "mv"), ["c_custkey"])
+    view.refresh(_per_customer(t, "F"))
+    view.refresh(_per_customer(t))
+    view.expire(keep=1)
+    return view.read()
+
+
+@query(
+    "refresh_log",
+    """SELECT 0::BIGINT AS log_id, 'refresh feed snapshot' AS executed, true AS in_order, count(*) AS items FROM orders""",
+)
+def refresh_log(t):
+    # The log of the job's runs, beside what the snapshot holds after them.
+    home = scratch_path(t.spark, "refresh")
+    snapshot = BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"])
+    job = RefreshJob(t.spark, f"{home}/feed/*", snapshot, f"{home}/log", f"{home}/checkpoint")
+    feeds.write_feed(_order_items(t.orders), f"{home}/feed/1")
+    job.start(interval=None).awaitTermination()
+    items = snapshot.read().agg(F.count(F.lit(1)).alias("items"))
+    rows = job.log_rows().select("log_id", "executed", (F.col("time_stamp_begin") <= F.col("time_stamp_end")).alias("in_order"))
+    return rows.select("*", items.scalar().alias("items"))
+
+
 @query(
     "stale_read",
     f"""SELECT 'before' AS seen, * FROM ({_PER_CUSTOMER_SQL.format(where="WHERE o_orderstatus = 'F'")})
@@ -328,7 +355,7 @@ def refresh_job(t):
         "published", F.col("published") + F.expr("INTERVAL '1' DAY")
     )
     job = RefreshJob(
-        t.spark, f"{home}/feed/*", Snapshot(t.spark, f"{home}/snapshot"), f"{home}/log", f"{home}/checkpoint"
+        t.spark, f"{home}/feed/*", BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"]), f"{home}/log", f"{home}/checkpoint"
     )
     # Two landings: the second repeats finished orders with news, and both are picked up.
     feeds.write_feed(items.unionByName(done), f"{home}/feed/1")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.distinct import first_per_key
+from tidemark.plans.bucketed import BucketedSnapshot
 from tidemark.plans.snapshots import Snapshot, latest_version
 from tidemark.sources.feeds import read_feed, stream_files
 
@@ -38,11 +39,14 @@ def merge_items(old: DataFrame | None, new: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RefreshJob:
-    """Where the feed files land, and where snapshot, log and stream checkpoint are kept."""
+    """Where the feed files land, and where snapshot, log and stream checkpoint are kept.
+
+    A ``BucketedSnapshot`` with ``guid`` as its key is changed by the items that arrive; a plain one is written anew in each batch.
+    """
 
     spark: SparkSession
     feed: str
-    snapshot: Snapshot
+    snapshot: Snapshot | BucketedSnapshot
     log: str
     checkpoint: str
     encoded: bool = False
@@ -50,15 +54,18 @@ class RefreshJob:
     def _run(self, items: DataFrame, batch: int) -> None:
         begin = dt.datetime.now(dt.timezone.utc)
         # A batch runs in a session of its own.
-        spark = items.sparkSession
-        snapshot = Snapshot(spark, self.snapshot.path)
-        base = latest_version(spark, snapshot.path)
-        old = snapshot.read(base) if base else None
-        snapshot.refresh(merge_items(old, items), key=["guid"], base=base)
+        snapshot = replace(self.snapshot, spark=items.sparkSession)
+        base = latest_version(snapshot.spark, snapshot.path)
+        if isinstance(snapshot, BucketedSnapshot):
+            # Only the buckets of the batch's guids are read and written.
+            snapshot.merge(items, merge_items, base)
+        else:
+            old = snapshot.read(base) if base else None
+            snapshot.refresh(merge_items(old, items), key=["guid"], base=base)
         end = dt.datetime.now(dt.timezone.utc)
         row = [(batch, begin, end, "refresh feed snapshot")]
         # A batch that is run again after a failure replaces its own log row.
-        spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        snapshot.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             f"{self.log}/batch={batch}"
         )
 
