@@ -5,7 +5,7 @@ and role (also those of its ancestors), depth, amount, density, links and punctu
 among its siblings. Gradient-boosted trees give every node the log-odds of being part of the article. Decoding chooses the set
 of nodes with the largest sum of log-odds in which no chosen node has an ancestor that isn't: one pass up and one down.
 
-There are no labelled pages, so labels are made: a bounded sample of pages (``FIT_PAGES``, by a hash of the id) whose article
+There are no labelled pages, so labels are made: a bounded sample of pages (``FIT_PAGES`` of at most ``FIT_CHARS`` characters, by a hash of the id) whose article
 element is known is rebuilt in many layouts, with other containers and names, and with menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments made from the pages' own sentences. The trees are fitted on the nodes of these, and on
 the sampled pages as found, where elements whose tag or class names tell so count as not the article. Where no page has an article
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.boosting import Trees, fit_trees
 
 FIT_PAGES, LAYOUTS, PAGES_AT_ONCE = 500, 3, 64
+#: Pages of more characters are extracted like all others, but the trees aren't fitted on them: the sample fits the driver.
+FIT_CHARS = 200_000
 
 # Attributes: quoted values may hold anything. A tag that isn't closed ends its trial at the next "<", so that a page of
 # such tags is read in one pass.
@@ -421,7 +423,7 @@ def labelled(source: str) -> tuple[Page, np.ndarray]:
 def fit(pages: DataFrame, page_id="page_id", source="html") -> Trees | None:
     """Trees fitted on layouts made from at most ``FIT_PAGES`` pages: those with an article element, and where no page has one,
     the paragraphs that stand out by length of any pages. None if there are none of these either."""
-    every = pages.select(F.col(page_id).cast("string").alias("id"), F.col(source).alias("html")).filter(F.col("html").isNotNull())
+    every = pages.select(F.col(page_id).cast("string").alias("id"), F.col(source).alias("html")).filter(F.length("html") <= FIT_CHARS)
     rows = _sample(every.filter(F.col("html").rlike("(?i)<article")))
     rng = np.random.default_rng(8)
     if rows:
