@@ -25,7 +25,10 @@ BUCKET = "part_bucket"
 
 @dataclass(frozen=True)
 class BucketedSnapshot:
-    """A stored result with a unique ``key`` of named columns. ``buckets`` is fixed with the first version."""
+    """A stored result with a unique ``key`` of named columns.
+
+    ``buckets`` is fixed with the first version: choose it so that a bucket has some tens of megabytes.
+    """
 
     spark: SparkSession
     path: str

@@ -133,7 +133,7 @@ def refresh_view(t):
 @query("refresh_changed", _PER_CUSTOMER_SQL.format(where=""))
 def refresh_changed(t):
     # Customers without orders in state F keep their rows, and buckets without another row are not written.
-    view = BucketedSnapshot(t.spark, scratch_path(t.spark, "mv"), ["c_custkey"])
+    view = BucketedSnapshot(t.spark, scratch_path(t.spark, "mv"), ["c_custkey"], buckets=24)
     view.refresh(_per_customer(t, "F"))
     view.refresh(_per_customer(t))
     view.expire(keep=1)
@@ -147,7 +147,7 @@ def refresh_changed(t):
 def refresh_log(t):
     # The log of the job's runs, beside what the snapshot holds after them.
     home = scratch_path(t.spark, "refresh")
-    snapshot = BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"])
+    snapshot = BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"], buckets=24)
     job = RefreshJob(t.spark, f"{home}/feed/*", snapshot, f"{home}/log", f"{home}/checkpoint")
     feeds.write_feed(_order_items(t.orders), f"{home}/feed/1")
     job.start(interval=None).awaitTermination()
@@ -355,7 +355,7 @@ def refresh_job(t):
         "published", F.col("published") + F.expr("INTERVAL '1' DAY")
     )
     job = RefreshJob(
-        t.spark, f"{home}/feed/*", BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"]), f"{home}/log", f"{home}/checkpoint"
+        t.spark, f"{home}/feed/*", BucketedSnapshot(t.spark, f"{home}/snapshot", ["guid"], buckets=24), f"{home}/log", f"{home}/checkpoint"
     )
     # Two landings: the second repeats finished orders with news, and both are picked up.
     feeds.write_feed(items.unionByName(done), f"{home}/feed/1")
