@@ -1,26 +1,32 @@
 """Language-model scoring with a hashed maximum-entropy model whose softmax is factored by classes.
 
-The probability of a token is that of its class given the context times that of the token within its class. Classes: the end
-of a text, the most frequent words one by one, and for the others a class by shape (last byte, length, bytes beyond ASCII). The
-class is predicted by a maximum-entropy model: features are the previous word, the pair of previous words, and two skip
-features (the word before the previous one, and the one before that), hashed into ``BUCKETS`` rows of weights. Within
-a class the softmax has one bias per word, whose best value follows from the counts: (c + 1) / (all of the class + 1), where
-the last 1 is for words never seen.
+The probability of a token is a product of softmaxes over classes, from the whole vocabulary down to the single word: a class has
+at most ``CLASSES`` parts, which are classes again or single words, and every one of these softmaxes, that of a word within
+its class too, sees the context. Its features are the previous word, the pair of previous words, and two skip features (the word
+before the previous one, and the one before that), hashed together with the class into ``BUCKETS`` rows of weights; its bias is the
+log of the shares of the parts among the training tokens.
+
+Classes are by frequency: the ``TOP_WORDS`` most frequent words, the end of a text and 16 kinds of other words by shape (last byte,
+length, bytes beyond ASCII) are in classes: the end, the ``SINGLES`` most frequent words one by one, and the words of a kind. Each
+of them, ordered by count, is cut into parts of about equal counts again and again. The words that aren't among the top ones, however many, are told
+apart within their kind by digits of their hashes, so many that a last class has about one word. Words that still share one, and words
+never seen, have it by count: (c + 1) / (all of the class + its words + 1).
 
 Training covers all training texts in each of ``ROUNDS`` rounds: every task makes gradient steps over its own tokens, the weights
-are averaged by tokens, and the next round starts from the average. Counts are exact over all training texts, combined in each
+are averaged, and the next round starts from the average. A row of weights counts in the average by the squares of the slopes that a task
+had for it, so that a context which few tasks meet isn't drawn to nothing by the others. Counts are exact over all training texts, combined in each
 task before the shuffle. For scoring, the counts of the ``TOP_WORDS`` most frequent words (a fixed bound) travel with the code; all other
 tokens of a text are joined to the table of counts.
 
 Words are known by 64-bit hashes. Defined results: a null or empty text is its end only; a null id is not held out;
-rows that repeat are scored one by one; without training texts every word is unknown and classes are equally likely. Other columns
+rows that repeat are scored one by one; without training texts every word is unknown and kinds are equally likely. Other columns
 are not looked at; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +36,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.bytesops import LOWER, mix, prefix_hash, seed, span_hash, text_slices, word_spans
 from tidemark.session import written
 
-SINGLES, SHAPES = 15, 16
-CLASSES = 1 + SINGLES + SHAPES
-BUCKETS, FEATURES, MINIBATCH, RATE, ROUNDS = 1 << 15, 4, 8192, 0.3, 2
+SINGLES, SHAPES, CLASSES = 15, 16, 4
+BUCKETS, FEATURES, MINIBATCH, RATE, ROUNDS = 1 << 18, 4, 32768, 0.3, 2
+#: Mini-batches of a task double from so many tokens to ``MINIBATCH``, so that a task of few texts makes several steps too.
+FIRST_BATCH = 256
 TOP_WORDS = 200_000
 BLOCKS = 32
+#: What contexts add to the logs of shares, at most.
+MOST = 30.0
 END = np.uint64(seed(77))
 START = np.uint64(seed(78))
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray):
-    """Hash, shape class and row of every token; each text ends with the end token."""
+    """Hash, kind by shape (the end's is 0) and row of every token; each text ends with the end token."""
     lowered = LOWER[data]
     starts, ends, rows = word_spans(lowered, offsets)
     hashes = span_hash(prefix_hash(lowered), starts, ends)
@@ -48,13 +57,13 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray):
     shape = lowered[ends - 1].astype(np.uint64) << np.uint64(8) if len(ends) else np.zeros(0, np.uint64)
     shape |= (np.minimum(ends - starts, 12) // 3).astype(np.uint64) << np.uint64(1)
     shape |= (wide[ends] > wide[starts]).astype(np.uint64)
-    classes = (mix(shape) % np.uint64(SHAPES)).astype(np.int64) + 1 + SINGLES
+    classes = (mix(shape) % np.uint64(SHAPES)).astype(np.int64) + 1
     at = np.searchsorted(rows, np.arange(len(offsets) - 1), "right")
     return np.insert(hashes, at, END), np.insert(classes, at, 0), np.insert(rows, at, np.arange(len(offsets) - 1))
 
 
 def contexts(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The buckets of the four features of every token."""
+    """The four features of every token."""
     before = []
     for k in (1, 2, 3):
         prev = np.full(len(hashes), START)
@@ -62,59 +71,167 @@ def contexts(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
         prev[k:][same] = hashes[:-k][same]
         before.append(prev)
     one, two, three = before
-    features = [one ^ seed(1), mix(one ^ seed(2)) + two, two ^ seed(3), three ^ seed(4)]
-    return np.stack([(mix(f) & np.uint64(BUCKETS - 1)).astype(np.int64) for f in features])
-
-
-def class_of(hashes: np.ndarray, classes: np.ndarray, singles: np.ndarray) -> np.ndarray:
-    """Classes with the frequent words in classes of their own; ``singles`` are their hashes by rank."""
-    out = classes.copy()
-    if len(singles) and len(hashes):
-        order = np.argsort(singles)
-        at = np.minimum(np.searchsorted(singles[order], hashes), len(singles) - 1)
-        hit = (singles[order][at] == hashes) & (classes > 0)
-        out[hit] = order[at[hit]] + 1
-    return out
-
-
-def log_classes(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    """Natural logs of the probabilities of all classes."""
-    z = weights[buckets[0]]
+    return np.stack([mix(f) for f in (one ^ seed(1), mix(one ^ seed(2)) + two, two ^ seed(3), three ^ seed(4))])
+
+
+def _cut(mass: np.ndarray, things: np.ndarray, node: np.ndarray, count: int):
+    """(thing, node, part) on all levels, and logs of shares by node, of nodes whose things stand in a row, cut into equal parts."""
+    found, shares = [], []
+    while len(things):
+        own = mass[things].astype(float)
+        at = np.flatnonzero(np.diff(node, prepend=-1))
+        sizes = np.diff(at, append=len(things))
+        whole = np.add.reduceat(own, at)
+        done = np.cumsum(own)
+        inside = done - own / 2 - np.repeat(done[at] - own[at], sizes)
+        digit = np.minimum((inside / np.repeat(whole, sizes) * CLASSES).astype(np.int64), CLASSES - 1)
+        found.append((things, node, digit))
+        part = (node - node[0]) * CLASSES + digit
+        share = np.bincount(part, own, len(at) * CLASSES).reshape(-1, CLASSES)
+        with np.errstate(divide="ignore"):
+            shares.append(np.log(share / whole[:, None]))
+        count += len(at)
+        many = np.bincount(part)[part] > 1
+        things, part = things[many], part[many]
+        node = count + np.cumsum(np.diff(part, prepend=part[:1]) != 0)
+    return [np.concatenate(x) for x in zip(*found, strict=True)], np.concatenate(shares)
+
+
+def class_tree(mass: np.ndarray, group: np.ndarray):
+    """Classes over things of the given counts: (starts, nodes, digits, bias). The groups (from 0, none empty) are told apart first.
+
+    From ``starts[i]`` to ``starts[i + 1]`` are the classes on the way to thing i, and which part of them it is in; ``bias`` has the
+    logs of the shares of their parts. What is in one part has at most half of its class or is alone, so ways stay short.
+    """
+    sums, members = np.bincount(group, mass), np.bincount(group)
+    (tops, node, digit), bias = _cut(sums, np.argsort(-sums, kind="stable"), np.zeros(len(sums), np.int64), 0)
+    order = np.argsort(tops, kind="stable")
+    node, digit, ways = node[order], digit[order], np.bincount(tops, minlength=len(sums))
+    thing, step = _steps(ways[group])
+    step += (np.cumsum(ways) - ways)[group[thing]]
+    node, digit = node[step], digit[step]
+    inner = np.lexsort((-mass, group))
+    inner = inner[members[group[inner]] > 1]
+    if len(inner):
+        first = len(bias) + np.cumsum(np.diff(group[inner], prepend=group[inner[:1]]) != 0)
+        (more, below, part), shares = _cut(mass, inner, first, len(bias))
+        thing, node, digit = (np.concatenate(x) for x in ((thing, more), (node, below), (digit, part)))
+        bias = np.concatenate([bias, shares])
+    order = np.argsort(thing, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(thing, minlength=len(mass)))])
+    return starts, node[order].astype(np.int32), digit[order].astype(np.uint8), bias.astype(np.float32)
+
+
+def _logits(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    z = np.take(weights, buckets[0], axis=0)
     for more in buckets[1:]:
-        z = z + weights[more]
+        z += np.take(weights, more, axis=0)
+    np.clip(z, -MOST, MOST, out=z)
     z += bias
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
-def gradient_steps(weights, bias, squares, bias_squares, buckets, classes) -> None:
-    """One pass of scaled gradient steps over the tokens, in mini-batches, in place."""
-    for at in range(0, len(classes), MINIBATCH):
-        own, y = buckets[:, at : at + MINIBATCH], classes[at : at + MINIBATCH]
-        error = np.exp(log_classes(weights, bias, own))
-        error[np.arange(len(y)), y] -= 1
-        flat = own.reshape(-1).astype(np.uint16)  # numpy sorts numbers of 16 bits by radix
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        rows = ordered[first].astype(np.int64)
-        slope = np.add.reduceat(np.take(error, order % len(y), axis=0), first, axis=0)
-        squares[rows] += np.einsum("ij,ij->i", slope, slope)
-        weights[rows] -= RATE / np.sqrt(squares[rows] + 1)[:, None] * slope
-        total = error.sum(0)
-        bias_squares += total**2
-        bias -= RATE / np.sqrt(bias_squares + 1) * total
+def log_classes(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Natural logs of the probabilities of all parts of a class."""
+    z = _logits(weights, bias, buckets)
+    z -= np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))[:, None]
+    return z
 
 
 @dataclass
 class Model:
-    """Class weights, the hashes of single-word classes, and log10 of each class's total."""
+    """Weights by hashed context and class, hashes of the top words in order, the ways to them, and digits of other words by kind."""
 
     weights: np.ndarray
     bias: np.ndarray
-    singles: np.ndarray
-    log_totals: np.ndarray
+    known: np.ndarray
+    starts: np.ndarray
+    nodes: np.ndarray
+    digits: np.ndarray
+    depths: np.ndarray
+
+    def lookup(self):
+        """A function from hashes to places among the top words, and whether they are there."""
+        if not len(self.known):
+            return lambda h: (np.zeros(len(h), np.int64), np.zeros(len(h), bool))
+        width = max(8, int(len(self.known)).bit_length() + 1)
+        shift = np.uint64(64 - width)
+        first = np.concatenate([[0], np.cumsum(np.bincount((self.known >> shift).astype(np.int64), minlength=1 << width))])
+        padded = np.append(self.known, ~np.uint64(0))
+
+        def places(h):
+            at = first[(h >> shift).astype(np.int64)]
+            behind = np.flatnonzero(padded[at] < h)
+            while len(behind):
+                at[behind] += 1
+                behind = behind[padded[at[behind]] < h[behind]]
+            hit = padded[at] == h
+            hit &= at < len(self.known)
+            return at, hit
+
+        return places
+
+    def ways(self, h: np.ndarray, kinds: np.ndarray, at: np.ndarray, hit: np.ndarray):
+        """(token, key of the class, its row of ``bias``, part) of all classes on the ways to tokens."""
+        thing = np.where(hit, at, len(self.known) + kinds)
+        sizes = self.starts[thing + 1] - self.starts[thing]
+        token, step = _steps(sizes)
+        step += self.starts[thing][token]
+        rows = self.nodes[step]
+        keys, part = self.keys[rows], self.digits[step].astype(np.int64)
+        other = np.flatnonzero(~hit & (self.depths[kinds] > 0))
+        if not len(other):
+            return token, keys, rows, part
+        own, level = _steps(self.depths[kinds[other]])
+        own = other[own]
+        level = (2 * level).astype(np.uint64)
+        before = h[own] & ((np.uint64(1) << level) - np.uint64(1))
+        more = mix(before ^ seed(5) ^ (level << np.uint64(50)) ^ (kinds[own].astype(np.uint64) << np.uint64(58)))
+        digit = ((h[own] >> level) & np.uint64(CLASSES - 1)).astype(np.int64)
+        last = np.full(len(own), len(self.bias) - 1, rows.dtype)
+        return tuple(np.concatenate(x) for x in ((token, own), (keys, more), (rows, last), (part, digit)))
+
+    @property
+    def keys(self) -> np.ndarray:
+        if not hasattr(self, "_keys"):
+            self._keys = mix(np.arange(len(self.bias), dtype=np.uint64) + seed(6))
+        return self._keys
+
+
+def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each index as often as its size says, and 0, 1, 2... for it."""
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def hashed(features: np.ndarray, token: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The rows of weights of contexts and classes."""
+    out = np.empty((FEATURES, len(token)), np.int64)
+    for k in range(FEATURES):
+        x = features[k][token]
+        x ^= keys
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x >>= np.uint64(65 - BUCKETS.bit_length())
+        out[k] = x
+    return out
+
+
+def gradient_step(weights, bias, squares, buckets, part) -> None:
+    """A scaled gradient step over a mini-batch, in place."""
+    z = _logits(weights, bias, buckets)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(CLASSES, np.float32))[:, None]
+    z[np.arange(len(part)), part] -= 1
+    error, flat = np.ascontiguousarray(z.T, np.float64), buckets.reshape(-1)
+    slope, left = np.empty((BUCKETS, CLASSES), np.float32), np.zeros(BUCKETS)
+    for k in range(CLASSES - 1):
+        own = np.bincount(flat, np.tile(error[k], FEATURES), BUCKETS)
+        slope[:, k] = own
+        left -= own
+    slope[:, -1] = left  # errors of the parts of a class add up to 0
+    squares += np.einsum("ij,ij->i", slope, slope)
+    slope *= (RATE / np.sqrt(squares + 1))[:, None]
+    weights -= slope
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,17 +268,23 @@ def _trained(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        weights, bias = model.weights.copy(), model.bias.copy()
-        squares, bias_squares, seen = np.zeros(BUCKETS, np.float32), np.zeros(CLASSES, np.float32), 0
+        weights, places = model.weights.copy(), model.lookup()
+        squares, seen, size = np.zeros(BUCKETS, np.float32), 0, FIRST_BATCH
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
-                h, c, rows = tokens_of(data, offsets)
-                gradient_steps(weights, bias, squares, bias_squares, contexts(h, rows), class_of(h, c, model.singles))
+                h, kinds, rows = tokens_of(data, offsets)
+                features, (at, hit) = contexts(h, rows), places(h)
+                a = 0
+                while a < len(h):
+                    b = a + size
+                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b])
+                    gradient_step(weights, model.bias[own], squares, hashed(features[:, a:b], token, keys), part)
+                    a, size = b, min(2 * size, MINIBATCH)
                 seen += len(h)
         if seen:
             task = TaskContext.get().partitionId()
-            pieces = [*np.split(weights, BLOCKS), bias]
-            data = [(p.astype(np.float64) * seen).astype(np.float32).tobytes() for p in pieces]
+            pieces = np.split(np.column_stack([weights * squares[:, None], squares]), BLOCKS)
+            data = [p.tobytes() for p in pieces]
             n = len(pieces)
             yield pa.record_batch(
                 [pa.array(np.arange(n)), pa.array([task % 64] * n, pa.int64()), pa.array([seen] * n, pa.int64()), pa.array(data, pa.binary())],
@@ -172,7 +295,7 @@ def _trained(model: Model):
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the arrays by block (at most ``BLOCKS`` + 1 of them), as they stream by."""
+    """Sums of the arrays by block (at most ``BLOCKS`` of them), as they stream by."""
     totals, seen = {}, {}
     for batch in batches:
         for block, n, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
@@ -187,80 +310,105 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def train(texts: DataFrame, counts: DataFrame) -> tuple[Model, int, int, np.ndarray, np.ndarray]:
-    """The model, all training tokens, different ones, and hashes and counts of the top words."""
+def train(texts: DataFrame, counts: DataFrame) -> tuple[Model, int, int, np.ndarray, tuple[int, int] | None]:
+    """The model, all training tokens, different ones, the counts of the top words and of the end, and the last top word (n, h)."""
     totals = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tokens, different = sum(r["n"] for r in totals), sum(r["v"] for r in totals)
-    top = counts.orderBy(F.col("n").desc(), "h").limit(TOP_WORDS).toPandas()
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    words = np.flatnonzero(h != END)[:SINGLES]
-    mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    top = counts.filter(F.col("class") != 0).orderBy(F.col("n").desc(), "h").limit(TOP_WORDS).toPandas()
+    last = (int(top["n"].iloc[-1]), int(top["h"].iloc[-1])) if len(top) else None
+    h, n, own = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["class"].to_numpy(np.int64)
+    mass, words = np.zeros(1 + SHAPES, np.int64), np.zeros(1 + SHAPES, np.int64)
     for r in totals:
-        mass[r["class"]], kinds[r["class"]] = r["n"], r["v"]
-    for rank, w in enumerate(words):
-        old = int(top["class"].iloc[w])
-        mass[old], kinds[old] = mass[old] - n[w], kinds[old] - 1
-        mass[rank + 1], kinds[rank + 1] = n[w], 1
-    # Classes begin at their shares of the training tokens; contexts then move them.
-    bias = np.log((mass + 1) / (mass.sum() + CLASSES)).astype(np.float32)
-    model = Model(np.zeros((BUCKETS, CLASSES), np.float32), bias, h[words], np.log10(mass + kinds + 1))
+        mass[r["class"]], words[r["class"]] = r["n"], r["v"]
+    ended = mass[0]
+    mass -= np.bincount(own, n, 1 + SHAPES).astype(np.int64)
+    words -= np.bincount(own, minlength=1 + SHAPES)
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    # Groups: the end, the most frequent words one by one, and the kinds.
+    single = np.argsort(-n, kind="stable")[:SINGLES]
+    group = np.concatenate([own[order], np.arange(1 + SHAPES)])
+    group[single] = 1 + SHAPES + np.arange(len(single))
+    starts, nodes, digits, bias = class_tree(np.concatenate([n, mass + words + 1]), group)
+    # Classes of hashed digits begin with equal parts.
+    bias = np.concatenate([bias, np.full((1, CLASSES), -np.log(CLASSES), np.float32)])
+    depths = np.zeros(1 + SHAPES, np.int64)
+    while (wide := (depths < 24) & (CLASSES**depths < words)).any():
+        depths += wide
+    depths[0] = 0
+    model = Model(np.zeros((BUCKETS, CLASSES), np.float32), bias, h, starts, nodes, digits, depths)
     schema = "block bigint, share bigint, seen bigint, data binary"
     for _ in range(ROUNDS if tokens else 0):
         steps = texts.mapInArrow(_trained(model), schema)
         some = steps.repartition("block", "share").mapInArrow(_summed, schema)
         whole = some.repartition("block").mapInArrow(_summed, schema).collect()
-        mean = {r["block"]: np.frombuffer(bytes(r["data"]), np.float32) / r["seen"] for r in whole}
-        weights = np.concatenate([mean[b].reshape(-1, CLASSES) for b in range(BLOCKS)]).astype(np.float32)
-        model = Model(weights, mean[BLOCKS].astype(np.float32), model.singles, model.log_totals)
-    return model, tokens, different, h, n
+        held = {r["block"]: np.frombuffer(bytes(r["data"]), np.float32) for r in whole}
+        sums = np.concatenate([held[b].reshape(-1, CLASSES + 1) for b in range(BLOCKS)])
+        weights = np.where(sums[:, -1:] > 0, sums[:, :-1] / np.maximum(sums[:, -1:], 1e-30), model.weights).astype(np.float32)
+        model = replace(model, weights=weights)
+    return model, tokens, different, np.append(n, ended), last
 
 
-def _scored(model: Model, top_hashes: np.ndarray, top_counts: np.ndarray):
-    order = np.argsort(top_hashes)
-    known, logs = top_hashes[order], np.log10(top_counts[order] + 1.0)
+def _scored(model: Model, top_counts: np.ndarray):
+    """Scores without the shares of words in last classes of hashed digits, and (hash, last class) of the words that need them."""
+    logs = np.log10(top_counts + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 33
+        row, places = TaskContext.get().partitionId() << 33, model.lookup()
         for batch in batches:
             for first, stop, data, offsets in text_slices(batch.column(1)):
                 count = stop - first
-                h, shapes, rows = tokens_of(data, offsets)
-                classes = class_of(h, shapes, model.singles)
-                chance = np.empty(len(h))
-                buckets = contexts(h, rows)
+                h, kinds, rows = tokens_of(data, offsets)
+                features, (at, hit) = contexts(h, rows), places(h)
+                score = np.zeros(count)
                 for a in range(0, len(h), MINIBATCH):
                     b = a + MINIBATCH
-                    own = log_classes(model.weights, model.bias, buckets[:, a:b])
-                    chance[a:b] = own[np.arange(len(own)), classes[a:b]]
-                score = chance / np.log(10) - model.log_totals[classes]
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    hit = known[at] == h
-                    value = np.where(hit, logs[at], 0.0)
-                else:
-                    hit, value = np.zeros(len(h), bool), np.zeros(len(h))
-                rare, of = h[~hit], rows[~hit]
-                bounds = np.searchsorted(of, np.arange(count + 1))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(rare.view(np.int64)))
+                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b])
+                    z = _logits(model.weights, model.bias[own], hashed(features[:, a:b], token, keys))
+                    chance = z[np.arange(len(part)), part] - np.log(np.exp(z) @ np.ones(CLASSES, np.float32))
+                    score += np.bincount(rows[a:b][token], chance, count)
+                end = kinds == 0
+                value = np.where(hit, logs[np.where(hit, at, 0)], np.where(end, logs[-1], 0.0))
+                known, rare = hit | (end & (top_counts[-1] > 0)), ~hit & ~end
+                bounds = pa.array(np.searchsorted(rows[rare], np.arange(count + 1)), pa.int32())
+                leaf = _last_class(h[rare], kinds[rare], model.depths)
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.view(np.int64))) for x in (h[rare], leaf)]
                 yield pa.record_batch(
                     [
                         pa.array(row + np.arange(count)),
                         batch.column(0).slice(first, count),
                         pa.array(np.bincount(rows, minlength=count)),
-                        pa.array(np.bincount(rows[hit], minlength=count)),
+                        pa.array(np.bincount(rows[known], minlength=count)),
                         pa.array(np.bincount(rows, value, count)),
-                        pa.array(np.bincount(rows, score, count)),
-                        lists,
+                        pa.array(score / np.log(10)),
+                        *lists,
                     ],
-                    ["row", "doc_id", "n_tokens", "known", "logs", "score", "rare"],
+                    ["row", "doc_id", "n_tokens", "known", "logs", "score", "h", "leaf"],
                 )
                 row += count
 
     return run
 
 
+def _last_class(h: np.ndarray, kinds: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """Number of the last class of words that aren't among the top words."""
+    mask = (np.uint64(1) << (2 * depths[kinds]).astype(np.uint64)) - np.uint64(1)
+    return ((h & mask) << np.uint64(5)) | kinds.astype(np.uint64)
+
+
+def _last_classes(counts: DataFrame, last: tuple[int, int], depths: np.ndarray) -> DataFrame:
+    """(leaf, total, words, held) of the last classes of words that aren't among the top words."""
+    n, h = last
+    rest = counts.filter((F.col("class") != 0) & ((F.col("n") < n) | ((F.col("n") == n) & (F.col("h") > h))))
+    masks = F.array(*[F.lit((1 << 2 * int(d)) - 1).cast("bigint") for d in depths])
+    leaf = F.shiftleft(F.col("h").bitwiseAND(F.get(masks, F.col("class").cast("int"))), 5).bitwiseOR(F.col("class"))
+    # About one word each, as their number follows that of the words.
+    held = F.map_from_entries(F.collect_list(F.struct("h", "n")))
+    return rest.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("words"), held.alias("held"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Ids whose crc32 as text leaves 2 when divided by 7; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
@@ -273,16 +421,21 @@ def language_model_scores(docs: DataFrame, train_on: Column | None = None, doc_i
     texts = slim.filter(train_on).select("text")
     counts = texts.mapInArrow(_counted, "h bigint, class bigint, n bigint").groupBy("h").agg(F.min("class").alias("class"), F.sum("n").alias("n"))
     counts = written(counts, "counts")
-    model, tokens, different, top, n = train(texts, counts)
+    model, tokens, different, n, last = train(texts, counts)
     kind = slim.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, logs double, score double, rare array<bigint>"
-    rows = written(slim.mapInArrow(_scored(model, top, n), schema), "scored")
-    tail = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count(F.lit(1)).alias("times"))
-    tail = tail.join(counts.select("h", "n"), "h")
+    schema = f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, logs double, score double, h array<bigint>, leaf array<bigint>"
+    rows = written(slim.mapInArrow(_scored(model, n), schema), "scored")
+    tail = rows.select("row", F.explode(F.arrays_zip("h", "leaf")).alias("w")).groupBy("row", "w.h", "w.leaf").agg(F.count(F.lit(1)).alias("times"))
+    leaves = _last_classes(counts, last or (0, 0), model.depths)
+    times, own = F.col("times"), F.coalesce(F.get(F.map_values(F.map_filter("held", lambda k, _: k == F.col("h"))), F.lit(0)), F.lit(0))
+    tail = tail.join(leaves, "leaf", "left").select("row", "times", own.alias("n"), (F.coalesce("total", F.lit(0)) + F.coalesce("words", F.lit(0)) + 1).alias("all"))
+    log = F.log10(F.col("n") + F.lit(1.0))
     more = tail.groupBy("row").agg(
-        F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs")
+        F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more_known"),
+        F.sum(times * log).alias("more_logs"),
+        F.sum(times * (log - F.log10(F.col("all").cast("double")))).alias("more_score"),
     )
-    out = rows.drop("rare").join(more, "row", "left")
+    out = rows.drop("h", "leaf").join(more, "row", "left")
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     return out.select(
         F.col("doc_id").alias(doc_id),
@@ -291,5 +444,5 @@ def language_model_scores(docs: DataFrame, train_on: Column | None = None, doc_i
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(float(np.log10(tokens + different + 1)))).alias("base_score"),
-        (logs + F.col("score")).alias("score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
