@@ -149,3 +149,23 @@ def test_repeated_and_null_keys(spark, setting, most):
     assert sorted((r.k or 0, r.text) for r in found.collect()) == sorted(
         2 * [(1, "the red fox"), (1, "a red fox"), (0, "red fox here")]
     )
+
+
+def test_grams_by_bytes():
+    """Every run that is asked for is found, across blocks and for characters of any width, and few others."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.operators import textjoin
+
+    draw = random.Random(11)
+    texts = ["".join(draw.choices("abcé漢😀 ", k=k)) for k in (0, 1, 3, 50, 400)] + [None, "x" * 300 + "yz"]
+    nothing, everything = np.zeros(64, bool), np.ones(64, bool)
+    for block in (7, 1 << 18):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(textjoin, "_BLOCK", block)
+            found = textjoin.grams_asked(pa.array(texts), [4, 3, 2, 1], everything).to_pylist()
+            assert textjoin.grams_asked(pa.array(texts), [2], nothing).to_pylist() == [[]] * len(texts)
+        for text, grams in zip(texts, found, strict=True):
+            text = text or ""
+            assert sorted(grams) == sorted({text[i : i + n] for n in (4, 3, 2, 1) for i in range(len(text) - n + 1)})

@@ -21,6 +21,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ BITS_PER_PIECE, MAX_BITS = 32, 1 << 21
 COUNT_FROM = 10_000
 # Shares a frequent anchor is split into when needles are too many to send.
 SALTS = 32
+# Bytes of a text handled at a time.
+_BLOCK = 1 << 18
 
 _W = r"[\p{L}\p{N}]"
 _D = r"[^\p{L}\p{N}]"
@@ -52,9 +56,54 @@ _ROW = "__row"
 _KINDS = [*_NEEDLE_PIECES, "empty"]
 
 
-def _text_grams(n: int) -> str:
-    """Up to ``n`` characters from every place; shorter grams are their beginnings."""
-    return rf"(?s)(?=(.{{1,{n}}}))."
+# Spreads the numbers made of the bytes of a gram; a product stays below 2**63.
+_SPREAD = 402_653_189
+
+
+def _bytes_place(piece: Column, size: int) -> Column:
+    """The bit of a piece by its first four and last four bytes, which tasks also find by array arithmetic."""
+    data = F.encode(piece, "UTF-8")
+    first, last = (F.conv(F.hex(part), 16, 10).cast("bigint") for part in (F.substring(data, 1, 4), F.substring(data, -4, 4)))
+    return F.pmod(F.shiftright((first + last * 3) * _SPREAD, 16), F.lit(size))
+
+
+def _number(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The number that up to four bytes from ``starts`` on make."""
+    out = data[starts].astype(np.int64)
+    for k in (1, 2, 3):
+        more = length > k
+        out = np.where(more, (out << 8) | data[np.where(more, starts + k, 0)], out)
+    return out
+
+
+def grams_asked(texts: pa.Array, lengths: Sequence[int], held: np.ndarray) -> pa.Array:
+    """For every text its runs of so many characters whose bit by bytes is set, as few times as they are different."""
+    values, counts = [], []
+    for text in texts:
+        found = set()
+        data = np.frombuffer(text.as_buffer() or b"", np.uint8) if text.is_valid else np.zeros(0, np.uint8)
+        for at in range(0, len(data), _BLOCK):
+            # Characters begin at bytes that don't continue one; a block goes on into the next by one run.
+            own = data[at : at + _BLOCK + 4 * max(lengths)]
+            marks = np.append(np.flatnonzero((own & 0xC0) != 0x80), len(own))
+            inside = int(np.searchsorted(marks, min(_BLOCK, len(own))))
+            whole = at + len(own) == len(data)
+            for n in lengths:
+                starts = marks[: max(0, min(inside, len(marks) - n - (0 if whole else 1)))]
+                ends = marks[n : n + len(starts)]
+                size = ends - starts
+                short = np.minimum(size, 4)
+                key = _number(own, starts, short)
+                last = key if not len(size) or size.max() <= 4 else _number(own, ends - short, short)
+                number = (key + last * 3) * _SPREAD >> 16
+                hit = np.flatnonzero(held[number & (len(held) - 1)])
+                if len(hit):
+                    if size[hit].max() <= 4:  # then the number and the size tell runs apart
+                        hit = hit[np.unique(key[hit] << 3 | size[hit], return_index=True)[1]]
+                    found.update(own[a:b].tobytes() for a, b in zip(starts[hit].tolist(), ends[hit].tolist(), strict=True))
+        values += found
+        counts.append(len(found))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, pa.binary()).cast(pa.string()))
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -88,13 +137,16 @@ def _form(low: Column) -> Column:
 
 
 def bitmap(pieces: DataFrame, piece: str) -> list[int]:
-    """The hashes of a column as bits of a list of longs; at most ``MAX_BITS`` come to the driver."""
+    """The hashes of a column, and its places by bytes, as bits of a list of longs; at most ``MAX_BITS`` come to the driver."""
     n = pieces.count()
     size = min(MAX_BITS, 1 << (max(32, BITS_PER_PIECE * n) - 1).bit_length())
-    bit = F.pmod(F.xxhash64(piece), F.lit(max(size, 64)))
+    size = max(size, 64)
+    places = F.array(F.pmod(F.xxhash64(piece), F.lit(size)), F.coalesce(_bytes_place(F.col(piece), size), F.lit(0)))
+    bit = F.col("bit")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
-    found = pieces.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).collect()
-    held = [0] * (max(size, 64) // 64)
+    bits = pieces.select(F.explode(places).alias("bit"))
+    found = bits.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).collect()
+    held = [0] * (size // 64)
     for row in found:
         held[row.at] = row.bits
     return held
@@ -149,17 +201,22 @@ def _text_anchors(lows: Sequence[str], kinds: Sequence[str], bits: list[int]) ->
             found.append(_asked(_pieces(F.col(low), _TEXT_WORDS), bits))
         lengths = [n for n in (4, 3, 2, 1) if f"gram{n}" in kinds]
         if lengths:
-            grams = F.array_distinct(_pieces(F.col(low), _text_grams(max(lengths))))
-            found.append(_asked(grams, bits))
-            found += [_asked(F.array_distinct(F.transform(grams, _beginning(n))), bits) for n in lengths[1:]]
+            found.append(_asked(F.array_distinct(_grams(F.col(low), lengths, bits)), bits))
         if "empty" in kinds:
             found.append(F.array(F.lit("")))
         arrays.append(F.when(F.col(low).isNotNull(), F.concat(*found) if found else none).otherwise(none))
     return F.array_distinct(F.concat(*arrays))
 
 
-def _beginning(n: int):
-    return lambda gram: F.left(gram, F.lit(n))
+def _grams(text: Column, lengths: list[int], bits: list[int]) -> Column:
+    """Runs of characters that are asked for, by their bytes; found in arrays of bytes, many times faster than by a pattern."""
+    words = np.array(bits, np.int64)
+
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        return grams_asked(texts, lengths, np.unpackbits(words.view(np.uint8), bitorder="little").view(bool))
+
+    return found(text)
 
 
 def _matches(lows: Sequence[str]) -> Column:
