@@ -46,3 +46,10 @@ def test_words_beyond_the_top_ones(spark, monkeypatch):
     assert sum(r.words for r in leaves) == different - 6 and all(len(r.held) == r.words for r in leaves)
     assert sum(r.total for r in leaves) + n.sum() == sum(r.n for r in counts.collect())
     assert np.mean([r.words for r in leaves]) < 4
+
+
+def test_weights_follow_the_cluster(spark):
+    texts = spark.createDataFrame([(f"a b {k}",) for k in range(500)], "text string")
+    most = language_model.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert language_model._long_tasks(texts.repartition(most + 100)).rdd.getNumPartitions() == most
+    assert language_model._long_tasks(texts.coalesce(1)).rdd.getNumPartitions() == 1

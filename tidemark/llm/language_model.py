@@ -41,7 +41,7 @@ BUCKETS, FEATURES, MINIBATCH, RATE, ROUNDS = 1 << 18, 4, 32768, 0.3, 2
 #: Mini-batches of a task double from so many tokens to ``MINIBATCH``, so that a task of few texts makes several steps too.
 FIRST_BATCH = 256
 TOP_WORDS = 200_000
-BLOCKS = 32
+BLOCKS, TASKS_PER_CORE = 32, 2
 #: What contexts add to the logs of shares, at most.
 MOST = 30.0
 END = np.uint64(seed(77))
@@ -310,6 +310,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _long_tasks(texts: DataFrame) -> DataFrame:
+    """Texts in at most ``TASKS_PER_CORE`` tasks a core, as every task sends weights: those follow the cluster, not the input."""
+    return texts.coalesce(TASKS_PER_CORE * texts.sparkSession.sparkContext.defaultParallelism)
+
+
 def train(texts: DataFrame, counts: DataFrame) -> tuple[Model, int, int, np.ndarray, tuple[int, int] | None]:
     """The model, all training tokens, different ones, the counts of the top words and of the end, and the last top word (n, h)."""
     totals = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -339,9 +344,8 @@ def train(texts: DataFrame, counts: DataFrame) -> tuple[Model, int, int, np.ndar
     model = Model(np.zeros((BUCKETS, CLASSES), np.float32), bias, h, starts, nodes, digits, depths)
     schema = "block bigint, share bigint, seen bigint, data binary"
     for _ in range(ROUNDS if tokens else 0):
-        steps = texts.mapInArrow(_trained(model), schema)
-        some = steps.repartition("block", "share").mapInArrow(_summed, schema)
-        whole = some.repartition("block").mapInArrow(_summed, schema).collect()
+        steps = _long_tasks(texts).mapInArrow(_trained(model), schema)
+        whole = steps.repartition("block").mapInArrow(_summed, schema).collect()
         held = {r["block"]: np.frombuffer(bytes(r["data"]), np.float32) for r in whole}
         sums = np.concatenate([held[b].reshape(-1, CLASSES + 1) for b in range(BLOCKS)])
         weights = np.where(sums[:, -1:] > 0, sums[:, :-1] / np.maximum(sums[:, -1:], 1e-30), model.weights).astype(np.float32)
