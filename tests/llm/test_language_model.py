@@ -52,4 +52,4 @@ def test_weights_follow_the_cluster(spark):
     texts = spark.createDataFrame([(f"a b {k}",) for k in range(500)], "text string")
     most = language_model.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     assert language_model._long_tasks(texts.repartition(most + 100)).rdd.getNumPartitions() == most
-    assert language_model._long_tasks(texts.coalesce(1)).rdd.getNumPartitions() == 1
+    assert language_model._long_tasks(texts.repartition(3)).rdd.getNumPartitions() == 3
