@@ -97,3 +97,13 @@ def test_long_page(spark):
     found = main_text(spark.createDataFrame([(99, "u", html), *small], "page_id int, url string, html string"))
     row = found.filter("page_id = 99").first()
     assert row.text == "\n".join(paragraphs) and row.n_chars == len(row.text)
+
+
+def test_long_pages_alone(spark):
+    """Trees are fitted where all pages are too long to be fitted whole."""
+    menu = "<html><body><nav><ul>" + "".join(f"<li><a href=x>Link {j}</a></li>" for j in range(9)) + "</ul></nav><article>"
+    made = ["\n".join(f"Part {k} {i}. {SENTENCES[(i + k) % 3].strip()}" for i in range(2100)) for k in range(3)]
+    pages = [menu + "".join(f"<p>{p}</p>" for p in text.split("\n")) + "</article></body></html>" for text in made]
+    assert min(map(len, pages)) > html_extract.FIT_CHARS
+    found = main_text(spark.createDataFrame([(k, "u", p) for k, p in enumerate(pages)], "page_id int, url string, html string"))
+    assert {r.page_id: r.text for r in found.collect()} == dict(enumerate(made))

@@ -5,8 +5,8 @@ and role (also those of its ancestors), depth, amount, density, links and punctu
 among its siblings. Gradient-boosted trees give every node the log-odds of being part of the article. Decoding chooses the set
 of nodes with the largest sum of log-odds in which no chosen node has an ancestor that isn't: one pass up and one down.
 
-There are no labelled pages, so labels are made: a bounded sample of pages (``FIT_PAGES`` of at most ``FIT_CHARS`` characters, by a hash of the id) whose article
-element is known is rebuilt in many layouts, with other containers and names, and with menus, headers, footers, sidebars,
+There are no labelled pages, so labels are made: a bounded sample of pages (``FIT_PAGES`` by a hash of the id; of pages of more than ``FIT_CHARS`` characters
+their first ``FIT_CUT``) whose article element is known is rebuilt in many layouts, with other containers and names, and with menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments made from the pages' own sentences. The trees are fitted on the nodes of these, and on
 the sampled pages as found, where elements whose tag or class names tell so count as not the article. Where no page has an article
 element, the layouts are made from the pages' long blocks, and nothing is taken as found.
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.boosting import Trees, fit_trees
 
 FIT_PAGES, LAYOUTS, PAGES_AT_ONCE = 500, 3, 64
-#: Pages of more characters are extracted like all others, but the trees aren't fitted on them: the sample fits the driver.
-FIT_CHARS = 200_000
+#: Pages of more characters are extracted like all others, but the trees are fitted on their beginnings: the sample fits the driver.
+FIT_CHARS, FIT_CUT = 200_000, 20_000
 
 # Attributes: quoted values may hold anything. A tag that isn't closed ends its trial at the next "<", so that a page of
 # such tags is read in one pass.
@@ -423,7 +423,10 @@ def labelled(source: str) -> tuple[Page, np.ndarray]:
 def fit(pages: DataFrame, page_id="page_id", source="html") -> Trees | None:
     """Trees fitted on layouts made from at most ``FIT_PAGES`` pages: those with an article element, and where no page has one,
     the paragraphs that stand out by length of any pages. None if there are none of these either."""
-    every = pages.select(F.col(page_id).cast("string").alias("id"), F.col(source).alias("html")).filter(F.length("html") <= FIT_CHARS)
+    whole = F.col(source)
+    # An article that is cut ends where its page is cut.
+    begun = F.when(F.length(whole) > FIT_CHARS, F.concat(F.substring(whole, 1, FIT_CUT), F.lit("</article>"))).otherwise(whole)
+    every = pages.select(F.col(page_id).cast("string").alias("id"), begun.alias("html")).filter(F.col("html").isNotNull())
     rows = _sample(every.filter(F.col("html").rlike("(?i)<article")))
     rng = np.random.default_rng(8)
     if rows:
@@ -431,7 +434,7 @@ def fit(pages: DataFrame, page_id="page_id", source="html") -> Trees | None:
         made = [labelled(s) for r in rows for s in layouts(r, sentences, rng)]
         for r in rows:
             made.append(labelled(_as_found(r)))
-            made.append(labelled(re.sub(r"(<p>.*?)(?:<p>.*)?(?=</article>)", r"\1", _as_found(r), flags=re.S)))
+            made.append(labelled(_first_paragraph(_as_found(r))))
     else:
         texts = [[text for _, text in parse(r).blocks] for r in _sample(every)]
         sentences = [t for own in texts for t in own]
@@ -450,6 +453,16 @@ def _sample(pages: DataFrame) -> list[str]:
     return [r["html"] for r in pages.join(F.broadcast(ids), "id").dropDuplicates(["id"]).orderBy("id").collect()]
 
 
+def _first_paragraph(source: str) -> str:
+    """A page whose article ends after its first paragraph."""
+    last, at = source.rfind("</article>"), 0
+    while 0 <= (begin := source.find("<p>", at)) < last:
+        after, at = source.find("<p>", begin + 3), source.find("</article>", begin + 3)
+        if 0 <= after < at:
+            return source[:after] + source[last:]
+    return source
+
+
 def _paragraphs(texts: list[str]) -> str:
     """The blocks of at least a fifth of the longest one's length, and of 60 characters, as paragraphs."""
     least = max(60, max(map(len, texts), default=0) // 5)
