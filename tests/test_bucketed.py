@@ -92,3 +92,30 @@ def test_a_batch_of_one_item_touches_one_bucket(spark, tmp_path):
     again = snapshot.read().filter("guid = 'g77'")
     job._run(spark.createDataFrame(again.collect(), again.schema), 0)
     assert sorted(map(str, snapshot.read().collect())) == state and job.log_rows().count() == 1
+
+
+def test_what_arrives_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(guid):
+        seen.add(1)
+        return guid
+
+    counted = counted.asNondeterministic()
+    view = BucketedSnapshot(spark, scratch_path(spark, "b"), ["guid"], buckets=4)
+
+    def arrive(first, last, day):
+        rows = spark.range(first, last).select(
+            F.lit(day).alias("title"), F.lit(None).cast("string").alias("link"), F.lit("d").alias("description"),
+            F.lit(day).cast("timestamp_ntz").alias("published"), counted(F.concat(F.lit("g"), "id")).alias("guid"),
+        )
+        before = seen.value
+        view.merge(rows, merge_items)
+        return seen.value - before
+
+    assert arrive(0, 100, "2024-01-01") == 100
+    assert arrive(50, 150, "2024-01-02") == 100
+    assert len(files(view)) == 8  # a file a bucket, in each version
+    held = {r.guid: r.title for r in view.read().collect()}
+    assert held == {f"g{i}": "2024-01-01" if i < 50 else "2024-01-02" for i in range(150)} and "part_bucket" not in view.read().columns

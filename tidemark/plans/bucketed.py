@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.checks import assert_unique
 from tidemark.plans.snapshots import create_marker, latest_version, list_names, published_versions, read_marker, remove
+from tidemark.session import written
 
 BUCKET = "part_bucket"
 
@@ -84,18 +85,22 @@ class BucketedSnapshot:
         return {str(r[BUCKET]): [r.n, r.x, r.s] for r in placed.groupBy(BUCKET).agg(*prints).collect()}
 
     def _publish(self, df: DataFrame, touched: set[str] | None, base: int, manifest: dict) -> int:
-        """Write the buckets in ``touched`` out of ``df`` (None: all), and publish them with the others of ``manifest``."""
-        placed, snap = self._placed(df), uuid.uuid4().hex
+        """Write the buckets in ``touched`` out of ``df`` (None: all), and publish them with the others of ``manifest``.
+
+        Rows that come with their bucket are taken to lie together by it; if they don't, a bucket has more files.
+        """
+        lying = BUCKET in df.columns
+        placed, snap = df if lying else self._placed(df).repartition(BUCKET), uuid.uuid4().hex
         held = {} if touched is None else {b: v for b, v in manifest["buckets"].items() if b not in touched}
         if touched is None or touched:
             rows = placed if touched is None else placed.filter(F.col(BUCKET).isin(sorted(map(int, touched))))
             where = f"{self.path}/data/{snap}"
-            rows.repartition(BUCKET).sortWithinPartitions(BUCKET, *self.key).write.partitionBy(BUCKET).parquet(where)
+            rows.sortWithinPartitions(BUCKET, *self.key).write.partitionBy(BUCKET).parquet(where)
             back = self.spark.read.schema(rows.schema).parquet(where)
             # Other buckets can't hold a key of these.
             assert_unique(back, list(self.key))
             held |= {b: {"snap": snap, "print": p} for b, p in self._prints(back).items()}
-        marker = json.dumps({"buckets": held, "schema": manifest["schema"] or df.schema.jsonValue()})
+        marker = json.dumps({"buckets": held, "schema": manifest["schema"] or df.drop(BUCKET).schema.jsonValue()})
         create_marker(self.spark, f"{self.path}/published/{base + 1:010d}", marker)
         return base + 1
 
@@ -112,13 +117,18 @@ class BucketedSnapshot:
         return self._publish(df, touched, base, manifest)
 
     def merge(self, arrived: DataFrame, merged: Callable[[DataFrame | None, DataFrame], DataFrame], base: int | None = None) -> int:
-        """Replace the buckets of the arrived rows by ``merged(their rows so far, arrived)``; nothing else is read or written."""
+        """Replace the buckets of the arrived rows by ``merged(their rows so far, arrived)``; nothing else is read or written.
+
+        Both come with their bucket in ``BUCKET``. If ``merged`` leaves it, its rows have to lie together by bucket, and
+        are written as they lie; otherwise they are placed anew. What arrives is evaluated once.
+        """
         base = latest_version(self.spark, self.path) if base is None else base
         manifest = self._manifest(base)
         if manifest["schema"] is None:
-            return self._publish(merged(None, arrived), None, base, manifest)
-        touched = {str(r[0]) for r in self._placed(arrived).select(BUCKET).distinct().collect()}
-        return self._publish(merged(self._read(manifest, touched), arrived), touched, base, manifest)
+            return self._publish(merged(None, self._placed(arrived)), None, base, manifest)
+        arrived = written(self._placed(arrived), "arrived")
+        touched = {str(r[0]) for r in arrived.select(BUCKET).distinct().collect()}
+        return self._publish(merged(self._placed(self._read(manifest, touched)), arrived), touched, base, manifest)
 
     # --- retention ---
 

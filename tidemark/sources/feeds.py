@@ -26,6 +26,8 @@ def published_at(text: Column) -> Column:
     numeric = F.regexp_replace(trimmed, r"(GMT|UTC|UT|Z)$", "+0000")
     for name, offset in ZONES.items():
         numeric = F.regexp_replace(numeric, rf"{name}$", offset)
+    # Most dates name no zone.
+    numeric = F.when(trimmed.rlike(r"[A-Z]$"), numeric).otherwise(trimmed)
     instant = F.coalesce(*[F.try_to_timestamp(numeric, F.lit(form)) for form in PUB_DATES])
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 

@@ -113,7 +113,9 @@ def read_records(spark: SparkSession, path: str | list[str], tag: str, folder: s
 def elements(records: DataFrame, tag: str) -> DataFrame:
     """(file, raw): the text of every ``tag`` element of ``read_records``, up to its end tag, or without one up to the next element."""
     heads = records.filter("block = 0").groupBy("file").agg(F.min("id").alias("id"))
-    records = records.join(heads.withColumn("head", F.lit(True)), ["file", "id"], "left").withColumn("head", F.col("head").isNotNull())
+    # One row per file: records, with their texts, stay where they are.
+    heads = F.broadcast(heads.withColumn("head", F.lit(True)))
+    records = records.join(heads, ["file", "id"], "left").withColumn("head", F.col("head").isNotNull())
     odd = records.filter((F.substring("map", 1, 1) != "o") | ~F.col("opens") & ~F.col("head")).select("file").distinct()
     odd = written(odd, "odd-files")
     simple = records.join(odd, "file", "left_anti").filter(~F.col("head")).select("file", "text")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.distinct import first_per_key
-from tidemark.plans.bucketed import BucketedSnapshot
+from tidemark.plans.bucketed import BUCKET, BucketedSnapshot
 from tidemark.plans.snapshots import Snapshot, latest_version
 from tidemark.sources.feeds import read_feed, stream_files
 
@@ -25,7 +25,10 @@ LOG_SCHEMA = T.StructType(
 
 
 def merge_items(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """One row per guid: the newest publication, and of equal ones the row that came first."""
+    """One row per guid: the newest publication, and of equal ones the row that came first.
+
+    Items that come with their bucket are brought together by it once, and stay so.
+    """
     arrived = new.withColumn("__later", F.lit(1))
     if old is not None:
         arrived = old.withColumn("__later", F.lit(0)).unionByName(arrived)
@@ -33,7 +36,10 @@ def merge_items(old: DataFrame | None, new: DataFrame) -> DataFrame:
     ranked = arrived.withColumn("__rank", -F.col("__later")).withColumn(
         "__known", F.coalesce("published", F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
     )
-    best = first_per_key(ranked, ["guid"], ["__known", "__rank", "title", "link", "description"], last=True)
+    keys = ["guid"]
+    if BUCKET in ranked.columns:
+        ranked, keys = ranked.repartition(BUCKET), [BUCKET, "guid"]
+    best = first_per_key(ranked, keys, ["__known", "__rank", "title", "link", "description"], last=True)
     return best.drop("__later", "__rank", "__known")
 
 
