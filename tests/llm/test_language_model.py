@@ -53,3 +53,30 @@ def test_weights_follow_the_cluster(spark):
     most = language_model.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     assert language_model._long_tasks(texts.repartition(most + 100)).rdd.getNumPartitions() == most
     assert language_model._long_tasks(texts.repartition(3)).rdd.getNumPartitions() == 3
+
+
+def test_tokens_of_pieces_are_those_of_the_whole(monkeypatch):
+    texts = ["", "Über  den Fluß\tgeht", "a", "", "EINE lange Zeile " * 9, "x" * 40, ""]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    whole = language_model.tokens_of(data, offsets)
+    for size in (1, 7, 40, 100):
+        monkeypatch.setattr(language_model, "BYTES_AT_ONCE", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, language_model.tokens_of(data, offsets), strict=True))
+
+
+def test_a_step_follows_the_errors_of_single_classes():
+    rng, k, n = np.random.default_rng(4), language_model.CLASSES, 300
+    buckets = rng.integers(0, 20, (language_model.FEATURES, n)) * 1000
+    weights, squares = rng.normal(size=(language_model.BUCKETS, k)).astype(np.float32), np.zeros(language_model.BUCKETS, np.float32)
+    bias, own, part = rng.normal(size=(5, k)).astype(np.float32), rng.integers(0, 5, n), rng.integers(0, k, n)
+    slope = np.zeros(weights.shape)
+    for i in range(n):
+        chance = np.exp(weights[buckets[:, i]].sum(0) + bias[own[i]])
+        for b in buckets[:, i]:
+            slope[b] += chance / chance.sum() - (np.arange(k) == part[i])
+    expected = weights - slope * language_model.RATE / np.sqrt((slope**2).sum(1) + 1)[:, None]
+    sums = np.zeros((k - 1, language_model.BUCKETS))
+    language_model.add_errors(weights, bias, own, buckets, part, sums, language_model.Room())
+    language_model.gradient_step(weights, squares, sums)
+    assert np.allclose(weights, expected, atol=1e-4) and np.allclose(squares, (slope**2).sum(1), rtol=1e-3) and not sums.any()

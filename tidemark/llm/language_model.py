@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesops import LOWER, mix, prefix_hash, seed, span_hash, text_slices, word_spans
+from tidemark.llm.bytesops import mix, prefix_hash, seed, span_hash, text_slices, word_spans
 from tidemark.session import written
 
 SINGLES, SHAPES, CLASSES = 15, 16, 4
@@ -42,24 +42,40 @@ BUCKETS, FEATURES, MINIBATCH, RATE, ROUNDS = 1 << 18, 4, 32768, 0.3, 2
 FIRST_BATCH = 256
 TOP_WORDS = 200_000
 BLOCKS, TASKS_PER_CORE = 32, 2
+#: Bytes of texts and rows of weights that are worked on at once: their arrays stay near a core.
+BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 18, 1 << 14
 #: What contexts add to the logs of shares, at most.
 MOST = 30.0
 END = np.uint64(seed(77))
 START = np.uint64(seed(78))
+#: Kinds of words by last byte, length and whether bytes are beyond ASCII.
+_BYTE, _LENGTH, _WIDE = np.indices((256, 5, 2)).astype(np.uint64)
+KINDS = (mix(_BYTE << np.uint64(8) | _LENGTH << np.uint64(1) | _WIDE) % np.uint64(SHAPES)).astype(np.int64) + 1
+
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray):
     """Hash, kind by shape (the end's is 0) and row of every token; each text ends with the end token."""
-    lowered = LOWER[data]
+    if len(data) <= BYTES_AT_ONCE or len(offsets) == 2:
+        return _tokens_of(data, offsets)
+    cuts = np.unique(np.searchsorted(offsets, np.arange(0, len(data), BYTES_AT_ONCE), "right") - 1)
+    pieces = []
+    for a, b in zip(cuts, [*cuts[1:], len(offsets) - 1], strict=True):
+        h, kinds, rows = _tokens_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        pieces.append((h, kinds, rows + a))
+    return tuple(np.concatenate(x) for x in zip(*pieces, strict=True))
+
+
+def _tokens_of(data: np.ndarray, offsets: np.ndarray):
+    lowered = data + ((data - np.uint8(0x41)) < 26).view(np.uint8) * np.uint8(32)
     starts, ends, rows = word_spans(lowered, offsets)
     hashes = span_hash(prefix_hash(lowered), starts, ends)
-    wide = np.concatenate([[0], np.cumsum(lowered >= 0x80, dtype=np.int32)])
-    shape = lowered[ends - 1].astype(np.uint64) << np.uint64(8) if len(ends) else np.zeros(0, np.uint64)
-    shape |= (np.minimum(ends - starts, 12) // 3).astype(np.uint64) << np.uint64(1)
-    shape |= (wide[ends] > wide[starts]).astype(np.uint64)
-    classes = (mix(shape) % np.uint64(SHAPES)).astype(np.int64) + 1
+    kinds = np.zeros(0, np.int64)
+    if len(starts):
+        wide = np.maximum.reduceat(lowered, starts) >= 0x80  # what stands between words is below
+        kinds = KINDS[lowered[ends - 1], np.minimum(ends - starts, 12) // 3, wide.view(np.uint8)]
     at = np.searchsorted(rows, np.arange(len(offsets) - 1), "right")
-    return np.insert(hashes, at, END), np.insert(classes, at, 0), np.insert(rows, at, np.arange(len(offsets) - 1))
+    return np.insert(hashes, at, END), np.insert(kinds, at, 0), np.insert(rows, at, np.arange(len(offsets) - 1))
 
 
 def contexts(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -122,19 +138,28 @@ def class_tree(mass: np.ndarray, group: np.ndarray):
     return starts, node[order].astype(np.int32), digit[order].astype(np.uint8), bias.astype(np.float32)
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    z = np.take(weights, buckets[0], axis=0)
-    for more in buckets[1:]:
-        z += np.take(weights, more, axis=0)
-    np.clip(z, -MOST, MOST, out=z)
-    z += bias
-    return z
+class Room:
+    """Arrays by name that are used again for the next tokens, so that their memory isn't asked for each time."""
 
+    def __init__(self):
+        self.held = {}
 
-def log_classes(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    """Natural logs of the probabilities of all parts of a class."""
-    z = _logits(weights, bias, buckets)
-    z -= np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))[:, None]
+    def __call__(self, name: str, shape: int | tuple[int, ...], kind=np.int64) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size + size // 4, kind)
+        return self.held[name][:size].reshape(shape)
+
+
+def _logits(weights: np.ndarray, bias: np.ndarray, own: np.ndarray, buckets: np.ndarray, room: Room) -> np.ndarray:
+    z, more = (room(name, (len(own), CLASSES), np.float32) for name in ("z", "more"))
+    np.take(weights, buckets[0], axis=0, out=z, mode="clip")
+    for k in range(1, FEATURES):
+        np.take(weights, buckets[k], axis=0, out=more, mode="clip")
+        z += more
+    np.clip(z, -MOST, MOST, out=z)
+    np.take(bias, own, axis=0, out=more, mode="clip")
+    z += more
     return z
 
 
@@ -171,25 +196,31 @@ class Model:
 
         return places
 
-    def ways(self, h: np.ndarray, kinds: np.ndarray, at: np.ndarray, hit: np.ndarray):
+    def ways(self, h: np.ndarray, kinds: np.ndarray, at: np.ndarray, hit: np.ndarray, room: Room):
         """(token, key of the class, its row of ``bias``, part) of all classes on the ways to tokens."""
         thing = np.where(hit, at, len(self.known) + kinds)
-        sizes = self.starts[thing + 1] - self.starts[thing]
-        token, step = _steps(sizes)
-        step += self.starts[thing][token]
-        rows = self.nodes[step]
-        keys, part = self.keys[rows], self.digits[step].astype(np.int64)
-        other = np.flatnonzero(~hit & (self.depths[kinds] > 0))
-        if not len(other):
-            return token, keys, rows, part
-        own, level = _steps(self.depths[kinds[other]])
-        own = other[own]
-        level = (2 * level).astype(np.uint64)
-        before = h[own] & ((np.uint64(1) << level) - np.uint64(1))
-        more = mix(before ^ seed(5) ^ (level << np.uint64(50)) ^ (kinds[own].astype(np.uint64) << np.uint64(58)))
-        digit = ((h[own] >> level) & np.uint64(CLASSES - 1)).astype(np.int64)
-        last = np.full(len(own), len(self.bias) - 1, rows.dtype)
-        return tuple(np.concatenate(x) for x in ((token, own), (keys, more), (rows, last), (part, digit)))
+        first = self.starts[thing]
+        sizes = self.starts[thing + 1] - first
+        ends, deep = np.cumsum(sizes), np.where(hit, 0, self.depths[kinds])
+        n = int(ends[-1])
+        token, rows, part = (room(name, n + int(deep.sum())) for name in ("token", "rows", "part"))
+        keys = room("keys", len(token), np.uint64)
+        token[:n] = np.repeat(np.arange(len(h)), sizes)
+        step = np.repeat(first - ends + sizes, sizes)
+        step += np.arange(n)
+        rows[:n] = np.take(self.nodes, step)
+        part[:n] = np.take(self.digits, step)
+        np.take(self.keys, rows[:n], out=keys[:n], mode="clip")
+        other = np.flatnonzero(deep)
+        if len(other):
+            own, level = _steps(deep[other])
+            own = other[own]
+            level = (2 * level).astype(np.uint64)
+            before = h[own] & ((np.uint64(1) << level) - np.uint64(1))
+            token[n:], rows[n:] = own, len(self.bias) - 1
+            keys[n:] = mix(before ^ seed(5) ^ (level << np.uint64(50)) ^ (kinds[own].astype(np.uint64) << np.uint64(58)))
+            part[n:] = (h[own] >> level) & np.uint64(CLASSES - 1)
+        return token, keys, rows, part
 
     @property
     def keys(self) -> np.ndarray:
@@ -204,34 +235,42 @@ def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def hashed(features: np.ndarray, token: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def hashed(features: np.ndarray, token: np.ndarray, keys: np.ndarray, room: Room) -> np.ndarray:
     """The rows of weights of contexts and classes."""
-    out = np.empty((FEATURES, len(token)), np.int64)
+    out = room("buckets", (FEATURES, len(token)), np.uint64)
     for k in range(FEATURES):
-        x = features[k][token]
+        x = np.take(features[k], token, out=out[k], mode="clip")
         x ^= keys
         x *= np.uint64(0x9E3779B97F4A7C15)
         x >>= np.uint64(65 - BUCKETS.bit_length())
-        out[k] = x
-    return out
+    return out.view(np.int64)
 
 
-def gradient_step(weights, bias, squares, buckets, part) -> None:
-    """A scaled gradient step over a mini-batch, in place."""
-    z = _logits(weights, bias, buckets)
+def add_errors(weights, bias, own, buckets, part, sums, room: Room) -> None:
+    """Add the errors of all parts of the classes but the last to the sums (by part) over the rows of weights they come from."""
+    z = _logits(weights, bias, own, buckets, room)
     np.exp(z, out=z)
-    z /= (z @ np.ones(CLASSES, np.float32))[:, None]
-    z[np.arange(len(part)), part] -= 1
-    error, flat = np.ascontiguousarray(z.T, np.float64), buckets.reshape(-1)
-    slope, left = np.empty((BUCKETS, CLASSES), np.float32), np.zeros(BUCKETS)
+    whole = z @ np.ones(CLASSES, np.float32)
+    error = room("error", len(own), np.float64)
     for k in range(CLASSES - 1):
-        own = np.bincount(flat, np.tile(error[k], FEATURES), BUCKETS)
-        slope[:, k] = own
-        left -= own
-    slope[:, -1] = left  # errors of the parts of a class add up to 0
-    squares += np.einsum("ij,ij->i", slope, slope)
-    slope *= (RATE / np.sqrt(squares + 1))[:, None]
-    weights -= slope
+        np.divide(z[:, k], whole, out=error)
+        error -= part == k
+        for one in buckets:
+            sums[k] += np.bincount(one, error, BUCKETS)
+
+
+def gradient_step(weights, squares, sums) -> None:
+    """A scaled gradient step by the sums of errors, in place; the sums begin anew."""
+    for a in range(0, BUCKETS, ROWS_AT_ONCE):
+        b = a + ROWS_AT_ONCE
+        slopes = [*sums[:, a:b].astype(np.float32), -sums[:, a:b].sum(0).astype(np.float32)]  # errors of a class add up to 0
+        for slope in slopes:
+            squares[a:b] += slope * slope
+        rate = RATE / np.sqrt(squares[a:b] + 1)
+        for k, slope in enumerate(slopes):
+            slope *= rate
+            weights[a:b, k] -= slope
+    sums.fill(0)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +309,7 @@ def _trained(model: Model):
 
         weights, places = model.weights.copy(), model.lookup()
         squares, seen, size = np.zeros(BUCKETS, np.float32), 0, FIRST_BATCH
+        sums, room = np.zeros((CLASSES - 1, BUCKETS)), Room()
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 h, kinds, rows = tokens_of(data, offsets)
@@ -277,8 +317,9 @@ def _trained(model: Model):
                 a = 0
                 while a < len(h):
                     b = a + size
-                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b])
-                    gradient_step(weights, model.bias[own], squares, hashed(features[:, a:b], token, keys), part)
+                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b], room)
+                    add_errors(weights, model.bias, own, hashed(features[:, a:b], token, keys, room), part, sums, room)
+                    gradient_step(weights, squares, sums)
                     a, size = b, min(2 * size, MINIBATCH)
                 seen += len(h)
         if seen:
@@ -360,7 +401,7 @@ def _scored(model: Model, top_counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        row, places = TaskContext.get().partitionId() << 33, model.lookup()
+        row, places, room = TaskContext.get().partitionId() << 33, model.lookup(), Room()
         for batch in batches:
             for first, stop, data, offsets in text_slices(batch.column(1)):
                 count = stop - first
@@ -369,9 +410,12 @@ def _scored(model: Model, top_counts: np.ndarray):
                 score = np.zeros(count)
                 for a in range(0, len(h), MINIBATCH):
                     b = a + MINIBATCH
-                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b])
-                    z = _logits(model.weights, model.bias[own], hashed(features[:, a:b], token, keys))
-                    chance = z[np.arange(len(part)), part] - np.log(np.exp(z) @ np.ones(CLASSES, np.float32))
+                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b], room)
+                    z = _logits(model.weights, model.bias, own, hashed(features[:, a:b], token, keys, room), room)
+                    part += np.arange(0, z.size, CLASSES)
+                    chance = np.take(z.reshape(-1), part)
+                    np.exp(z, out=z)
+                    chance -= np.log(z @ np.ones(CLASSES, np.float32))
                     score += np.bincount(rows[a:b][token], chance, count)
                 end = kinds == 0
                 value = np.where(hit, logs[np.where(hit, at, 0)], np.where(end, logs[-1], 0.0))
