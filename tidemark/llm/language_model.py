@@ -59,6 +59,7 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray):
     if len(data) <= BYTES_AT_ONCE or len(offsets) == 2:
         return _tokens_of(data, offsets)
     cuts = np.unique(np.searchsorted(offsets, np.arange(0, len(data), BYTES_AT_ONCE), "right") - 1)
+    cuts[0] = 0  # empty texts before the first byte
     pieces = []
     for a, b in zip(cuts, [*cuts[1:], len(offsets) - 1], strict=True):
         h, kinds, rows = _tokens_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
