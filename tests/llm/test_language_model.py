@@ -1,6 +1,9 @@
 """Words within their class depend on the context, and all probabilities together are those of a distribution."""
 
+from collections import Counter
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_model
@@ -80,3 +83,58 @@ def test_a_step_follows_the_errors_of_single_classes():
     language_model.add_errors(weights, bias, own, buckets, part, sums, language_model.Room())
     language_model.gradient_step(weights, squares, sums)
     assert np.allclose(weights, expected, atol=1e-4) and np.allclose(squares, (slope**2).sum(1), rtol=1e-3) and not sums.any()
+
+
+def test_kinds_of_words_beyond_ascii():
+    for text in ("plain words and one größer", "ну вот и всё да x", "größer", "x"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, kinds, _ = language_model.tokens_of(data, np.array([0, len(data)]))
+        words = [w.encode() for w in text.split()]
+        assert kinds.tolist() == [*(language_model.KINDS[w[-1], min(len(w), 12) // 3, int(max(w) >= 0x80)] for w in words), 0]
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 14])
+def test_blocks_have_every_class_once(monkeypatch, at_once):
+    monkeypatch.setattr(language_model, "TOKENS_AT_ONCE", at_once)
+    rng, n, few, shapes = np.random.default_rng(5), 60, 40, 1 + language_model.SHAPES
+    known = np.sort(rng.integers(0, 1 << 63, few).astype(np.uint64))
+    group = np.concatenate([np.arange(few) % shapes, np.arange(shapes)])
+    starts, nodes, digits, bias = language_model.class_tree(rng.zipf(1.4, len(group)).clip(max=10**6), group)
+    depths = np.concatenate([[0], np.full(shapes - 1, 3)])
+    model = language_model.Model(np.zeros((language_model.BUCKETS, language_model.CLASSES), np.float32), bias, known, starts, nodes, digits, depths)
+    h = np.where(rng.random(n) < 0.5, rng.choice(known, n), rng.integers(0, 1 << 63, n).astype(np.uint64))
+    kinds, (at, hit) = rng.integers(0, shapes, n), model.lookup()(h)
+    features = rng.integers(0, 1 << 63, (language_model.FEATURES, n)).astype(np.uint64)
+    expected = Counter()
+    with np.errstate(over="ignore"):
+        def add(i, key, row, part):
+            rows = ((f ^ key) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - language_model.BUCKETS.bit_length()) for f in features[:, i])
+            expected[(i, int(row), *map(int, rows), int(part))] += 1
+
+        for i in range(n):
+            thing = at[i] if hit[i] else few + kinds[i]
+            for step in range(starts[thing], starts[thing + 1]):
+                add(i, model.keys[nodes[step]], nodes[step], digits[step])
+            for level in range(0, 0 if hit[i] else 2 * depths[kinds[i]], 2):
+                before = int(h[i]) % (1 << level) ^ int(language_model.seed(5)) ^ level << 50 ^ int(kinds[i]) << 58
+                add(i, language_model.mix(np.array([before], np.uint64))[0], len(bias) - 1, int(h[i]) >> level & 3)
+    found = Counter()
+    for token, own, buckets, part in model.classes(h, kinds, at, hit, features, language_model.Room()):
+        found.update(zip(token.tolist(), own.tolist(), *buckets.tolist(), part.tolist(), strict=True))
+    assert hit.any() and not hit.all() and found == expected
+
+
+def test_rare_words_are_counted_in_their_text():
+    h, rows = np.array([9, 5, 9, 9, 5, 7, 7], np.uint64), np.array([1, 1, 1, 2, 2, 4, 4])
+    kinds, depths = np.array([1, 2, 1, 1, 2, 3, 3]), np.full(1 + language_model.SHAPES, 2)
+    found = language_model._lists(h, kinds, rows, 6, depths).to_pylist()
+    pairs = [[(r["h"], r["leaf"], r["times"]) for r in one] for one in found]
+    assert pairs == [[], [(5, 5 << 5 | 2, 1), (9, 9 << 5 | 1, 2)], [(5, 5 << 5 | 2, 1), (9, 9 << 5 | 1, 1)], [], [(7, 7 << 5 | 3, 2)], []]
+    none = language_model._lists(h[:0], kinds[:0], rows[:0], 2, depths)
+    assert none.to_pylist() == [[], []]
+
+
+def test_rare_words_are_shuffled_once_before_their_join(spark):
+    docs = spark.createDataFrame([(k, f"a b {k}") for k in range(50)], "doc_id bigint, text string")
+    plan = language_model.language_model_scores(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2  # the last classes, and the sums by document

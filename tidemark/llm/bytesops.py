@@ -53,7 +53,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """H[i] for the first i bytes; ``(H[e] - H[s]) * down[s]`` depends on the bytes from s to e only."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * powers(len(data))[0], out=out[1:])
+    terms = _TABLE.take(data)
+    terms *= powers(len(data))[0]
+    np.cumsum(terms, out=out[1:])
     return out
 
 
@@ -88,7 +90,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SP
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~separator[data]
+    inside = (data - np.uint8(0x09) >= 5) & (data != 0x20) if separator is SPACE else ~separator[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     begins = inside.copy()

@@ -37,13 +37,14 @@ from tidemark.llm.bytesops import mix, prefix_hash, seed, span_hash, text_slices
 from tidemark.session import written
 
 SINGLES, SHAPES, CLASSES = 15, 16, 4
+BITS = CLASSES.bit_length() - 1
 BUCKETS, FEATURES, MINIBATCH, RATE, ROUNDS = 1 << 18, 4, 32768, 0.3, 2
 #: Mini-batches of a task double from so many tokens to ``MINIBATCH``, so that a task of few texts makes several steps too.
 FIRST_BATCH = 256
 TOP_WORDS = 200_000
 BLOCKS, TASKS_PER_CORE = 32, 2
-#: Bytes of texts and rows of weights that are worked on at once: their arrays stay near a core.
-BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 18, 1 << 14
+#: Bytes of texts, rows of weights and tokens that are worked on at once: their arrays stay near a core.
+BYTES_AT_ONCE, ROWS_AT_ONCE, TOKENS_AT_ONCE = 1 << 18, 1 << 14, 1 << 14
 #: What contexts add to the logs of shares, at most.
 MOST = 30.0
 END = np.uint64(seed(77))
@@ -73,8 +74,12 @@ def _tokens_of(data: np.ndarray, offsets: np.ndarray):
     hashes = span_hash(prefix_hash(lowered), starts, ends)
     kinds = np.zeros(0, np.int64)
     if len(starts):
-        wide = np.maximum.reduceat(lowered, starts) >= 0x80  # what stands between words is below
-        kinds = KINDS[lowered[ends - 1], np.minimum(ends - starts, 12) // 3, wide.view(np.uint8)]
+        beyond, wide = np.flatnonzero(lowered >= 0x80), np.zeros(len(starts), np.uint8)  # what stands between words is below
+        if len(beyond) > len(lowered) // 8:
+            wide[np.maximum.reduceat(lowered, starts) >= 0x80] = 1
+        else:
+            wide[np.searchsorted(starts, beyond, "right") - 1] = 1
+        kinds = KINDS[lowered[ends - 1], np.minimum(ends - starts, 12) // 3, wide]
     at = np.searchsorted(rows, np.arange(len(offsets) - 1), "right")
     return np.insert(hashes, at, END), np.insert(kinds, at, 0), np.insert(rows, at, np.arange(len(offsets) - 1))
 
@@ -197,31 +202,66 @@ class Model:
 
         return places
 
-    def ways(self, h: np.ndarray, kinds: np.ndarray, at: np.ndarray, hit: np.ndarray, room: Room):
-        """(token, key of the class, its row of ``bias``, part) of all classes on the ways to tokens."""
+    def ways(self, h: np.ndarray, kinds: np.ndarray, at: np.ndarray, hit: np.ndarray):
+        """The ways to tokens, through classes of the tree and then through those of hashed digits: (tokens, levels).
+
+        Tokens with long ways come first, so that the classes of a level, from a token's last class up, belong to the first of
+        them: each level is (keys of the classes, their rows of ``bias``, parts).
+        """
         thing = np.where(hit, at, len(self.known) + kinds)
-        first = self.starts[thing]
-        sizes = self.starts[thing + 1] - first
-        ends, deep = np.cumsum(sizes), np.where(hit, 0, self.depths[kinds])
-        n = int(ends[-1])
-        token, rows, part = (room(name, n + int(deep.sum())) for name in ("token", "rows", "part"))
-        keys = room("keys", len(token), np.uint64)
-        token[:n] = np.repeat(np.arange(len(h)), sizes)
-        step = np.repeat(first - ends + sizes, sizes)
-        step += np.arange(n)
-        rows[:n] = np.take(self.nodes, step)
-        part[:n] = np.take(self.digits, step)
-        np.take(self.keys, rows[:n], out=keys[:n], mode="clip")
-        other = np.flatnonzero(deep)
-        if len(other):
-            own, level = _steps(deep[other])
-            own = other[own]
-            level = (2 * level).astype(np.uint64)
-            before = h[own] & ((np.uint64(1) << level) - np.uint64(1))
-            token[n:], rows[n:] = own, len(self.bias) - 1
-            keys[n:] = mix(before ^ seed(5) ^ (level << np.uint64(50)) ^ (kinds[own].astype(np.uint64) << np.uint64(58)))
-            part[n:] = (h[own] >> level) & np.uint64(CLASSES - 1)
-        return token, keys, rows, part
+        sizes, last, _ = self.steps_up
+        tokens, many = _longest_first(sizes[thing])
+        yield tokens, self._of_tree(last[thing[tokens]], many)
+        tokens, many = _longest_first(np.where(hit, 0, self.depths[kinds]))
+        yield tokens, self._of_digits(h[tokens], kinds[tokens].astype(np.uint64) << np.uint64(58), many)
+
+    def _of_tree(self, step: np.ndarray, many: np.ndarray):
+        up = self.steps_up[2]
+        for n in many.tolist():
+            step = step[:n]
+            rows = (step >> BITS).astype(np.int64)
+            yield np.take(self.keys, rows), rows, step & (CLASSES - 1)
+            step = np.take(up, rows)
+
+    def _of_digits(self, h: np.ndarray, marks: np.ndarray, many: np.ndarray):
+        rows = np.full(len(h), len(self.bias) - 1)
+        for level, n in enumerate(many.tolist()):
+            low = np.uint64(2 * level)
+            before = h[:n] & ((np.uint64(1) << low) - np.uint64(1))
+            keys = mix(before ^ (seed(5) ^ (low << np.uint64(50))) ^ marks[:n])
+            yield keys, rows[:n], h[:n] >> low & np.uint64(CLASSES - 1)
+
+    def classes(self, h, kinds, at, hit, features: np.ndarray, room: Room):
+        """All classes on the ways to tokens, in blocks: (tokens, rows of ``bias``, rows of weights by feature, parts)."""
+        for a in range(0, len(h), TOKENS_AT_ONCE):
+            here, size, n = slice(a, a + TOKENS_AT_ONCE), 2 * TOKENS_AT_ONCE, 0
+            token, own, part = room("token", size), room("own", size), room("part", size, np.uint8)
+            buckets = room("buckets", (FEATURES, size), np.uint64)
+            for tokens, levels in self.ways(h[here], kinds[here], at[here], hit[here]):
+                seen = np.take(features[:, here], tokens, axis=1)
+                for keys, rows, parts in levels:
+                    if n + len(keys) > size:
+                        yield token[:n], own[:n], buckets[:, :n].view(np.int64), part[:n]
+                        n = 0
+                    block = slice(n, n + len(keys))
+                    np.add(tokens[: len(keys)], a, out=token[block])
+                    own[block], part[block] = rows, parts
+                    hashed(seen[:, : len(keys)], keys, buckets[:, block])
+                    n += len(keys)
+            yield token[:n], own[:n], buckets[:, :n].view(np.int64), part[:n]
+
+    @property
+    def steps_up(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lengths of the ways, their last steps, and the step before by class: ``CLASSES`` * class + part. Far smaller than the ways."""
+        if not hasattr(self, "_up"):
+            steps, sizes = self.nodes.astype(np.int64) * CLASSES + self.digits, np.diff(self.starts)
+            last, up, after = np.zeros(len(sizes), np.int64), np.zeros(len(self.bias), np.int64), np.ones(len(steps), bool)
+            last[sizes > 0] = steps[self.starts[1:][sizes > 0] - 1]
+            after[self.starts[:-1][sizes > 0]] = False
+            after = np.flatnonzero(after)
+            up[self.nodes[after]] = steps[after - 1]
+            self._up = sizes, last.astype(np.int32), up.astype(np.int32)
+        return self._up
 
     @property
     def keys(self) -> np.ndarray:
@@ -236,42 +276,54 @@ def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def hashed(features: np.ndarray, token: np.ndarray, keys: np.ndarray, room: Room) -> np.ndarray:
+def _longest_first(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the sizes above 0, largest first, and how many sizes are above 0, 1, 2..."""
+    many = len(sizes) - np.cumsum(np.bincount(sizes, minlength=1))[:-1]
+    order = np.argsort((len(many) - sizes).astype(np.uint16), kind="stable")
+    return order[: many[0] if len(many) else 0], many
+
+
+def hashed(features: np.ndarray, keys: np.ndarray, out: np.ndarray) -> None:
     """The rows of weights of contexts and classes."""
-    out = room("buckets", (FEATURES, len(token)), np.uint64)
-    for k in range(FEATURES):
-        x = np.take(features[k], token, out=out[k], mode="clip")
-        x ^= keys
-        x *= np.uint64(0x9E3779B97F4A7C15)
-        x >>= np.uint64(65 - BUCKETS.bit_length())
-    return out.view(np.int64)
+    np.bitwise_xor(features, keys, out=out)
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    out >>= np.uint64(65 - BUCKETS.bit_length())
+
+
+def _pairs(sums: np.ndarray) -> np.ndarray:
+    """The sums of the first two of the three parts, kept side by side as complex numbers, so that both are added at once."""
+    return sums[:2].reshape(-1).view(np.complex128)
 
 
 def add_errors(weights, bias, own, buckets, part, sums, room: Room) -> None:
-    """Add the errors of all parts of the classes but the last to the sums (by part) over the rows of weights they come from."""
+    """Add the errors of all parts of the classes but the last to the sums over the rows of weights they come from."""
     z = _logits(weights, bias, own, buckets, room)
     np.exp(z, out=z)
     whole = z @ np.ones(CLASSES, np.float32)
-    error = room("error", len(own), np.float64)
-    for k in range(CLASSES - 1):
-        np.divide(z[:, k], whole, out=error)
-        error -= part == k
-        for one in buckets:
-            sums[k] += np.bincount(one, error, BUCKETS)
+    two, error = room("two", len(own), np.complex128), room("error", len(own), np.float64)
+    for k, out in enumerate((two.real, two.imag, error)):
+        np.divide(z[:, k], whole, out=out)
+        out -= part == k
+    pairs = _pairs(sums)
+    for one in buckets:
+        np.add.at(pairs, one, two)
+        np.add.at(sums[2], one, error)
 
 
 def gradient_step(weights, squares, sums) -> None:
     """A scaled gradient step by the sums of errors, in place; the sums begin anew."""
+    pairs = _pairs(sums)
     for a in range(0, BUCKETS, ROWS_AT_ONCE):
         b = a + ROWS_AT_ONCE
-        slopes = [*sums[:, a:b].astype(np.float32), -sums[:, a:b].sum(0).astype(np.float32)]  # errors of a class add up to 0
+        errors = [pairs.real[a:b], pairs.imag[a:b], sums[2, a:b]]
+        slopes = [e.astype(np.float32) for e in (*errors, -(errors[0] + errors[1] + errors[2]))]  # errors of a class add up to 0
         for slope in slopes:
             squares[a:b] += slope * slope
         rate = RATE / np.sqrt(squares[a:b] + 1)
         for k, slope in enumerate(slopes):
             slope *= rate
             weights[a:b, k] -= slope
-    sums.fill(0)
+        pairs[a:b] = sums[2, a:b] = 0
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,8 +370,8 @@ def _trained(model: Model):
                 a = 0
                 while a < len(h):
                     b = a + size
-                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b], room)
-                    add_errors(weights, model.bias, own, hashed(features[:, a:b], token, keys, room), part, sums, room)
+                    for _, own, buckets, part in model.classes(h[a:b], kinds[a:b], at[a:b], hit[a:b], features[:, a:b], room):
+                        add_errors(weights, model.bias, own, buckets, part, sums, room)
                     gradient_step(weights, squares, sums)
                     a, size = b, min(2 * size, MINIBATCH)
                 seen += len(h)
@@ -396,7 +448,7 @@ def train(texts: DataFrame, counts: DataFrame) -> tuple[Model, int, int, np.ndar
 
 
 def _scored(model: Model, top_counts: np.ndarray):
-    """Scores without the shares of words in last classes of hashed digits, and (hash, last class) of the words that need them."""
+    """Scores without the shares of words in last classes of hashed digits, and (hash, last class, times) of the words that need them."""
     logs = np.log10(top_counts + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,21 +461,15 @@ def _scored(model: Model, top_counts: np.ndarray):
                 h, kinds, rows = tokens_of(data, offsets)
                 features, (at, hit) = contexts(h, rows), places(h)
                 score = np.zeros(count)
-                for a in range(0, len(h), MINIBATCH):
-                    b = a + MINIBATCH
-                    token, keys, own, part = model.ways(h[a:b], kinds[a:b], at[a:b], hit[a:b], room)
-                    z = _logits(model.weights, model.bias, own, hashed(features[:, a:b], token, keys, room), room)
-                    part += np.arange(0, z.size, CLASSES)
-                    chance = np.take(z.reshape(-1), part)
+                for token, own, buckets, part in model.classes(h, kinds, at, hit, features, room):
+                    z = _logits(model.weights, model.bias, own, buckets, room)
+                    chance = np.take(z.reshape(-1), np.arange(0, z.size, CLASSES) + part)
                     np.exp(z, out=z)
                     chance -= np.log(z @ np.ones(CLASSES, np.float32))
-                    score += np.bincount(rows[a:b][token], chance, count)
+                    score += np.bincount(rows[token], chance, count)
                 end = kinds == 0
                 value = np.where(hit, logs[np.where(hit, at, 0)], np.where(end, logs[-1], 0.0))
                 known, rare = hit | (end & (top_counts[-1] > 0)), ~hit & ~end
-                bounds = pa.array(np.searchsorted(rows[rare], np.arange(count + 1)), pa.int32())
-                leaf = _last_class(h[rare], kinds[rare], model.depths)
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.view(np.int64))) for x in (h[rare], leaf)]
                 yield pa.record_batch(
                     [
                         pa.array(row + np.arange(count)),
@@ -432,15 +478,25 @@ def _scored(model: Model, top_counts: np.ndarray):
                         pa.array(np.bincount(rows[known], minlength=count)),
                         pa.array(np.bincount(rows, value, count)),
                         pa.array(score / np.log(10)),
-                        *lists,
+                        _lists(h[rare], kinds[rare], rows[rare], count, model.depths),
                     ],
-                    ["row", "doc_id", "n_tokens", "known", "logs", "score", "h", "leaf"],
+                    ["row", "doc_id", "n_tokens", "known", "logs", "score", "rare"],
                 )
                 row += count
 
     return run
 
 
+def _lists(h: np.ndarray, kinds: np.ndarray, rows: np.ndarray, count: int, depths: np.ndarray) -> pa.Array:
+    """Different words by row, with their last classes and how often they are there; rows come in order."""
+    order = np.lexsort((h, rows))
+    h, kinds, rows = h[order], kinds[order], rows[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])]))
+    fields = [h[first].view(np.int64), _last_class(h[first], kinds[first], depths).view(np.int64), np.diff(first, append=len(h))]
+    words = pa.StructArray.from_arrays([pa.array(x) for x in fields], ["h", "leaf", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[first], np.arange(count + 1)), pa.int32()), words)
+
+
 def _last_class(h: np.ndarray, kinds: np.ndarray, depths: np.ndarray) -> np.ndarray:
     """Number of the last class of words that aren't among the top words."""
     mask = (np.uint64(1) << (2 * depths[kinds]).astype(np.uint64)) - np.uint64(1)
@@ -454,7 +510,7 @@ def _last_classes(counts: DataFrame, last: tuple[int, int], depths: np.ndarray)
     masks = F.array(*[F.lit((1 << 2 * int(d)) - 1).cast("bigint") for d in depths])
     leaf = F.shiftleft(F.col("h").bitwiseAND(F.get(masks, F.col("class").cast("int"))), 5).bitwiseOR(F.col("class"))
     # About one word each, as their number follows that of the words.
-    held = F.map_from_entries(F.collect_list(F.struct("h", "n")))
+    held = F.collect_list(F.struct("h", "n"))
     return rest.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("words"), held.alias("held"))
 
 
@@ -472,11 +528,11 @@ def language_model_scores(docs: DataFrame, train_on: Column | None = None, doc_i
     counts = written(counts, "counts")
     model, tokens, different, n, last = train(texts, counts)
     kind = slim.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, logs double, score double, h array<bigint>, leaf array<bigint>"
+    schema = f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, logs double, score double, rare array<struct<h: bigint, leaf: bigint, times: bigint>>"
     rows = written(slim.mapInArrow(_scored(model, n), schema), "scored")
-    tail = rows.select("row", F.explode(F.arrays_zip("h", "leaf")).alias("w")).groupBy("row", "w.h", "w.leaf").agg(F.count(F.lit(1)).alias("times"))
+    tail = rows.select("row", F.inline("rare"))
     leaves = _last_classes(counts, last or (0, 0), model.depths)
-    times, own = F.col("times"), F.coalesce(F.get(F.map_values(F.map_filter("held", lambda k, _: k == F.col("h"))), F.lit(0)), F.lit(0))
+    times, own = F.col("times"), F.coalesce(F.get("held.n", F.array_position("held.h", F.col("h")).cast("int") - 1), F.lit(0))
     tail = tail.join(leaves, "leaf", "left").select("row", "times", own.alias("n"), (F.coalesce("total", F.lit(0)) + F.coalesce("words", F.lit(0)) + 1).alias("all"))
     log = F.log10(F.col("n") + F.lit(1.0))
     more = tail.groupBy("row").agg(
@@ -484,7 +540,7 @@ def language_model_scores(docs: DataFrame, train_on: Column | None = None, doc_i
         F.sum(times * log).alias("more_logs"),
         F.sum(times * (log - F.log10(F.col("all").cast("double")))).alias("more_score"),
     )
-    out = rows.drop("h", "leaf").join(more, "row", "left")
+    out = rows.drop("rare").join(more, "row", "left")
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     return out.select(
         F.col("doc_id").alias(doc_id),
