@@ -331,9 +331,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def merged(parts):
         h, c, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-        return h[order][first], c[order][first], np.add.reduceat(n[order], first)
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return h[first], c[order[first]], np.add.reduceat(n[order], first)
 
     def out(parts):
         h, c, n = merged(parts)
